@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from checks import survey
 from checks.registry import query
-from surveyloom.plans import marts, release
+from surveyloom.plans import marts, release, silver
 from surveyloom.plans import vocabulary as v
-from surveyloom.sources.editions import read_edition, write_raw, edition_path
+from surveyloom.sources.editions import edition_path, read_edition, write_raw
 from surveyloom.sources.folders import new_path
+from surveyloom.sources.tables import read_table, write_layer
 
 
 def dist_sql(label: str, view: str = "core") -> str:
@@ -193,24 +194,28 @@ def land_raw(spark, sf, years) -> str:
     return bronze
 
 
-def silver_layers(spark, sf):
-    """Both layers, from raw CSV files to the written Parquet."""
-    bronze = land_raw(spark, sf, (*survey.HISTORY_YEARS, *survey.CORE_YEARS))
-    return release.build_silver(
-        spark,
-        {y: read_edition(spark, bronze, y) for y in survey.CORE_YEARS},
-        {y: read_edition(spark, bronze, y) for y in survey.HISTORY_YEARS},
-        survey.CORE_HEADERS,
-        survey.HISTORY_HEADERS,
-        new_path(spark, "silver"),
-    )
+def core_from_files(spark, sf):
+    """The core layer, from raw CSV files to written Parquet."""
+    bronze = land_raw(spark, sf, survey.CORE_YEARS)
+    raw = {y: read_edition(spark, bronze, y) for y in survey.CORE_YEARS}
+    folder = new_path(spark, "silver_core")
+    write_layer(silver.silver_core(raw, survey.CORE_HEADERS), folder)
+    return read_table(spark, folder)
 
 
 @query("v01_silver_core", "SELECT * FROM silver", "silver")
 def v01(spark, sf):
-    return silver_layers(spark, sf)[0]
+    return core_from_files(spark, sf)
 
 
 @query("v02_silver_long", "SELECT * FROM serie", "serie")
 def v02(spark, sf):
-    return silver_layers(spark, sf)[1]
+    bronze = land_raw(spark, sf, (*survey.HISTORY_YEARS, *survey.CORE_YEARS))
+    return release.build_silver(
+        spark,
+        {y: read_edition(spark, bronze, y) for y in survey.CORE_YEARS},
+        {y: read_edition(spark, bronze, y) for y in survey.HISTORY_YEARS},
+        survey.CORE_HEADERS,
+        survey.HISTORY_HEADERS,
+        new_path(spark, "silver"),
+    )[1]

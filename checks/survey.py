@@ -13,6 +13,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from surveyloom.functions.scalars import quoted
 from surveyloom.plans import vocabulary as v
 
 CORE_YEARS = (1999, 2000, 2001)
@@ -67,8 +68,8 @@ def lit(text: str) -> str:
 
 def pick(number: str, texts: Sequence[str]) -> str:
     """One of the texts, chosen by a number."""
-    whens = " ".join(f"WHEN {i} THEN {lit(t)}" for i, t in enumerate(texts))
-    return f"CASE ({number}) % {len(texts)} {whens} END"
+    assert not any("|" in t for t in texts)
+    return f"split_part({lit('|'.join(texts))}, '|', CAST(({number}) % {len(texts)} AS INT) + 1)"
 
 
 def unless(test: str, expr: str) -> str:
@@ -170,6 +171,7 @@ _DERIVED = {
 # where pay is the order price itself so that medians run over a wide, continuous domain.
 SILVER = {c: {**_PLAIN, **_FLAGS, "idade": AGE}[c] for c in v.HEADERS_2025} | _DERIVED
 ANSWERS = SILVER | {"salario_pm": unless(UNPAID, "price"), "k": "k", "c": "c"}
+SILVER["regiao"] = unless("c % 50 = 0", "rname")  # an empty CSV field, quoted or not, reads as NULL
 LONG = {c: SILVER[c] for c in v.LONG_COLUMNS}
 
 
@@ -285,7 +287,7 @@ def raw_edition(spark: SparkSession, sf_dir: str, year: int, extra: dict[str, st
         f"AND o_orderdate < TIMESTAMP_NTZ '{year + 1}-01-01 00:00:00'"
     )
     rows = _orders(spark, sf_dir, list(spec.values()), dates)
-    return rows.select(*[F.expr(e).cast("string").alias(h) for h, e in spec.items()])
+    return rows.selectExpr(*[f"CAST({e} AS STRING) AS {quoted(h)}" for h, e in spec.items()])
 
 
 # --- the same input for the comparison engine -------------------------------------

@@ -89,10 +89,17 @@ def label_by_prefix(c: Column | str, rules: Sequence[tuple[str, str]], default:
     return _first_match(text, [(text.startswith(prefix), label) for label, prefix in rules], default)
 
 
-def flag(c: Column | str) -> Column:
+def quoted(name: str) -> str:
+    """A header as a column reference: dots, quotes, blanks and backticks are taken literally."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def flag(name: str) -> Column:
     """The spellings of yes/no flags -> 1/0; any other text is "not asked" (NULL)."""
-    text = F.upper(_col(c))
-    return F.when(text.isin("1", "1.0", "TRUE"), 1).when(text.isin("0", "0.0", "FALSE"), 0)
+    text = f"upper({quoted(name)})"
+    return F.expr(
+        f"CASE WHEN {text} IN ('1', '1.0', 'TRUE') THEN 1 WHEN {text} IN ('0', '0.0', 'FALSE') THEN 0 END"
+    )
 
 
 def prefix_tristate(c: Column | str, yes: str = "Sim", no: str = "Não") -> Column:

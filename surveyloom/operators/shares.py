@@ -36,29 +36,27 @@ def multi_response(
     and no row is copied; only the few group rows are then turned into one row per option. A column
     nobody answered in a group gives no row.
     """
-    counts: list[Column] = []
-    for column in options:
-        counts.append(F.count(column).alias(f"{column}__base"))
-        counts.append(F.sum(column).alias(f"{column}__users"))
-    per_option = F.array(
-        *[
-            F.struct(
-                F.lit(label).alias(name),
-                F.col(f"{column}__users").alias("usuarios"),
-                F.col(f"{column}__base").alias("base_valida"),
-            )
-            for column, label in options.items()
-        ]
+    counts = [
+        F.expr(f"{fn}(`{c}`) AS `{c}__{fn}`") for c in options for fn in ("count", "sum")
+    ]
+    per_option = ", ".join(
+        f"named_struct('{name}', {_text(label)}, 'usuarios', `{c}__sum`, 'base_valida', `{c}__count`)"
+        for c, label in options.items()
     )
     return (
         df.groupBy(*by)
         .agg(*counts)
-        .select(*by, F.inline(per_option))
-        .filter(F.col("base_valida") > 0)
+        .selectExpr(*by, f"inline(array({per_option}))")
+        .filter("base_valida > 0")
         .withColumn("pct", percent("usuarios", "base_valida"))
     )
 
 
+def _text(value: str) -> str:
+    body = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{body}'"
+
+
 def flag_rate(column: str) -> Column:
     """Share of 1 among the answered rows of a 0/1 column."""
     return F.round(100 * F.avg(column), 1)

@@ -14,13 +14,8 @@ from surveyloom.operators.quality import require_columns
 from surveyloom.plans import vocabulary as v
 
 
-def quoted(name: str) -> str:
-    """A header as a column reference: dots, quotes, blanks and backticks are taken literally."""
-    return "`" + name.replace("`", "``") + "`"
-
-
 def mapped_select(df: DataFrame, headers: Mapping[str, str]) -> DataFrame:
-    return df.select(*[F.col(quoted(source)).alias(target) for target, source in headers.items()])
+    return df.selectExpr(*[f"{x.quoted(source)} AS {x.quoted(target)}" for target, source in headers.items()])
 
 
 def flag_columns(columns: Sequence[str]) -> list[str]:
@@ -44,14 +39,21 @@ def ai_priority(c: Column | str) -> Column:
     return x.label_by_prefix(c, v.AI_PRIORITIES, v.AI_PRIORITY_DEFAULT)
 
 
-def core_edition(raw: DataFrame, headers: Mapping[str, str], edition: int) -> DataFrame:
-    """One edition of the core layer: mapped columns, normalised flags, derived labels."""
+def mapped_edition(raw: DataFrame, headers: Mapping[str, str], edition: int) -> DataFrame:
+    """The mapped columns of one edition, still as typed, with the edition beside them."""
     require_columns(raw.columns, headers, edition)
-    mapped = mapped_select(raw, headers)
-    changed = {c: x.flag(c) for c in flag_columns(mapped.columns)}
-    changed |= {
+    return mapped_select(raw, headers).withColumn("ano", F.lit(edition))
+
+
+def union_editions(editions: Sequence[DataFrame]) -> DataFrame:
+    """Append by name; a column missing in one edition is an error, repeated rows are kept."""
+    return reduce(DataFrame.unionByName, editions)
+
+
+def harmonised_core(mapped: DataFrame) -> DataFrame:
+    """Normalised flags and derived labels, in one projection over all editions."""
+    derived = {
         "idade": x.lenient_int("idade"),
-        "ano": F.lit(edition),
         "salario_pm": x.band_midpoint("faixa_salarial"),
         "cargo_grupo": role_family("cargo"),
         "modelo_atual_h": work_model("modelo_atual"),
@@ -59,32 +61,20 @@ def core_edition(raw: DataFrame, headers: Mapping[str, str], edition: int) -> Da
         "prioridade_ia_h": ai_priority("prioridade_ia"),
         "layoff_sim": x.prefix_tristate("layoff"),
     }
-    return mapped.withColumns(changed)
-
-
-def long_edition(raw: DataFrame, headers: Mapping[str, str], edition: int) -> DataFrame:
-    """One older edition, reduced to the columns every edition has."""
-    require_columns(raw.columns, headers, edition)
-    mapped = mapped_select(raw, headers)
-    flags = {c: x.flag(c) for c in flag_columns(mapped.columns)}
-    return mapped.withColumns(flags | {"ano": F.lit(edition)}).select(*v.LONG_COLUMNS)
-
-
-def union_editions(editions: Sequence[DataFrame]) -> DataFrame:
-    """Append by name; a column missing in one edition is an error, repeated rows are kept."""
-    return reduce(DataFrame.unionByName, editions)
+    return apply_to(mapped, flag_columns(mapped.columns), x.flag).withColumns(derived)
 
 
 def silver_core(raw: Mapping[int, DataFrame], headers: Mapping[int, Mapping[str, str]]) -> DataFrame:
-    return union_editions([core_edition(df, headers[e], e) for e, df in raw.items()])
+    return harmonised_core(union_editions([mapped_edition(df, headers[e], e) for e, df in raw.items()]))
 
 
 def silver_long(
     raw: Mapping[int, DataFrame], headers: Mapping[int, Mapping[str, str]], core: DataFrame
 ) -> DataFrame:
     """All editions in the columns they share; the core rows come from the harmonised core layer."""
-    older = [long_edition(df, headers[e], e) for e, df in raw.items()]
-    return union_editions([*older, core.select(*v.LONG_COLUMNS)])
+    older = union_editions([mapped_edition(df, headers[e], e) for e, df in raw.items()])
+    older = apply_to(older, flag_columns(older.columns), x.flag)
+    return union_editions([older.select(*v.LONG_COLUMNS), core.select(*v.LONG_COLUMNS)])
 
 
 _INTEGERS = ("idade", "ano", "layoff_sim")
