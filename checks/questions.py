@@ -1,0 +1,70 @@
+"""The published questions."""
+
+from __future__ import annotations
+
+from checks import survey
+from checks.marts import GENDERS, dist_sql
+from checks.registry import query
+from surveyloom.plans import questions
+
+LAST = survey.LAST
+
+
+@query("q01_top_roles", f"""SELECT ano, cargo_grupo, n, pct FROM (
+ SELECT *, row_number() OVER (PARTITION BY ano ORDER BY n DESC, cargo_grupo) AS place
+ FROM ({dist_sql("cargo_grupo")})) WHERE place <= 5""")
+def q01(spark, sf):
+    return questions.top_roles(survey.core(spark, sf, "ano", "cargo_grupo"))
+
+
+@query("q02_salary_ladder", """SELECT ano, nivel, count(*) AS n,
+ round(quantile_disc(salario_pm, 0.5), 0) AS salario_mediano_pm
+ FROM core WHERE salario_pm IS NOT NULL AND nivel IS NOT NULL GROUP BY ano, nivel""")
+def q02(spark, sf):
+    return questions.salary_ladder(survey.core(spark, sf, "ano", "nivel", "salario_pm"))
+
+
+GAP_SQL = f"""WITH pay AS (SELECT nivel, genero, quantile_disc(salario_pm, 0.5) AS med, count(*) AS n FROM core
+ WHERE ano = {LAST} AND salario_pm IS NOT NULL AND nivel IS NOT NULL AND {GENDERS} GROUP BY nivel, genero)
+SELECT f.nivel, round(f.med, 0) AS mediana_feminino, round(m.med, 0) AS mediana_masculino,
+ round(100 * (f.med / m.med - 1), 1) AS gap_pct, f.n AS n_feminino, m.n AS n_masculino
+FROM pay f JOIN pay m ON f.nivel = m.nivel WHERE f.genero = 'Feminino' AND m.genero = 'Masculino'"""
+
+
+@query("q03_gender_gap", GAP_SQL)
+def q03(spark, sf):
+    return questions.gender_gap(survey.core(spark, sf, "ano", "nivel", "genero", "salario_pm"), LAST)
+
+
+@query("q04_tech_evolution", """SELECT ano, round(100 * avg(lang_python), 1) AS pct_python,
+ round(100 * avg(lang_sql), 1) AS pct_sql, round(100 * avg(cloud_aws), 1) AS pct_aws,
+ count(lang_python) AS base_valida FROM serie GROUP BY ano""", "serie")
+def q04(spark, sf):
+    return questions.tech_evolution(survey.long_series(spark, sf, "ano", "lang_python", "lang_sql", "cloud_aws"))
+
+
+@query("q05_ai_priority", dist_sql("prioridade_ia_h"))
+def q05(spark, sf):
+    return questions.ai_priority(survey.core(spark, sf, "ano", "prioridade_ia_h"))
+
+
+def side_sql(column: str, name: str) -> str:
+    return f"""(SELECT {column} AS modelo, round(100 * count(*) / sum(count(*)) OVER (), 1) AS {name}
+ FROM core WHERE ano = {LAST} AND {column} IS NOT NULL GROUP BY {column})"""
+
+
+MODEL_GAP_SQL = f"""SELECT coalesce(a.modelo, i.modelo) AS modelo, pct_atual, pct_ideal,
+ round(pct_ideal - pct_atual, 1) AS gap_pp
+FROM {side_sql("modelo_atual_h", "pct_atual")} a FULL JOIN {side_sql("modelo_ideal_h", "pct_ideal")} i
+ ON a.modelo = i.modelo"""
+
+
+@query("q06_model_gap", MODEL_GAP_SQL)
+def q06(spark, sf):
+    return questions.model_gap(survey.core(spark, sf, "ano", "modelo_atual_h", "modelo_ideal_h"), LAST)
+
+
+@query("q07_market_pulse", """SELECT ano, round(100 * avg(satisfeito), 1) AS pct_satisfeitos,
+ round(100 * avg(layoff_sim), 1) AS pct_layoff_sim, count(satisfeito) AS n_validos FROM core GROUP BY ano""")
+def q07(spark, sf):
+    return questions.market_pulse(survey.core(spark, sf, "ano", "satisfeito", "layoff_sim"))
