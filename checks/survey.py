@@ -222,6 +222,9 @@ _CORE_DATES = "o_orderdate >= TIMESTAMP{ntz} '1999-01-01 00:00:00'"
 _OLDER_DATES = "o_orderdate < TIMESTAMP{ntz} '1999-01-01 00:00:00'"
 
 
+_TEXTS = raw_answers() | {"k": "k", "ano": "ano", "price": "price"}
+
+
 def _uses(exprs: Iterable[str], names: Iterable[str]) -> bool:
     joined = " ".join(exprs)
     return any(n in joined for n in names)
@@ -277,6 +280,11 @@ def long_series(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return _view(spark, sf_dir, LONG, columns, "")
 
 
+def texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The raw answers of all editions under their harmonised names, as typed."""
+    return _view(spark, sf_dir, _TEXTS, columns, "")
+
+
 def raw_edition(spark: SparkSession, sf_dir: str, year: int, extra: dict[str, str] | None = None) -> DataFrame:
     """One edition as it would arrive: text only, under the headers of its year."""
     headers = {**CORE_HEADERS, **HISTORY_HEADERS}[year]
@@ -312,8 +320,8 @@ _SQL_VIEWS = {
     "every": _sql_view(ANSWERS, ""),
     "serie": _sql_view(LONG, ""),
     "silver": _sql_view(SILVER, _CORE_DATES),
-    "raw_core": _sql_view(raw_answers() | {"k": "k", "ano": "ano"}, _CORE_DATES),
-    "base": f"SELECT {', '.join(f'{e} AS {n}' for n, e in _BASE.items())} FROM orders",
+    "texts": _sql_view(_TEXTS, ""),
+    "silver_every": _sql_view(SILVER | {"k": "k"}, ""),
 }
 
 
