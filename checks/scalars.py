@@ -201,8 +201,5 @@ def x21(spark, sf):
  GROUP BY genero""", "serie")
 def x22(spark, sf):
     counts = survey.long_series(spark, sf, "ano", "genero").groupBy("genero", "ano").agg(F.count(F.lit(1)).alias("n"))
-    parts = F.transform(
-        F.array_sort(F.collect_list(F.struct("ano", "n"))),
-        lambda e: F.concat(x.pt_number(e["n"]), F.lit(" ("), x.edition_label(e["ano"], NAMES), F.lit(")")),
-    )
-    return counts.groupBy("genero").agg(F.array_join(parts, " / ").alias("legenda"))
+    sizes = F.collect_list(F.struct("ano", "n"))
+    return counts.groupBy("genero").agg(x.sizes_caption(sizes, NAMES).alias("legenda"))

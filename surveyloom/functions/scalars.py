@@ -170,6 +170,15 @@ def editions_caption(editions: Column | str, renamed: Mapping[int, str]) -> Colu
     )
 
 
+def sizes_caption(sizes: Column, renamed: Mapping[int, str]) -> Column:
+    """Array of (ano, n) -> `n (edition) / n (edition)`, by edition."""
+    parts = F.transform(
+        F.array_sort(sizes),
+        lambda e: F.concat(pt_number(e["n"]), F.lit(" ("), edition_label(e["ano"], renamed), F.lit(")")),
+    )
+    return F.array_join(parts, " / ")
+
+
 def drop_ordinal(c: Column | str) -> Column:
     """`2. Label` -> `Label`; text without an ordinal is kept."""
     return F.regexp_replace(_col(c), r"(?s)^.*?\. ", "")

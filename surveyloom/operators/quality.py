@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from surveyloom.functions.scalars import quoted
 from surveyloom.operators.shares import count_by, fill_rates, share_within
 
 
@@ -71,6 +72,13 @@ def fill_profile(df: DataFrame, reasons: Mapping[str, str]) -> DataFrame:
     return fill_rates(df, list(reasons)).select(F.inline(F.array(*rows)))
 
 
+def filled_counts(df: DataFrame, name: str, count: str) -> DataFrame:
+    """One row per column of `df` with its number of filled rows; one pass over the data."""
+    counts = [f"count({quoted(c)}) AS `_{i}`" for i, c in enumerate(df.columns)]
+    rows = [F.struct(F.lit(c).alias(name), F.col(f"_{i}").alias(count)) for i, c in enumerate(df.columns)]
+    return df.groupBy().agg(*[F.expr(c) for c in counts]).select(F.inline(F.array(*rows)))
+
+
 def label_pairs(df: DataFrame, raw: str, label: str, by: Sequence[str] = ("ano",)) -> DataFrame:
     """Every raw answer with the label it became and how often: unseen answers become visible."""
     return count_by(df, *by, raw, label)

@@ -129,11 +129,8 @@ def technology_growth(mart: DataFrame, technology: str, first: int, last: int) -
 def base_caption(mart: DataFrame, names: dict[int, str]) -> DataFrame:
     """`n (edition) / n (edition)` over the largest valid base of each edition."""
     bases = mart.groupBy("ano").agg(F.max("base_valida").alias("n"))
-    parts = F.transform(
-        F.array_sort(F.collect_list(F.struct("ano", "n"))),
-        lambda e: F.concat(x.pt_number(e["n"]), F.lit(" ("), x.edition_label(e["ano"], names), F.lit(")")),
-    )
-    return bases.agg(F.array_join(parts, " / ").alias("legenda"))
+    sizes = F.collect_list(F.struct("ano", "n"))
+    return bases.agg(x.sizes_caption(sizes, names).alias("legenda"))
 
 
 def region_amplitude(mart: DataFrame, edition: int) -> DataFrame:
