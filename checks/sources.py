@@ -1,0 +1,166 @@
+"""Readers and writers: every query writes below the shared folder and reads the result back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from checks import survey
+from checks.marts import dist_sql, land_raw, pay_sql
+from checks.operators import filled_sql
+from checks.registry import QUERIES, query
+from surveyloom.operators.quality import filled_counts
+from surveyloom.plans import silver
+from surveyloom.plans import vocabulary as v
+from surveyloom.sources import editions, headers, tables
+from surveyloom.sources.folders import new_path
+from surveyloom.streaming.landing import land_new_files
+
+FIRST, LAST = survey.FIRST, survey.LAST
+HISTORY = survey.HISTORY_YEARS
+TYPED = ("genero", "lang_sql", "lang_python")
+
+
+def mapped_history(spark, sf, bronze):
+    """The older files as read, under harmonised names, answers as typed."""
+    return silver.union_editions([
+        silver.mapped_edition(editions.read_edition(spark, bronze, y), survey.HISTORY_HEADERS[y], y).select("ano", *TYPED)
+        for y in HISTORY])
+
+
+@query("s01_csv_scan", f"SELECT ano, {', '.join(TYPED)} FROM texts WHERE ano < {FIRST}", "texts")
+def s01(spark, sf):
+    return mapped_history(spark, sf, land_raw(spark, sf, HISTORY))
+
+
+COUNTED = "SELECT ano, genero, count(*) AS n FROM texts WHERE ano < {} GROUP BY ano, genero"
+
+
+@query("s02_land_if_absent", COUNTED.format(FIRST), "texts")
+def s02(spark, sf):
+    """Landing a second time changes nothing, even if the second delivery differs."""
+    bronze = land_raw(spark, sf, HISTORY)
+    for y in HISTORY:
+        editions.land_edition(survey.raw_edition(spark, sf, y).limit(1), bronze, y)
+    return mapped_history(spark, sf, bronze).groupBy("ano", "genero").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("s02b_land_new_files", COUNTED.format(FIRST), "texts")
+def s02b(spark, sf):
+    """The incremental form: the same inbox is offered twice and taken once."""
+    inbox, bronze = land_raw(spark, sf, HISTORY), new_path(spark, "bronze_stream")
+    for y in HISTORY:
+        source = editions.edition_path(inbox, y)
+        like = editions.read_raw(spark, source)
+        memory = new_path(spark, f"landed_{y}")
+        for _ in range(2):
+            land_new_files(spark, source, editions.edition_path(bronze, y), y, like, memory)
+    landed = [
+        silver.mapped_edition(
+            editions.read_raw(spark, f"{editions.edition_path(bronze, y)}/ano={y}"), survey.HISTORY_HEADERS[y], y)
+        for y in HISTORY]
+    return silver.union_editions(landed).groupBy("ano", "genero").agg(F.count(F.lit(1)).alias("n"))
+
+
+LAYER = ("id", "genero", "nivel", "salario_pm", "ano")
+
+
+def layer(spark, sf) -> str:
+    folder = new_path(spark, "layer")
+    tables.write_layer(survey.every(spark, sf, *LAYER), folder)
+    return folder
+
+
+@query("s03_parquet_scan", f"SELECT {', '.join(LAYER)} FROM every", "every")
+def s03(spark, sf):
+    return tables.read_table(spark, layer(spark, sf))
+
+
+@query("s04_parquet_partitioned_write", f"""SELECT id, genero, nivel, ano,
+ CASE WHEN ano = {LAST} THEN salario_pm * 2 ELSE salario_pm END AS salario_pm FROM every""", "every")
+def s04(spark, sf):
+    """One edition is replaced in place; the other partitions stay."""
+    folder = layer(spark, sf)
+    again = survey.every(spark, sf, *LAYER).filter(F.col("ano") == LAST)
+    tables.replace_editions(again.withColumn("salario_pm", F.col("salario_pm") * 2), folder)
+    return tables.read_table(spark, folder)
+
+
+@query("s05_parquet_mart_write", dist_sql("nivel"))
+def s05(spark, sf):
+    path = new_path(spark, "mart")
+    tables.write_mart(QUERIES["g03_seniority"](spark, sf), path)
+    return tables.read_table(spark, path)
+
+
+@query("s06_single_csv_write", f"SELECT *, CAST(1 AS BIGINT) AS arquivos FROM ({dist_sql('nivel')})")
+def s06(spark, sf):
+    """Read back with the number of files the mart came from."""
+    path = new_path(spark, "csv_mart")
+    tables.export_csv(QUERIES["g03_seniority"](spark, sf), path, ["ano", "nivel"])
+    rows = tables.read_csv_mart(spark, path, "ano int, nivel string, n bigint, pct double")
+    files = rows.select(F.input_file_name().alias("f")).distinct().agg(F.count(F.lit(1)).alias("arquivos"))
+    return rows.join(F.broadcast(files))
+
+
+@query("s07_mapping_json", " UNION ALL ".join(
+    "SELECT CAST({0} AS INT) AS edition, m.target, source, preenchidos FROM (VALUES {1}) AS m(target, source) "
+    "JOIN {2} f ON m.target = f.target".format(
+        y,
+        ", ".join("('{}', '{}')".format(t, s.replace("'", "''")) for t, s in pairs.items()),
+        filled_sql(pairs, f"ano = {y}"),
+    )
+    for y, pairs in {**survey.CORE_HEADERS, **survey.HISTORY_HEADERS}.items()), "texts")
+def s07(spark, sf):
+    """The exported mapping, loaded again and joined to the answers found under each header."""
+    path = new_path(spark, "mapping")
+    headers.write_mapping(spark, survey.CORE_HEADERS, survey.HISTORY_HEADERS, path)
+    filled = silver.union_editions([
+        filled_counts(survey.raw_edition(spark, sf, y), "source", "preenchidos").withColumn("edition", F.lit(y))
+        for y in (*HISTORY, *survey.CORE_YEARS)])
+    return headers.read_mapping(spark, path).join(filled, ["edition", "source"]).select(
+        "edition", "target", "source", "preenchidos")
+
+
+@query("s08_temp_views", """SELECT c.ano, c.n AS nucleo, s.n AS serie
+ FROM (SELECT ano, count(*) AS n FROM core GROUP BY ano) c JOIN (SELECT ano, count(*) AS n FROM serie GROUP BY ano) s
+ ON c.ano = s.ano""", "core serie")
+def s08(spark, sf):
+    tables.register_views({
+        "silver_core": survey.core(spark, sf, "ano"),
+        "silver_serie_longa": survey.long_series(spark, sf, "ano"),
+    })
+    return spark.sql("""
+        SELECT c.ano, c.n AS nucleo, s.n AS serie
+        FROM (SELECT ano, count(*) AS n FROM silver_core GROUP BY ano) c
+        JOIN (SELECT ano, count(*) AS n FROM silver_serie_longa GROUP BY ano) s USING (ano)""")
+
+
+@query("s09_external_table", f"SELECT {', '.join(LAYER)} FROM every", "every")
+def s09(spark, sf):
+    folder = layer(spark, sf)
+    name = folder.rsplit("-", 1)[1]
+    return tables.register_external(
+        spark, "pesquisa", f"respostas_{name}", "id string, genero string, nivel string, salario_pm double", folder)
+
+
+@query("s10_gold_csv_read", pay_sql("ano, nivel", "nivel IS NOT NULL"))
+def s10(spark, sf):
+    path = new_path(spark, "csv_mart")
+    tables.export_csv(QUERIES["g04_salary_by_seniority"](spark, sf), path, ["ano", "nivel"])
+    return tables.read_csv_mart(
+        spark, path, "ano int, nivel string, n bigint, salario_medio_pm double, salario_mediano_pm double")
+
+
+ROWCOUNTED = {"gold_roles": ("g02_roles", dist_sql("cargo_grupo")),
+              "gold_ai_priority": ("g10_ai_priority", dist_sql("prioridade_ia_h")),
+              "gold_job_change_intent": ("g14b_job_change_intent", dist_sql("mudar_emprego_6m"))}
+
+
+@query("s11_mart_rowcount", " UNION ALL ".join(
+    f"SELECT '{name}' AS tabela, count(*) AS linhas FROM ({sql})" for name, (_, sql) in ROWCOUNTED.items()))
+def s11(spark, sf):
+    """Rows of each mart as reported by its own write."""
+    folder = new_path(spark, "gold")
+    counted = [
+        (name, tables.publish_mart(QUERIES[key](spark, sf), folder, name)) for name, (key, _) in ROWCOUNTED.items()]
+    return spark.createDataFrame(counted, "tabela string, linhas bigint")

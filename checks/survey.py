@@ -184,7 +184,7 @@ def _spelled(flag: str, year: int | None) -> str:
     """A 0/1 answer as typed; unanswered is empty or a text that is no flag. No year: by `ano`."""
     if year is None:
         yes, no = (
-            "CASE ano " + " ".join(f"WHEN {y} THEN {lit(s[i])}" for y, s in _SPELLINGS.items()) + " END"
+            f"split_part({lit('|'.join(s[i] for s in _SPELLINGS.values()))}, '|', ano - {min(_SPELLINGS) - 1})"
             for i in (0, 1)
         )
     else:
