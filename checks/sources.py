@@ -40,7 +40,8 @@ def s02(spark, sf):
     """Landing a second time changes nothing, even if the second delivery differs."""
     bronze = land_raw(spark, sf, HISTORY)
     for y in HISTORY:
-        editions.land_edition(survey.raw_edition(spark, sf, y).limit(1), bronze, y)
+        once = survey.raw_edition(spark, sf, y)
+        editions.land_edition(once.unionByName(once), bronze, y)
     return mapped_history(spark, sf, bronze).groupBy("ano", "genero").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -49,16 +50,10 @@ def s02b(spark, sf):
     """The incremental form: the same inbox is offered twice and taken once."""
     inbox, bronze = land_raw(spark, sf, HISTORY), new_path(spark, "bronze_stream")
     for y in HISTORY:
-        source = editions.edition_path(inbox, y)
-        like = editions.read_raw(spark, source)
-        memory = new_path(spark, f"landed_{y}")
+        source, memory = editions.edition_path(inbox, y), new_path(spark, f"landed_{y}")
         for _ in range(2):
-            land_new_files(spark, source, editions.edition_path(bronze, y), y, like, memory)
-    landed = [
-        silver.mapped_edition(
-            editions.read_raw(spark, f"{editions.edition_path(bronze, y)}/ano={y}"), survey.HISTORY_HEADERS[y], y)
-        for y in HISTORY]
-    return silver.union_editions(landed).groupBy("ano", "genero").agg(F.count(F.lit(1)).alias("n"))
+            land_new_files(spark, source, bronze, y, memory)
+    return mapped_history(spark, sf, bronze).groupBy("ano", "genero").agg(F.count(F.lit(1)).alias("n"))
 
 
 LAYER = ("id", "genero", "nivel", "salario_pm", "ano")
@@ -92,14 +87,11 @@ def s05(spark, sf):
     return tables.read_table(spark, path)
 
 
-@query("s06_single_csv_write", f"SELECT *, CAST(1 AS BIGINT) AS arquivos FROM ({dist_sql('nivel')})")
+@query("s06_single_csv_write", dist_sql("nivel"))
 def s06(spark, sf):
-    """Read back with the number of files the mart came from."""
     path = new_path(spark, "csv_mart")
     tables.export_csv(QUERIES["g03_seniority"](spark, sf), path, ["ano", "nivel"])
-    rows = tables.read_csv_mart(spark, path, "ano int, nivel string, n bigint, pct double")
-    files = rows.select(F.input_file_name().alias("f")).distinct().agg(F.count(F.lit(1)).alias("arquivos"))
-    return rows.join(F.broadcast(files))
+    return tables.read_csv_mart(spark, path, "ano int, nivel string, n bigint, pct double")
 
 
 @query("s07_mapping_json", " UNION ALL ".join(

@@ -2,31 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
+from surveyloom.sources.editions import edition_path, read_raw
 
-def land_new_files(
-    spark: SparkSession, inbox: str, bronze: str, edition: int, schema_of: DataFrame, checkpoint: str
-) -> None:
+
+def land_new_files(spark: SparkSession, inbox: str, bronze: str, edition: int, checkpoint: str) -> None:
     """Append the files of `inbox` not seen before to the edition's folder, then stop.
 
-    Re-running with the same checkpoint lands nothing twice, also after a failure half way.
+    Re-running with the same checkpoint lands nothing twice, also after a failure half way. The
+    header of the files already there gives the columns.
     """
     arrived = (
-        spark.readStream.schema(schema_of.schema)
+        spark.readStream.schema(read_raw(spark, inbox).schema)
         .option("header", True)
         .option("escape", '"')
         .csv(inbox)
     )
     query = (
-        arrived.withColumn("ano", F.lit(edition))
-        .writeStream.format("csv")
+        arrived.writeStream.format("csv")
         .option("header", True)
         .option("escape", '"')
         .option("checkpointLocation", checkpoint)
-        .partitionBy("ano")
         .trigger(availableNow=True)
-        .start(bronze)
+        .start(edition_path(bronze, edition))
     )
     query.awaitTermination()
