@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from checks import survey
 from checks.registry import query
 from surveyloom.operators import bootstrap, quality, shares
-from surveyloom.operators.ranks import value_profile
 from surveyloom.plans import silver
 from surveyloom.plans import vocabulary as v
 from surveyloom.plans.marts import marts
@@ -125,9 +124,8 @@ def d10(spark, sf):
     """95% interval of the median pay per edition and role family, from 3000 resamples of each group."""
     keys = ["ano", "cargo_grupo"]
     paid = survey.every(spark, sf, *keys, "salario_pm").filter(F.col("cargo_grupo").isNotNull())
-    interval = bootstrap.median_interval(paid, keys, "salario_pm", v.RESAMPLES, v.RESAMPLE_SEED)
-    medians = value_profile(paid, keys, "salario_pm").select(*keys, F.round("median", 0).alias("mediana"))
-    return medians.join(interval, keys).select(*keys, "n", "mediana", "ic_baixo", "ic_alto")
+    return bootstrap.median_interval(paid, keys, "salario_pm", v.RESAMPLES, v.RESAMPLE_SEED)
+
 
 @query("d11_small_group_impact", """SELECT * FROM (SELECT ano, cargo_grupo, nivel, n,
  round(100 * n / sum(n) OVER (PARTITION BY ano), 1) AS pct FROM (

@@ -20,7 +20,7 @@ from surveyloom.operators.ranks import cells, same_keys, value_counts
 
 
 def _draw_ranks(sizes: DataFrame, keys: Sequence[str], resamples: int, seed: int) -> DataFrame:
-    """keys, `_replicate`, `_side`, `_rank`: the two middle ranks of every resample.
+    """keys, n, `_low`, `_high`, `_times`: the two middle ranks of every resample, equal pairs counted.
 
     `sizes` has one row per group (keys, n_value). The generator is seeded by the group's own key, so
     the numbers do not depend on how Spark spreads the groups.
@@ -41,30 +41,62 @@ def _draw_ranks(sizes: DataFrame, keys: Sequence[str], resamples: int, seed: int
                 else:
                     # the next of the n-k draws above: minimum of n-k uniforms on the rest
                     upper = lower + (1 - lower) * -np.expm1(np.log1p(-rng.random(resamples)) / (n - k))
-                both = np.concatenate([lower, upper])
-                out = pd.DataFrame(
-                    {
-                        "_replicate": np.tile(np.arange(resamples, dtype="int32"), 2),
-                        "_side": np.repeat(np.array([0, 1], dtype="int32"), resamples),
-                        "_rank": np.clip(np.ceil(both * n), 1, n).astype("int64"),
-                    }
-                )
+                ends = np.clip(np.ceil(np.stack([lower, upper]) * n), 1, n).astype("int64")
+                pairs, times = np.unique(ends, axis=1, return_counts=True)
+                out = pd.DataFrame({"n": n, "_low": pairs[0], "_high": pairs[1], "_times": times})
                 for key in keys:
                     out[key] = row[key]
-                yield out[[*keys, "_replicate", "_side", "_rank"]]
+                yield out[[*keys, "n", "_low", "_high", "_times"]]
 
     schema = T.StructType(
         [sizes.schema[k] for k in keys]
-        + [
-            T.StructField("_replicate", T.IntegerType()),
-            T.StructField("_side", T.IntegerType()),
-            T.StructField("_rank", T.LongType()),
-        ]
+        + [T.StructField(name, T.LongType()) for name in ("n", "_low", "_high", "_times")]
     )
     hashed = sizes.select(*keys, "n_value", F.xxhash64(*keys).alias("_key_hash"))
     return hashed.mapInPandas(draw, schema)
 
 
+def _next_known(df: DataFrame, within: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Fill the asking rows (`_kind` 0) with the columns of the first mark (`_kind` 1) at or after `_at`.
+
+    Rows are read from the far end, so that the next mark is the last one seen and the frame is a
+    running one.
+    """
+    seen = Window.partitionBy(*within).orderBy(F.desc("_at"), F.desc("_kind")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    return df.withColumns({c: F.last(c, ignorenulls=True).over(seen) for c in columns}).filter("_kind = 0")
+
+
+def values_at(counted: DataFrame, cell: DataFrame, asked: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """keys, `_at`, `_value`: the value at each asked rank (keys, `_at`) of the sorted group.
+
+    First the cell that holds the rank, among the few thousand cells of the group; then the value,
+    among the values of the cells that were asked for.
+    """
+    keys = list(keys)
+    null = F.lit(None)
+    marks = cell.filter("_cell IS NOT NULL").select(
+        *keys, F.col("_upto").alias("_at"), "_cell", "_before", F.lit(1).alias("_kind")
+    )
+    questions = asked.select(
+        *keys, "_at", null.cast("long").alias("_cell"), null.cast("long").alias("_before"), F.lit(0).alias("_kind")
+    )
+    placed = _next_known(marks.unionByName(questions), keys, ["_cell", "_before"])
+
+    used = placed.groupBy(*keys, "_cell").agg(F.max("_before").alias("_before"))
+    used = used.select(*[F.col(c).alias(c + "_w") for c in [*keys, "_cell"]], "_before")
+    in_cell = Window.partitionBy(*keys, "_cell").orderBy("_value").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    values = counted.join(used, same_keys(counted, used, [*keys, "_cell"], "_w")).select(
+        *keys, "_cell", (F.col("_before") + F.sum("_rows").over(in_cell)).alias("_at"), "_value",
+        F.lit(1).alias("_kind"),
+    )
+    wanted = placed.select(*keys, "_cell", "_at", null.cast("double").alias("_value"), "_kind")
+    return _next_known(values.unionByName(wanted), [*keys, "_cell"], ["_value"]).select(*keys, "_at", "_value")
+
+
 def median_interval(
     df: DataFrame,
     keys: Sequence[str],
@@ -73,70 +105,44 @@ def median_interval(
     seed: int = 43,
     level: float = 0.95,
 ) -> DataFrame:
-    """keys, n, ic_baixo, ic_alto: percentile interval of the resampled medians, rounded to units."""
+    """keys, n, mediana, ic_baixo, ic_alto: median and percentile interval of the resampled medians.
+
+    Groups without a value give no row. Figures are rounded to units.
+    """
     keys = list(keys)
     counted = value_counts(df.filter(F.col(value).isNotNull()), keys, value)
     cell = cells(counted, keys)
     sizes = cell.groupBy(*keys).agg(F.max("n_value").alias("n_value"))
-    ranks = _draw_ranks(sizes, keys, resamples, seed)
-
-    # rank -> cell: next cell whose running count reaches the rank (a few thousand rows per group)
-    marks = cell.select(
-        *keys, F.col("_upto").alias("_at"), F.lit(1).alias("_kind"), "_cell", "_before",
-        F.lit(None).cast("int").alias("_replicate"), F.lit(None).cast("int").alias("_side"),
-    )
-    asked = ranks.select(
-        *keys, F.col("_rank").alias("_at"), F.lit(0).alias("_kind"),
-        F.lit(None).cast("long").alias("_cell"), F.lit(None).cast("long").alias("_before"),
-        "_replicate", "_side",
-    )
-    ahead = Window.partitionBy(*keys).orderBy("_at", "_kind").rowsBetween(
-        Window.currentRow, Window.unboundedFollowing
-    )
-    placed = (
-        marks.unionByName(asked)
-        .withColumn("_cell", F.first("_cell", ignorenulls=True).over(ahead))
-        .withColumn("_before", F.first("_before", ignorenulls=True).over(ahead))
-        .filter(F.col("_kind") == 0)
-        .select(*keys, "_cell", "_before", F.col("_at").alias("_rank"), "_replicate", "_side")
-    )
-
-    # cell -> value: only the cells that were asked for are sorted
-    used = placed.groupBy(*keys, "_cell").agg(F.max("_before").alias("_before"))
-    used = used.select(*[F.col(c).alias(c + "_w") for c in [*keys, "_cell"]], "_before")
-    in_cell = Window.partitionBy(*keys, "_cell").orderBy("_value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    values = (
-        counted.join(used, same_keys(counted, used, [*keys, "_cell"], "_w"))
-        .select(
-            *keys, "_cell", (F.col("_before") + F.sum("_rows").over(in_cell)).alias("_at"),
-            F.lit(1).alias("_kind"), "_value",
-            F.lit(None).cast("int").alias("_replicate"),
-        )
-    )
-    wanted = placed.select(
-        *keys, "_cell", F.col("_rank").alias("_at"), F.lit(0).alias("_kind"),
-        F.lit(None).cast("double").alias("_value"), "_replicate",
-    )
-    next_value = Window.partitionBy(*keys, "_cell").orderBy("_at", "_kind").rowsBetween(
-        Window.currentRow, Window.unboundedFollowing
+    half = F.col("n_value") / 2
+    # the plain median asks for its own two ranks, with no weight among the resamples
+    plain = sizes.select(
+        *keys, F.col("n_value").alias("n"), F.ceil(half).alias("_low"), (F.floor(half) + 1).alias("_high"),
+        F.lit(0).cast("long").alias("_times"),
     )
+    pair = ["_low", "_high", "_times"]
+    pairs = _draw_ranks(sizes, keys, resamples, seed).unionByName(plain)
+    ranks = pairs.select(*keys, "n", *pair, F.explode(F.array("_low", "_high")).alias("_at"))
+    known = values_at(counted, cell, ranks.select(*keys, "_at").distinct(), keys)
+    known = known.select(*[F.col(c).alias(c + "_w") for c in [*keys, "_at"]], "_value")
     medians = (
-        values.unionByName(wanted)
-        .withColumn("_value", F.first("_value", ignorenulls=True).over(next_value))
-        .filter(F.col("_kind") == 0)
-        .groupBy(*keys, "_replicate")
+        ranks.join(known, same_keys(ranks, known, [*keys, "_at"], "_w"))
+        .groupBy(*keys, "n", *pair)
         .agg(F.avg("_value").alias("_median"))
     )
     tail = (1 - level) / 2
-    interval = medians.groupBy(*keys).agg(
-        F.percentile("_median", [tail, 1 - tail]).alias("_ends")
-    )
-    sized = sizes.select(*[F.col(k).alias(k + "_w") for k in keys], F.col("n_value").alias("n"))
-    return interval.join(sized, same_keys(interval, sized, keys, "_w")).select(
-        *keys,
-        "n",
-        F.round(F.get("_ends", F.lit(0)), 0).alias("ic_baixo"),
-        F.round(F.get("_ends", F.lit(1)), 0).alias("ic_alto"),
+    ends = F.percentile("_median", [tail, 1 - tail], F.col("_times"))
+    return (
+        medians.groupBy(*keys)
+        .agg(
+            F.max("n").alias("n"),
+            F.max(F.when(F.col("_times") == 0, F.col("_median"))).alias("_plain"),
+            ends.alias("_ends"),
+        )
+        .select(
+            *keys,
+            "n",
+            F.round("_plain", 0).alias("mediana"),
+            F.round(F.get("_ends", F.lit(0)), 0).alias("ic_baixo"),
+            F.round(F.get("_ends", F.lit(1)), 0).alias("ic_alto"),
+        )
     )
