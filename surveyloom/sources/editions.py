@@ -22,9 +22,18 @@ def read_edition(spark: SparkSession, bronze: str, edition: int) -> DataFrame:
     return read_raw(spark, edition_path(bronze, edition))
 
 
+# How raw answers are written: a header in every part, so that parts stay readable on their own, and
+# blanks and line breaks at the ends of an answer kept.
+RAW_WRITE = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def write_raw(df: DataFrame, path: str, mode: str = "error") -> None:
-    """CSV with a header in every part file, so that parts stay independently readable."""
-    df.write.mode(mode).csv(path, header=True, escape='"')
+    df.write.mode(mode).options(**RAW_WRITE).csv(path)
 
 
 def land_edition(df: DataFrame, bronze: str, edition: int) -> None:

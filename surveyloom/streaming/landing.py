@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from surveyloom.sources.editions import edition_path, read_raw
+from surveyloom.sources.editions import RAW_WRITE, edition_path, read_raw
 
 
 def land_new_files(spark: SparkSession, inbox: str, bronze: str, edition: int, checkpoint: str) -> None:
@@ -21,8 +21,7 @@ def land_new_files(spark: SparkSession, inbox: str, bronze: str, edition: int, c
     )
     query = (
         arrived.writeStream.format("csv")
-        .option("header", True)
-        .option("escape", '"')
+        .options(**RAW_WRITE)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(edition_path(bronze, edition))
