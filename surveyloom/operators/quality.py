@@ -92,31 +92,31 @@ def small_groups(df: DataFrame, keys: Sequence[str], minimum: int, by: Sequence[
 def run_metrics(
     core: DataFrame, long_series: DataFrame, key: str, editions: Sequence[int], marts: int
 ) -> DataFrame:
-    """The run in numbers, one row per metric: rows in, rows kept, rows lost, repeats, widths."""
-    def metric(name: str, df: DataFrame, value: str) -> DataFrame:
-        return df.select(F.lit(name).alias("metrica"), F.col(value).cast("long").alias("valor"))
+    """The run in numbers, one row per metric: rows in, rows kept, rows lost, repeats, widths.
 
+    Each layer is aggregated once; the two one-row results meet in a union, not in a join.
+    """
+    null = F.lit(None).cast("long")
     arrived = long_series.agg(
         F.count(F.lit(1)).alias("all"), F.count_if(F.col("ano").isin(*editions)).alias("core")
-    )
+    ).select("all", "core", null.alias("rows"), null.alias("repeats"))
     kept = uniqueness(core, key).agg(
         F.coalesce(F.sum("linhas"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum("tokens_repetidos"), F.lit(0)).alias("repeats"),
-        F.lit(len(core.columns)).alias("columns"),
-        F.lit(marts).alias("marts"),
-    )
-    lost = (
-        arrived.select(F.col("core").alias("v"))
-        .unionAll(kept.select((-F.col("rows")).alias("v")))
-        .agg(F.sum("v").alias("v"))
-    )
+    ).select(null.alias("all"), null.alias("core"), "rows", "repeats")
+    figures = {
+        "linhas_bronze": F.col("all"),
+        "linhas_nucleo": F.col("rows"),
+        "descartados": F.col("core") - F.col("rows"),
+        "tokens_repetidos": F.col("repeats"),
+        "colunas_nucleo": F.lit(len(core.columns)).cast("long"),
+        "tabelas_gold": F.lit(marts).cast("long"),
+    }
+    rows = [F.struct(F.lit(name).alias("metrica"), c.alias("valor")) for name, c in figures.items()]
     return (
-        metric("linhas_bronze", arrived, "all")
-        .unionAll(metric("linhas_nucleo", kept, "rows"))
-        .unionAll(metric("descartados", lost, "v"))
-        .unionAll(metric("tokens_repetidos", kept, "repeats"))
-        .unionAll(metric("colunas_nucleo", kept, "columns"))
-        .unionAll(metric("tabelas_gold", kept, "marts"))
+        arrived.unionByName(kept)
+        .agg(*[F.max(c).alias(c) for c in ("all", "core", "rows", "repeats")])
+        .select(F.inline(F.array(*rows)))
     )
 
 
