@@ -194,23 +194,15 @@ def land_raw(spark, sf, years) -> str:
     return bronze
 
 
-def core_from_files(spark, sf):
-    """The core layer, from raw CSV files to written Parquet."""
-    bronze = land_raw(spark, sf, survey.CORE_YEARS)
+def core_from_files(spark, bronze):
+    """The core layer: raw CSV files to written Parquet."""
     raw = {y: read_edition(spark, bronze, y) for y in survey.CORE_YEARS}
     folder = new_path(spark, "silver_core")
     write_layer(silver.silver_core(raw, survey.CORE_HEADERS), folder)
     return read_table(spark, folder)
 
 
-@query("v01_silver_core", "SELECT * FROM silver", "silver")
-def v01(spark, sf):
-    return core_from_files(spark, sf)
-
-
-@query("v02_silver_long", "SELECT * FROM serie", "serie")
-def v02(spark, sf):
-    bronze = land_raw(spark, sf, (*survey.HISTORY_YEARS, *survey.CORE_YEARS))
+def layers_from_files(spark, bronze):
     return release.build_silver(
         spark,
         {y: read_edition(spark, bronze, y) for y in survey.CORE_YEARS},
@@ -218,4 +210,17 @@ def v02(spark, sf):
         survey.CORE_HEADERS,
         survey.HISTORY_HEADERS,
         new_path(spark, "silver"),
-    )[1]
+    )
+
+
+ALL_YEARS = (*survey.HISTORY_YEARS, *survey.CORE_YEARS)
+
+
+@query("v01_silver_core", "SELECT * FROM silver", "silver")
+def v01(spark, sf):
+    return core_from_files(spark, land_raw(spark, sf, survey.CORE_YEARS))
+
+
+@query("v02_silver_long", "SELECT * FROM serie", "serie")
+def v02(spark, sf):
+    return layers_from_files(spark, land_raw(spark, sf, ALL_YEARS))[1]

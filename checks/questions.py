@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from checks import survey
 from checks.marts import GENDERS, dist_sql
 from checks.registry import query
@@ -19,15 +17,11 @@ def q01(spark, sf):
     return questions.top_roles(survey.core(spark, sf, "ano", "cargo_grupo"))
 
 
-def banded_core(spark, sf, *columns):
-    return survey.banded(spark, sf, "ano", *columns).filter(F.col("ano") >= survey.FIRST)
-
-
 @query("q02_salary_ladder", """SELECT ano, nivel, count(*) AS n,
  round(quantile_disc(salario_pm, 0.5), 0) AS salario_mediano_pm
  FROM silver WHERE salario_pm IS NOT NULL AND nivel IS NOT NULL GROUP BY ano, nivel""", "silver")
 def q02(spark, sf):
-    return questions.salary_ladder(banded_core(spark, sf, "nivel", "salario_pm"))
+    return questions.salary_ladder(survey.banded(spark, sf, "ano", "nivel", "salario_pm", core_only=True))
 
 
 GAP_SQL = f"""WITH pay AS (SELECT nivel, genero, quantile_disc(salario_pm, 0.5) AS med, count(*) AS n FROM silver
@@ -39,7 +33,8 @@ FROM pay f JOIN pay m ON f.nivel = m.nivel WHERE f.genero = 'Feminino' AND m.gen
 
 @query("q03_gender_gap", GAP_SQL, "silver")
 def q03(spark, sf):
-    return questions.gender_gap(banded_core(spark, sf, "nivel", "genero", "salario_pm"), LAST)
+    rows = survey.banded(spark, sf, "ano", "nivel", "genero", "salario_pm", core_only=True)
+    return questions.gender_gap(rows, LAST)
 
 
 @query("q04_tech_evolution", """SELECT ano, round(100 * avg(lang_python), 1) AS pct_python,

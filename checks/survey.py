@@ -276,9 +276,9 @@ def every(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return _view(spark, sf_dir, ANSWERS, columns, "")
 
 
-def banded(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """All editions with pay as the midpoint of a band, as the harmonised layer has it."""
-    return _view(spark, sf_dir, SILVER, columns, "")
+def banded(spark: SparkSession, sf_dir: str, *columns: str, core_only: bool = False) -> DataFrame:
+    """The answers with pay as the midpoint of a band, as the harmonised layer has it."""
+    return _view(spark, sf_dir, SILVER, columns, _CORE_DATES if core_only else "")
 
 
 def long_series(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:

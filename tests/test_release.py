@@ -9,8 +9,10 @@ from checks import survey
 from surveyloom.operators.quality import QualityError
 from surveyloom.plans import indicators, marts, release, silver
 from surveyloom.plans import vocabulary as v
-from surveyloom.sources.editions import read_edition
+from surveyloom.run import run
+from surveyloom.sources.editions import edition_path, read_edition, write_raw
 from surveyloom.sources.folders import new_path
+from surveyloom.sources.headers import write_mapping
 
 # The columns of each published mart, in order.
 COLUMNS = {
@@ -109,3 +111,17 @@ def test_quoted_indicators(spark):
         "ano int, genero string, nivel string, salario_mediano_pm double")
     gap = indicators.gender_gap_at_level(pay, 2025).first()
     assert (gap["gap_pct"], gap["gap_absoluto"], gap["gap_relativo"]) == (-28.6, 4000.0, 28.6)
+
+
+def test_run_over_a_folder(spark, sf_dir):
+    """The published editions, headers and folders, from mapping JSON to marts."""
+    base, mapping = new_path(spark, "base"), new_path(spark, "mapping")
+    years = dict(zip((*v.HISTORY_EDITIONS, *v.CORE_EDITIONS), (1995, 1996, 1997, *survey.CORE_YEARS)))
+    for edition, year in years.items():
+        write_raw(survey.raw_edition(spark, sf_dir, year), edition_path(f"{base}/bronze", edition))
+    write_mapping(spark, v.CORE_HEADERS, v.HISTORY_HEADERS, mapping)
+    with pytest.raises(QualityError, match="2019"):
+        run(spark, base, "silver", mapping)
+    written = run(spark, base, mapping=mapping, gate=False)
+    assert set(written) == set(COLUMNS) and written["gold_respondents"] == 6
+    assert run(spark, base, "gold") == written
