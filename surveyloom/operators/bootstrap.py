@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from surveyloom.operators.ranks import cells, same_keys, value_counts
+from surveyloom.functions.scalars import quoted
+from surveyloom.operators.ranks import cells, renamed, same, value_counts
 
 
 def _draw_ranks(sizes: DataFrame, keys: Sequence[str], resamples: int, seed: int) -> DataFrame:
@@ -75,26 +76,22 @@ def values_at(counted: DataFrame, cell: DataFrame, asked: DataFrame, keys: Seque
     among the values of the cells that were asked for.
     """
     keys = list(keys)
-    null = F.lit(None)
-    marks = cell.filter("_cell IS NOT NULL").select(
-        *keys, F.col("_upto").alias("_at"), "_cell", "_before", F.lit(1).alias("_kind")
+    within = [*keys, "_cell"]
+    key = [quoted(k) for k in keys]
+    marks = cell.filter("_cell IS NOT NULL").selectExpr(*key, "_upto AS _at", "_cell", "_before", "1 AS _kind")
+    asked = asked.selectExpr(
+        *key, "_at", "CAST(NULL AS BIGINT) AS _cell", "CAST(NULL AS BIGINT) AS _before", "0 AS _kind"
     )
-    questions = asked.select(
-        *keys, "_at", null.cast("long").alias("_cell"), null.cast("long").alias("_before"), F.lit(0).alias("_kind")
-    )
-    placed = _next_known(marks.unionByName(questions), keys, ["_cell", "_before"])
+    placed = _next_known(marks.unionByName(asked), keys, ["_cell", "_before"])
 
-    used = placed.groupBy(*keys, "_cell").agg(F.max("_before").alias("_before"))
-    used = used.select(*[F.col(c).alias(c + "_w") for c in [*keys, "_cell"]], "_before")
-    in_cell = Window.partitionBy(*keys, "_cell").orderBy("_value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    values = counted.join(used, same_keys(counted, used, [*keys, "_cell"], "_w")).select(
-        *keys, "_cell", (F.col("_before") + F.sum("_rows").over(in_cell)).alias("_at"), "_value",
-        F.lit(1).alias("_kind"),
+    used = placed.groupBy(*within).agg(F.max("_before").alias("_before"))
+    used = used.selectExpr(*renamed(within), "_before")
+    in_cell = f"OVER (PARTITION BY {', '.join(key)}, _cell ORDER BY _value ROWS UNBOUNDED PRECEDING)"
+    values = counted.join(used, same(within)).selectExpr(
+        *key, "_cell", f"_before + sum(_rows) {in_cell} AS _at", "_value", "1 AS _kind"
     )
-    wanted = placed.select(*keys, "_cell", "_at", null.cast("double").alias("_value"), "_kind")
-    return _next_known(values.unionByName(wanted), [*keys, "_cell"], ["_value"]).select(*keys, "_at", "_value")
+    wanted = placed.selectExpr(*key, "_cell", "_at", "CAST(NULL AS DOUBLE) AS _value", "_kind")
+    return _next_known(values.unionByName(wanted), within, ["_value"]).select(*keys, "_at", "_value")
 
 
 def median_interval(
@@ -113,19 +110,18 @@ def median_interval(
     counted = value_counts(df.filter(F.col(value).isNotNull()), keys, value)
     cell = cells(counted, keys)
     sizes = cell.groupBy(*keys).agg(F.max("n_value").alias("n_value"))
-    half = F.col("n_value") / 2
     # the plain median asks for its own two ranks, with no weight among the resamples
-    plain = sizes.select(
-        *keys, F.col("n_value").alias("n"), F.ceil(half).alias("_low"), (F.floor(half) + 1).alias("_high"),
-        F.lit(0).cast("long").alias("_times"),
+    plain = sizes.selectExpr(
+        *[quoted(k) for k in keys],
+        "n_value AS n", "ceil(n_value / 2) AS _low", "floor(n_value / 2) + 1 AS _high", "0L AS _times",
     )
     pair = ["_low", "_high", "_times"]
     pairs = _draw_ranks(sizes, keys, resamples, seed).unionByName(plain)
     ranks = pairs.select(*keys, "n", *pair, F.explode(F.array("_low", "_high")).alias("_at"))
     known = values_at(counted, cell, ranks.select(*keys, "_at").distinct(), keys)
-    known = known.select(*[F.col(c).alias(c + "_w") for c in [*keys, "_at"]], "_value")
+    known = known.selectExpr(*renamed([*keys, "_at"]), "_value")
     medians = (
-        ranks.join(known, same_keys(ranks, known, [*keys, "_at"], "_w"))
+        ranks.join(known, same([*keys, "_at"]))
         .groupBy(*keys, "n", *pair)
         .agg(F.avg("_value").alias("_median"))
     )

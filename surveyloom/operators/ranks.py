@@ -13,17 +13,34 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from surveyloom.functions.scalars import quoted
+
 _CELLS_PER_E_FOLD = 1024
 _NAN_CELL = 2**62
 
 
-def _cell(value: Column) -> Column:
-    """Order-keeping cell number: equal values share a cell, larger values never get a smaller one."""
-    spread = F.signum(value) * F.log1p(F.abs(value)) * _CELLS_PER_E_FOLD
-    return F.when(F.isnan(value), F.lit(_NAN_CELL)).otherwise(F.floor(spread))
+# Order-keeping cell number: equal values share a cell, larger values never get a smaller one.
+_CELL = (
+    f"CASE WHEN isnan(_value) THEN {_NAN_CELL} "
+    f"ELSE floor(signum(_value) * log1p(abs(_value)) * {_CELLS_PER_E_FOLD}) END"
+)
+
+
+def _list(columns: Sequence[str]) -> str:
+    return ", ".join(quoted(c) for c in columns)
+
+
+def renamed(columns: Sequence[str], suffix: str = "_w") -> list[str]:
+    """Projection of key columns under a second name, for joining a table to its own aggregate."""
+    return [f"{quoted(c)} AS {quoted(c + suffix)}" for c in columns]
+
+
+def same(columns: Sequence[str], suffix: str = "_w") -> Column:
+    """Join condition for `renamed` keys; NULL is a group like any other."""
+    return F.expr(" AND ".join(f"{quoted(c)} <=> {quoted(c + suffix)}" for c in columns))
 
 
 def value_counts(
@@ -33,48 +50,38 @@ def value_counts(
 
     `sums` are further counts or sums of the same rows, kept per value so that they add up again.
     """
-    number = F.col(value).cast("double")
     return (
-        df.withColumn("_value", number)
-        .groupBy(*keys, _cell(F.col("_value")).alias("_cell"), "_value")
-        .agg(F.count(F.lit(1)).alias("_rows"), *[c.alias(name) for name, c in (sums or {}).items()])
+        df.withColumn("_value", F.expr(f"CAST({quoted(value)} AS DOUBLE)"))
+        .groupBy(*keys, F.expr(f"{_CELL} AS _cell"), "_value")
+        .agg(F.expr("count(1) AS _rows"), *[c.alias(name) for name, c in (sums or {}).items()])
     )
 
 
 def cells(counted: DataFrame, keys: Sequence[str], sums: Sequence[str] = ()) -> DataFrame:
     """One row per group and cell with running and total counts; NULL values form the NULL cell."""
-    group = Window.partitionBy(*keys)
-    running = group.orderBy(F.col("_cell").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    held = F.when(F.col("_cell").isNotNull(), F.col("_rows")).otherwise(F.lit(0))
+    group = f"OVER (PARTITION BY {_list(keys)})"
+    running = f"OVER (PARTITION BY {_list(keys)} ORDER BY _cell NULLS FIRST ROWS UNBOUNDED PRECEDING)"
     return (
         counted.groupBy(*keys, "_cell")
         .agg(
-            F.sum("_rows").alias("_rows"),
-            F.sum(F.col("_value") * F.col("_rows")).alias("_sum"),
-            *[F.sum(name).alias(name) for name in sums],
+            F.expr("sum(_rows) AS _rows"),
+            F.expr("sum(_value * _rows) AS _sum"),
+            F.expr("if(_cell IS NULL, 0L, sum(_rows)) AS _held"),
+            *[F.expr(f"sum({quoted(c)}) AS {quoted(c)}") for c in sums],
         )
-        .select(
-            *keys,
+        .selectExpr(
+            *map(quoted, keys),
             "_cell",
-            F.sum("_rows").over(group).alias("n"),
-            F.sum(held).over(group).alias("n_value"),
-            F.sum("_sum").over(group).alias("_total"),
-            (F.sum(held).over(running) - held).alias("_before"),
-            F.sum(held).over(running).alias("_upto"),
-            *[F.sum(name).over(group).alias(name) for name in sums],
+            f"sum(_rows) {group} AS n",
+            f"sum(_held) {group} AS n_value",
+            f"sum(_sum) {group} AS _total",
+            f"sum(_held) {running} - _held AS _before",
+            f"sum(_held) {running} AS _upto",
+            *[f"sum({quoted(c)}) {group} AS {quoted(c)}" for c in sums],
         )
     )
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], suffix: str) -> Column:
-    test = left[keys[0]].eqNullSafe(right[keys[0] + suffix])
-    for key in keys[1:]:
-        test = test & left[key].eqNullSafe(right[key + suffix])
-    return test
-
-
 def value_profile(
     df: DataFrame,
     keys: Sequence[str],
@@ -87,49 +94,32 @@ def value_profile(
     `sums` adds named counts or sums over all rows of the group to the same pass.
     """
     keys, extra = list(keys), list(sums or {})
+    within = [*keys, "_cell"]
     counted = value_counts(df, keys, value, sums)
-    position = (F.col("n_value") - 1) * F.lit(q)
-    low, high = F.floor(position) + 1, F.ceil(position) + 1
-
     wanted = (
         cells(counted, keys, extra)
-        .withColumn("_low", low)
-        .withColumn("_high", high)
-        .withColumn("_part", position - F.floor(position))
-        .filter(
-            (F.col("n_value") == 0)
-            | (
-                F.col("_cell").isNotNull()
-                & (F.col("_upto") >= F.col("_low"))
-                & (F.col("_before") < F.col("_high"))
-            )
-        )
-        .select(
-            *[F.col(c).alias(c + "_w") for c in [*keys, "_cell"]],
-            "n", "n_value", "_total", "_before", "_low", "_high", "_part", *[F.col(c).alias(c + "_w") for c in extra],
+        .selectExpr("*", f"(n_value - 1) * {float(q)!r}D AS _position")
+        .selectExpr("*", "floor(_position) + 1 AS _low", "ceil(_position) + 1 AS _high")
+        .filter("n_value = 0 OR (_cell IS NOT NULL AND _upto >= _low AND _before < _high)")
+        .selectExpr(
+            *renamed(within + extra),
+            "n", "n_value", "_total", "_before", "_low", "_high", "_position - floor(_position) AS _part",
         )
     )
-    in_cell = Window.partitionBy(*keys, "_cell").orderBy("_value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    upto = F.col("_before") + F.sum("_rows").over(in_cell)
+    in_cell = f"OVER (PARTITION BY {_list(within)} ORDER BY _value ROWS UNBOUNDED PRECEDING)"
     ranked = (
-        counted.join(wanted, same_keys(counted, wanted, [*keys, "_cell"], "_w"))
-        .withColumn("_last", upto)
-        .withColumn("_first", F.col("_last") - F.col("_rows") + 1)
+        counted.select(*within, "_value", "_rows")
+        .join(wanted, same(within))
+        .selectExpr("*", f"_before + sum(_rows) {in_cell} AS _last")
     )
 
-    def at(rank: str) -> Column:
-        return F.max(F.when(F.col(rank).between(F.col("_first"), F.col("_last")), F.col("_value")))
+    def at(rank: str) -> str:
+        return f"max(if({rank} > _last - _rows AND {rank} <= _last, _value, NULL))"
 
-    part = F.max("_part")
-    return (
-        ranked.groupBy(*keys)
-        .agg(
-            F.max("n").alias("n"),
-            F.max("n_value").alias("n_value"),
-            F.try_divide(F.max("_total"), F.max("n_value")).alias("mean"),
-            ((1 - part) * at("_low") + part * at("_high")).alias("median"),
-            *[F.max(c + "_w").alias(c) for c in extra],
-        )
+    return ranked.groupBy(*keys).agg(
+        F.expr("max(n) AS n"),
+        F.expr("max(n_value) AS n_value"),
+        F.expr("try_divide(max(_total), max(n_value)) AS mean"),
+        F.expr(f"(1 - max(_part)) * {at('_low')} + max(_part) * {at('_high')} AS median"),
+        *[F.expr(f"max({quoted(c + '_w')}) AS {quoted(c)}") for c in extra],
     )
