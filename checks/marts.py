@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from checks import survey
 from checks.registry import query
 from surveyloom.plans import marts, release, silver
@@ -213,9 +211,6 @@ def layers_from_files(spark, bronze):
     )
 
 
-ALL_YEARS = (*survey.HISTORY_YEARS, *survey.CORE_YEARS)
-
-
 @query("v01_silver_core", "SELECT * FROM silver", "silver")
 def v01(spark, sf):
     return core_from_files(spark, land_raw(spark, sf, survey.CORE_YEARS))
@@ -223,4 +218,4 @@ def v01(spark, sf):
 
 @query("v02_silver_long", "SELECT * FROM serie", "serie")
 def v02(spark, sf):
-    return layers_from_files(spark, land_raw(spark, sf, ALL_YEARS))[1]
+    return layers_from_files(spark, land_raw(spark, sf, survey.ALL_YEARS))[1]

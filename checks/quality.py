@@ -15,12 +15,11 @@ from surveyloom.sources.folders import new_path
 
 FIRST, LAST = survey.FIRST, survey.LAST
 DROPPED = ("genero", "cargo", "lang_r")
-YEARS = (*survey.HISTORY_YEARS, *survey.CORE_YEARS)
+
 
 def quoted_rows(pairs) -> str:
     return ", ".join("('{}', '{}')".format(t, s.replace("'", "''")) for t, s in pairs)
 
-ABSENT = quoted_rows((t, survey.CORE_HEADERS[y][t]) for y in survey.CORE_YEARS for t in DROPPED)
 
 @query("d01_missing_columns", " UNION ALL ".join(
     f"SELECT CAST({y} AS INT) AS edition, target, source, (SELECT count(*) FROM every WHERE ano = {y}) AS linhas"
@@ -39,6 +38,7 @@ def d01(spark, sf):
         df.agg(F.count(F.lit(1)).alias("linhas")).withColumn("edition", F.lit(y)) for y, df in raw.items()])
     return quality.missing_columns(mapping, header).join(stopped, "edition")
 
+
 @query("d02_row_volume_gate", f"""SELECT ano AS edition, count(*) AS n,
  count(*) + CASE WHEN ano = {LAST} THEN 1 ELSE 0 END AS expected,
  CASE WHEN ano = {LAST} THEN 'DIVERGENTE' ELSE 'OK' END AS status FROM every GROUP BY ano""", "every")
@@ -46,32 +46,35 @@ def d02(spark, sf):
     """Rows of each raw edition against the orders of its year; the last year is declared one too large."""
     arrived = silver.union_editions([
         survey.raw_edition(spark, sf, y).agg(F.count(F.lit(1)).alias("n")).withColumn("edition", F.lit(y))
-        for y in YEARS])
+        for y in survey.ALL_YEARS])
     declared = shares.count_by(survey.every(spark, sf, "ano"), "ano", name="rows").select(
         F.col("ano").alias("edition"),
         (F.col("rows") + (F.col("ano") == LAST).cast("long")).alias("expected"),
     )
     return quality.volume_gate(arrived, declared)
 
+
 @query("d03_layer_reconcile", f"""SELECT ano, count(*) AS n_bronze, count(*) AS n_silver, CAST(0 AS BIGINT) AS delta
  FROM every GROUP BY ano""", "every")
 def d03(spark, sf):
     """Raw rows against harmonised rows, edition by edition."""
-    raw = {y: survey.raw_edition(spark, sf, y) for y in YEARS}
+    raw = {y: survey.raw_edition(spark, sf, y) for y in survey.ALL_YEARS}
     bronze = silver.union_editions([df.select(F.lit(y).alias("ano")) for y, df in raw.items()])
     core = silver.silver_core({y: raw[y] for y in survey.CORE_YEARS}, survey.CORE_HEADERS)
     every = silver.silver_long({y: raw[y] for y in survey.HISTORY_YEARS}, survey.HISTORY_HEADERS, core)
     return quality.reconcile(bronze, every)
 
+
 COMMENT = "concat('disse \"sim\", talvez', chr(10), 'linha ', CAST(k AS STRING))"
 
+
 @query("d04_csv_shape", f"""SELECT ano, count(*) AS registros,
  CAST(CASE WHEN ano >= {FIRST} THEN 70 ELSE 8 END AS INT) AS colunas FROM every GROUP BY ano""", "every")
 def d04(spark, sf):
     """Records and columns of raw files whose last answer has quotes, commas and line breaks."""
     bronze = new_path(spark, "bronze_shape")
     shapes = []
-    for y in YEARS:
+    for y in survey.ALL_YEARS:
         path = editions.edition_path(bronze, y)
         editions.write_raw(survey.raw_edition(spark, sf, y, {"comentario": COMMENT}), path)
         width = len(editions.read_raw(spark, path).columns)
@@ -82,17 +85,20 @@ def d04(spark, sf):
         )
     return silver.union_editions(shapes)
 
+
 @query("d05_fill_profile", " UNION ALL ".join(
     f"SELECT '{c}' AS coluna, round(100 * count({c}) / count(*), 1) AS pct_preenchido, '{why}' AS motivo FROM every"
     for c, why in v.EMPTY_REASONS.items()), "every")
 def d05(spark, sf):
     return quality.fill_profile(survey.every(spark, sf, *v.EMPTY_REASONS), v.EMPTY_REASONS)
 
+
 @query("d06_uniqueness", """SELECT ano, count(*) AS linhas, count(DISTINCT id) AS ids_distintos,
  count(*) - count(DISTINCT id) AS tokens_repetidos FROM every GROUP BY ano""", "every")
 def d06(spark, sf):
     return quality.uniqueness(survey.every(spark, sf, "ano", "id"), "id")
 
+
 @query("d07_domain_check", """SELECT ano, prioridade_ia, prioridade_ia_h, count(*) AS n FROM every
  GROUP BY ano, prioridade_ia, prioridade_ia_h""", "every")
 def d07(spark, sf):
@@ -100,6 +106,7 @@ def d07(spark, sf):
         "prioridade_ia_h", silver.ai_priority("prioridade_ia"))
     return quality.label_pairs(rows, "prioridade_ia", "prioridade_ia_h")
 
+
 @query("d08_run_metrics", f"""SELECT 'linhas_bronze' AS metrica, count(*) AS valor FROM serie
  UNION ALL SELECT 'linhas_nucleo', count(*) FROM core
  UNION ALL SELECT 'descartados', (SELECT count(*) FROM serie WHERE ano >= {FIRST}) - (SELECT count(*) FROM core)
@@ -111,14 +118,17 @@ def d08(spark, sf):
     series = survey.long_series(spark, sf, "ano")
     return quality.run_metrics(core, series, "id", survey.CORE_YEARS, len(marts()))
 
+
 DIGESTED = ("ano", "id", "genero", "nivel", "cargo_grupo", "lang_python", "satisfeito", "layoff_sim")
 SHOWN = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in DIGESTED)
 
+
 @query("d09_content_checksum", f"""SELECT count(*) AS n,
  CAST(sum(CAST('0x' || substr(md5({SHOWN}), 1, 15) AS BIGINT)) AS VARCHAR) AS checksum FROM every""", "every")
 def d09(spark, sf):
     return quality.content_checksum(survey.every(spark, sf, *DIGESTED), DIGESTED)
 
+
 @query("d10_bootstrap_median_ci")
 def d10(spark, sf):
     """95% interval of the median pay per edition and role family, from 3000 resamples of each group."""

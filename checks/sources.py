@@ -10,50 +10,48 @@ from checks.operators import filled_sql
 from checks.registry import QUERIES, query
 from surveyloom.operators.quality import filled_counts
 from surveyloom.plans import silver
-from surveyloom.plans import vocabulary as v
 from surveyloom.sources import editions, headers, tables
 from surveyloom.sources.folders import new_path
 from surveyloom.streaming.landing import land_new_files
 
-FIRST, LAST = survey.FIRST, survey.LAST
-HISTORY = survey.HISTORY_YEARS
+LAST = survey.LAST
 TYPED = ("genero", "lang_sql", "lang_python")
 
 
-def mapped_history(spark, sf, bronze):
-    """The older files as read, under harmonised names, answers as typed."""
+def mapped_files(spark, bronze):
+    """All files as read, under harmonised names, answers as typed."""
     return silver.union_editions([
-        silver.mapped_edition(editions.read_edition(spark, bronze, y), survey.HISTORY_HEADERS[y], y).select("ano", *TYPED)
-        for y in HISTORY])
+        silver.mapped_edition(editions.read_edition(spark, bronze, y), survey.HEADERS[y], y).select("ano", *TYPED)
+        for y in survey.ALL_YEARS])
 
 
-@query("s01_csv_scan", f"SELECT ano, {', '.join(TYPED)} FROM texts WHERE ano < {FIRST}", "texts")
+@query("s01_csv_scan", f"SELECT ano, {', '.join(TYPED)} FROM texts", "texts")
 def s01(spark, sf):
-    return mapped_history(spark, sf, land_raw(spark, sf, HISTORY))
+    return mapped_files(spark, land_raw(spark, sf, survey.ALL_YEARS))
 
 
-COUNTED = "SELECT ano, genero, count(*) AS n FROM texts WHERE ano < {} GROUP BY ano, genero"
+COUNTED = "SELECT ano, genero, count(*) AS n FROM texts GROUP BY ano, genero"
 
 
-@query("s02_land_if_absent", COUNTED.format(FIRST), "texts")
+@query("s02_land_if_absent", COUNTED, "texts")
 def s02(spark, sf):
     """Landing a second time changes nothing, even if the second delivery differs."""
-    bronze = land_raw(spark, sf, HISTORY)
-    for y in HISTORY:
+    bronze = land_raw(spark, sf, survey.ALL_YEARS)
+    for y in survey.ALL_YEARS:
         once = survey.raw_edition(spark, sf, y)
         editions.land_edition(once.unionByName(once), bronze, y)
-    return mapped_history(spark, sf, bronze).groupBy("ano", "genero").agg(F.count(F.lit(1)).alias("n"))
+    return mapped_files(spark, bronze).groupBy("ano", "genero").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("s02b_land_new_files", COUNTED.format(FIRST), "texts")
+@query("s02b_land_new_files", COUNTED, "texts")
 def s02b(spark, sf):
     """The incremental form: the same inbox is offered twice and taken once."""
-    inbox, bronze = land_raw(spark, sf, HISTORY), new_path(spark, "bronze_stream")
-    for y in HISTORY:
+    inbox, bronze = land_raw(spark, sf, survey.ALL_YEARS), new_path(spark, "bronze_stream")
+    for y in survey.ALL_YEARS:
         source, memory = editions.edition_path(inbox, y), new_path(spark, f"landed_{y}")
         for _ in range(2):
             land_new_files(spark, source, bronze, y, memory)
-    return mapped_history(spark, sf, bronze).groupBy("ano", "genero").agg(F.count(F.lit(1)).alias("n"))
+    return mapped_files(spark, bronze).groupBy("ano", "genero").agg(F.count(F.lit(1)).alias("n"))
 
 
 LAYER = ("id", "genero", "nivel", "salario_pm", "ano")
@@ -101,14 +99,14 @@ def s06(spark, sf):
         ", ".join("('{}', '{}')".format(t, s.replace("'", "''")) for t, s in pairs.items()),
         filled_sql(pairs, f"ano = {y}"),
     )
-    for y, pairs in {**survey.CORE_HEADERS, **survey.HISTORY_HEADERS}.items()), "texts")
+    for y, pairs in survey.HEADERS.items()), "texts")
 def s07(spark, sf):
     """The exported mapping, loaded again and joined to the answers found under each header."""
     path = new_path(spark, "mapping")
     headers.write_mapping(spark, survey.CORE_HEADERS, survey.HISTORY_HEADERS, path)
     filled = silver.union_editions([
         filled_counts(survey.raw_edition(spark, sf, y), "source", "preenchidos").withColumn("edition", F.lit(y))
-        for y in (*HISTORY, *survey.CORE_YEARS)])
+        for y in survey.ALL_YEARS])
     return headers.read_mapping(spark, path).join(filled, ["edition", "source"]).select(
         "edition", "target", "source", "preenchidos")
 

@@ -24,6 +24,9 @@ FIRST, LAST = CORE_YEARS[0], CORE_YEARS[-1]
 CORE_HEADERS = dict(zip(CORE_YEARS, (v.CORE_HEADERS[e] for e in v.CORE_EDITIONS)))
 HISTORY_HEADERS = dict(zip(HISTORY_YEARS, (v.HEADERS_2019, v.HEADERS_2021, v.HEADERS_2022, v.HEADERS_2022)))
 
+ALL_YEARS = (*HISTORY_YEARS, *CORE_YEARS)
+HEADERS = {**HISTORY_HEADERS, **CORE_HEADERS}
+
 ROLE_TEXTS = (
     ("Engenheiro de Dados/Data Engineer", "Engenharia/Arquitetura de Dados"),
     ("Analista de Dados/Data Analyst", "Análise de Dados"),
@@ -292,7 +295,7 @@ def texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 def raw_edition(spark: SparkSession, sf_dir: str, year: int, extra: dict[str, str] | None = None) -> DataFrame:
     """One edition as it would arrive: text only, under the headers of its year."""
-    headers = {**CORE_HEADERS, **HISTORY_HEADERS}[year]
+    headers = HEADERS[year]
     answers = raw_answers(year)
     spec = {headers[c]: answers[c] for c in headers} | (extra or {})
     dates = (

@@ -1,6 +1,6 @@
 """The whole release over a folder: BASE/bronze/ano=YYYY -> BASE/silver -> BASE/gold.
 
-spark-submit surveyloom/run.py BASE [--mapping JSON] [--step silver|gold|all] [--no-volume-gate]
+python -m surveyloom.run BASE [--mapping JSON] [--step silver|gold|all] [--no-volume-gate]
 """
 
 from __future__ import annotations

@@ -45,7 +45,8 @@ def test_unasked_option_gives_no_row(spark):
 
 
 def test_densify_shows_null_for_new_categories(spark):
-    df = spark.createDataFrame([(2024, "Pleno", 40.0), (2025, "Especialista/Staff+", 9.0)], "ano int, nivel string, pct double")
+    rows = [(2024, "Pleno", 40.0), (2025, "Especialista/Staff+", 9.0)]
+    df = spark.createDataFrame(rows, "ano int, nivel string, pct double")
     got = shape.densify(df, ["ano"], "nivel", v.LEVELS, ["pct"]).orderBy("ano", "ordem").collect()
     assert [r["pct"] for r in got] == [None, 40.0, None, None, None, None, None, 9.0]
 

@@ -58,7 +58,7 @@ def test_mart_schema(spark, sf_dir, name):
 
 
 def test_release_end_to_end(spark, sf_dir):
-    bronze = mart_checks.land_raw(spark, sf_dir, (*survey.HISTORY_YEARS, *survey.CORE_YEARS))
+    bronze = mart_checks.land_raw(spark, sf_dir, survey.ALL_YEARS)
     core_raw = {y: read_edition(spark, bronze, y) for y in survey.CORE_YEARS}
     history_raw = {y: read_edition(spark, bronze, y) for y in survey.HISTORY_YEARS}
     expected = {r["ano"]: r["count"] for r in survey.every(spark, sf_dir, "ano").groupBy("ano").count().collect()}
