@@ -36,9 +36,21 @@ def write_raw(df: DataFrame, path: str, mode: str = "error") -> None:
     df.write.mode(mode).options(**RAW_WRITE).csv(path)
 
 
+def is_landed(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds files. What an interrupted write leaves (`_temporary`) does not count."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(folder):
+        return False
+    names = (status.getPath().getName() for status in fs.listStatus(folder))
+    return any(not name.startswith(("_", ".")) for name in names)
+
+
 def land_edition(df: DataFrame, bronze: str, edition: int) -> None:
     """Put an edition under `ano=YYYY` unchanged; one that is already there is left alone."""
-    write_raw(df, edition_path(bronze, edition), mode="ignore")
+    path = edition_path(bronze, edition)
+    if not is_landed(df.sparkSession, path):
+        write_raw(df, path, mode="overwrite")
 
 
 def count_records(spark: SparkSession, path: str) -> DataFrame:

@@ -79,6 +79,22 @@ def test_landing_is_idempotent(spark):
     assert [r["x"] for r in editions.read_edition(spark, bronze, 2025).collect()] == ["um"]
 
 
+def test_interrupted_landing_is_done_again(spark):
+    bronze = new_path(spark, "bronze")
+    Path(editions.edition_path(bronze, 2025), "_temporary", "0").mkdir(parents=True)
+    editions.land_edition(spark.createDataFrame([("um",)], "x string"), bronze, 2025)
+    assert [r["x"] for r in editions.read_edition(spark, bronze, 2025).collect()] == ["um"]
+
+
+def test_delivered_file_is_never_overwritten(spark):
+    bronze = new_path(spark, "bronze")
+    folder = Path(editions.edition_path(bronze, 2025))
+    folder.mkdir(parents=True)
+    (folder / "entrega.csv").write_text("x\nzero\n")
+    editions.land_edition(spark.createDataFrame([("um",)], "x string"), bronze, 2025)
+    assert [r["x"] for r in editions.read_edition(spark, bronze, 2025).collect()] == ["zero"]
+
+
 def test_stream_takes_each_file_once(spark):
     inbox, bronze, memory = (new_path(spark, n) for n in ("inbox", "bronze", "memory"))
     for text, expected in (("um", ["um"]), (None, ["um"]), ("dois", ["dois", "um"])):
