@@ -48,7 +48,7 @@ def value_counts(
 ) -> DataFrame:
     """keys, `_cell`, `_value`, `_rows`: how often each value occurs in each group.
 
-    `sums` are further counts or sums of the same rows, kept per value so that they add up again.
+    `sums` are further counts of the same rows, kept per value so that they add up again.
     """
     return (
         df.withColumn("_value", F.expr(f"CAST({quoted(value)} AS DOUBLE)"))
@@ -91,7 +91,7 @@ def value_profile(
 ) -> DataFrame:
     """keys, n, n_value, mean, median: rows, rows with a value, their mean and interpolated quantile.
 
-    `sums` adds named counts or sums over all rows of the group to the same pass.
+    `sums` adds named counts (nothing negative) over all rows of the group to the same pass.
     """
     keys, extra = list(keys), list(sums or {})
     within = [*keys, "_cell"]
@@ -108,8 +108,7 @@ def value_profile(
     )
     in_cell = f"OVER (PARTITION BY {_list(within)} ORDER BY _value ROWS UNBOUNDED PRECEDING)"
     ranked = (
-        counted.select(*within, "_value", "_rows")
-        .join(wanted, same(within))
+        counted.join(wanted, same(within))
         .selectExpr("*", f"_before + sum(_rows) {in_cell} AS _last")
     )
 
@@ -121,5 +120,7 @@ def value_profile(
         F.expr("max(n_value) AS n_value"),
         F.expr("try_divide(max(_total), max(n_value)) AS mean"),
         F.expr(f"(1 - max(_part)) * {at('_low')} + max(_part) * {at('_high')} AS median"),
-        *[F.expr(f"max({quoted(c + '_w')}) AS {quoted(c)}") for c in extra],
+        # the count of a part is never above the total; naming it keeps both sides of the join alike,
+        # so that they share one scan and one shuffle
+        *[F.expr(f"greatest(max({quoted(c + '_w')}), max({quoted(c)})) AS {quoted(c)}") for c in extra],
     )

@@ -71,6 +71,14 @@ def test_median_never_gathers_a_group(spark, sf_dir):
     assert "percentile" not in text.lower() and "ObjectHashAggregate" not in text
 
 
+@pytest.mark.parametrize("name", ["g05_salary_by_role", "g05b_salary_by_role_seniority", "g12_regions"])
+def test_median_marts_read_their_rows_once(spark, sf_dir, name):
+    df = queries()[name](spark, sf_dir)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert final.count("orders.parquet") == 1 and "ReusedExchange" in final
+
+
 def test_all_columns_of_the_layer():
     assert len(survey.SILVER) == 76
     assert len(silver.flag_columns(list(v.HEADERS_2025))) == 43
