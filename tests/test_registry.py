@@ -2,9 +2,11 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from checks import registry
 from checks.compare import difference, engine
 
+queries, oracle_sql = registry.QUERIES.copy, registry.ORACLES.copy
 WITHOUT_SQL = {"d10_bootstrap_median_ci"}
 
 
