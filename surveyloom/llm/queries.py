@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.llm import mixing, sharding
+from surveyloom.llm import mixing, sharding, simhash, warc
+from surveyloom.llm.frames import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,3 +39,23 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=8).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op3_warc_pages", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, strlen(body) AS n, sha1(body) AS digest FROM p),
+k AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS keep FROM d)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id < keep THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id < keep THEN keep END AS refers_to
+FROM k""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.archived_pages(spark, path)
+
+
+@query("op4_simhash_bk_tree")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_documents(table(spark, sf_dir, "documents"), width=3, radius=3).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
