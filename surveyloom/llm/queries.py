@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.llm import mixing, sharding, simhash, warc
+from surveyloom.llm import chat, mixing, sharding, simhash, tokenbin, topk, warc
 from surveyloom.llm.frames import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,3 +60,47 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_documents(table(spark, sf_dir, "documents"), width=3, radius=3).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op2_top_k", """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS parts FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.parts, v.parts)::BIGINT AS score
+      FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query("op5_bit_packed_tokens")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "tokens")
+    tokenbin.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return tokenbin.token_table(spark, path)
+
+
+@query("op8_chat_round_trip", r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+f AS (
+  SELECT *, '### ' || CASE role WHEN 'system' THEN 'System' WHEN 'user' THEN 'User' WHEN 'assistant' THEN 'Assistant'
+                      ELSE 'Role ' || to_json(role)::VARCHAR END || ':' || chr(10)
+    || regexp_replace(text, '(\\*)(### (?:System:|User:|Assistant:|Role ")|</turn>)', '\\\1\2', 'g')
+    || chr(10) || '</turn>' || chr(10) AS formatted FROM c)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length(formatted))::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = r"\### Assistant: </turn> ok"
+    added = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(added)
+    formatted = chat.format_conversations(rows)
+    return chat.conversation_digests(chat.written(formatted, new_path(spark, "chat")))
