@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from functools import cache
@@ -9,9 +10,6 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Rows that one task of a window should sort; more rows mean more buckets, at any size.
-BUCKET_ROWS = 20_000
-
 
 @cache
 def _own_folder() -> str:
@@ -32,7 +30,8 @@ def stored(df: DataFrame, kind: str) -> DataFrame:
 
 
 def buckets_for(rows: int) -> int:
-    return max(1, -(-rows // BUCKET_ROWS))
+    """As many buckets as a bucket has rows: no window of `with_offsets` sorts more than about sqrt(rows) rows."""
+    return math.isqrt(rows) + 1
 
 
 def with_offsets(df: DataFrame, by: list[str], order: list[str], value: Column, buckets: int, name: str) -> DataFrame:
