@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.llm import chat, mixing, sharding, simhash, tokenbin, topk, warc
+from surveyloom.llm import chat, mixing, secrets, sharding, simhash, tokenbin, topk, toxicity, warc
 from surveyloom.llm.frames import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,3 +104,29 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(added)
     formatted = chat.format_conversations(rows)
     return chat.conversation_digests(chat.written(formatted, new_path(spark, "chat")))
+
+
+@query("op1_secret_battery")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(listed(F.filter("spans", lambda s: s["kind"] != "random")), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"), count("random"))
+
+
+@query("op6_toxicity_string_kernel")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, model).select(
+        "doc_id", (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
