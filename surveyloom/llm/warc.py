@@ -30,6 +30,8 @@ from pyspark.sql.datasource import (
     StringStartsWith,
 )
 
+from surveyloom.llm.frames import stored
+
 RECORD_END = "\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 SCHEMA = ("warc_type string, record_id string, target_uri string, page_id long, refers_to long, "
@@ -49,18 +51,20 @@ def write_archives(pages: DataFrame, path: str, least: int = 1000, date: str = "
     """Write one record per page; of equal payloads of `least` bytes or more all but one become revisits.
 
     The payload is the html in UTF-8 (null: empty). The response is the page with the largest page_id (rows that
-    share that id are all responses; a null id counts as smallest). Only keys and counts are aggregated; a payload with
-    a third of all pages is a skewed join that adaptive execution splits. Spark's text writer ends each record with
+    share that id are all responses; a null id counts as smallest). Only keys and counts are aggregated, and the kept
+    ids are written first: with their size known, Spark sends them to the pages where they fit its broadcast limit and
+    else joins by digest, where adaptive execution splits a payload with a third of all pages. Spark's text writer ends each record with
     CRLF CRLF, which is the WARC record end, so archives are committed like any other output and survive lost tasks.
     """
     html = F.coalesce("html", F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
-                        html.alias("html"), F.sha1(html).alias("digest"),
+                        html.alias("html"), F.sha1(html).alias("digest"), F.unhex(F.sha1(html)).alias("key"),
                         F.octet_length(html).cast("long").alias("n"))
-    kept = rows.where(F.col("n") >= least).groupBy("digest").agg(
-        F.max("page_id").alias("keep"), F.count("*").alias("copies")).where("copies > 1").select("digest", "keep")
+    kept = stored(rows.where(F.col("n") >= least).groupBy("key").agg(
+        F.max("page_id").alias("keep"), F.count("*").alias("copies")).where("copies > 1").select("key", "keep"),
+        "kept-payloads")
     refers = F.when(F.coalesce(F.col("page_id") < F.col("keep"), F.col("keep").isNotNull()), F.col("keep"))
-    rows = rows.join(kept, "digest", "left").withColumn("refers", refers)
+    rows = rows.join(kept, "key", "left").withColumn("refers", refers)
     revisit = F.col("refers").isNotNull()
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
                     F.col("n").cast("string"), F.lit("\r\n\r\n"))
