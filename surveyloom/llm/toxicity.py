@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import sys
 import types
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,7 +22,7 @@ STEPS = [(a, b, c) for c in range(3, 4 + GAPS) for b in range(2, c) for a in ran
 #: Strings longer than this are seen through overlapping windows of it.
 WIDTH = 24
 #: Bounds of the labelled sample that the machine is fitted on: documents of each label, words, landmarks.
-SAMPLE_DOCS, SAMPLE_WORDS, LANDMARKS = 8_000, 120_000, 160
+SAMPLE_DOCS, SAMPLE_WORDS, LANDMARKS = 8_000, 60_000, 160
 REMEMBERED = 150_000
 EDGES = "".join(chr(c) for c in range(33, 128) if not chr(c).isalnum()) + "¿¡«»“”„‘’…–—"
 SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
@@ -38,23 +39,44 @@ def letters(alphabet: str) -> np.ndarray:
 
 
 def windows(chunk: str) -> list[str]:
-    """A chunk's strings: lower case, without marks at its ends, between end signs; cut where it is long."""
+    """A chunk's strings: lower case, without marks at its ends, between end signs; cut where it is long.
+
+    A chunk with marks inside is also seen without them.
+    """
     word = chunk.lower().strip(EDGES)
-    if len(word) <= WIDTH:
-        return [f"\x02{word}\x03"] if word else []
-    return [f"\x02{word[i:i + WIDTH]}\x03" for i in range(0, len(word) - WIDTH // 2, WIDTH // 2)]
+    if not word:
+        return []
+    forms = [word] if word.isalnum() else [word, "".join(filter(str.isalnum, word)) or word]
+    return [f"\x02{form[i:i + WIDTH]}\x03" for form in forms
+            for i in range(0, max(1, len(form) - WIDTH // 2 if len(form) > WIDTH else 1), WIDTH // 2)]
 
 
-def subsequences(words: list[str], lut: np.ndarray) -> np.ndarray:
-    """Kernel features of each word, sorted: key * 8 + gaps per entry, EMPTY where there is none."""
+def with_insertions(words: list[str]) -> list[str]:
+    """Each word with one character put in, at each place inside it: what a disguised insult looks like."""
+    return [w[:i] + mark + w[i:] for w in words for i, mark in zip(range(2, len(w) - 1), "*x1-e0_a.i3o@u" * 2)]
+
+
+def coded(words: list[str], lut: np.ndarray) -> np.ndarray:
     width = max(map(len, words), default=0)
     points = np.array(words, f"<U{max(width, 1)}").view("<u4").reshape(len(words), -1)
-    codes = lut[np.minimum(points, 0x5FF)]
-    found = []
-    for a, b, c in STEPS:
-        if (n := codes.shape[1] - c) > 0:
-            keys = ((codes[:, :n] << 18) | (codes[:, a:a + n] << 12) | (codes[:, b:b + n] << 6) | codes[:, c:]) << 3 | (c - 3)
-            found.append(np.where(codes[:, c:] > 0, keys, EMPTY))
+    return lut[np.minimum(points, 0x5FF)]
+
+
+def keys_at(codes: np.ndarray, step: tuple[int, int, int]) -> np.ndarray:
+    """Keys of the subsequences with these offsets, from each place; 0 beyond a word's end."""
+    a, b, c = step
+    n = codes.shape[1] - c
+    keys = (codes[:, :n] << 18) | (codes[:, a:a + n] << 12) | (codes[:, b:b + n] << 6) | codes[:, c:]
+    return np.where(codes[:, c:] > 0, keys, 0)
+
+
+def subsequences(words: list[str], lut: np.ndarray) -> np.ndarray:
+    """Kernel features of each word, sorted: key * 8 + gaps per entry, EMPTY where there is none."""
+    codes, found = coded(words, lut), []
+    for step in STEPS:
+        if codes.shape[1] > step[2]:
+            keys = keys_at(codes, step)
+            found.append(np.where(keys > 0, keys << 3 | (step[2] - 3), EMPTY))
     return np.sort(np.concatenate(found, 1), 1) if found else np.full((len(words), 1), EMPTY, np.int32)
 
 
@@ -89,6 +111,17 @@ class Model:
         gain = table[np.where(features == EMPTY, 0, features >> 3)]
         return (weight * gain).sum(1) / lengths(features, weight) + self.offset
 
+    def positive_margins(self, words: list[str], lut: np.ndarray, table: np.ndarray) -> np.ndarray:
+        """Margins, where they are positive; else some value up to 0. A norm is 1 at least, so few need theirs."""
+        codes, gain = coded(words, lut), np.zeros(len(words))
+        for step in STEPS:
+            if codes.shape[1] > step[2]:
+                gain += DECAY ** (step[2] - 3) * table[keys_at(codes, step)].sum(1)
+        margins = np.minimum(gain + self.offset, 0.0)
+        if len(hot := np.flatnonzero(gain + self.offset > 0)):
+            margins[hot] = self.margins([words[i] for i in hot], lut, table)
+        return np.maximum(margins, -2.0)
+
     def table(self) -> np.ndarray:
         table = np.zeros(1 << 24, np.float32)
         table[self.keys] = self.values
@@ -115,11 +148,12 @@ class Scorer:
         parts.sort(key=lambda x: len(x[1]))
         for i in range(0, len(parts), 4096):
             piece = parts[i:i + 4096]
-            for (chunk, _), margin in zip(piece, self.model.margins([w for _, w in piece], self.lut, self.table)):
+            for (chunk, _), margin in zip(piece, self.model.positive_margins(
+                    [w for _, w in piece], self.lut, self.table)):
                 self.new[chunk] = max(self.new[chunk], float(margin))
 
     def features(self, texts: list[str]) -> np.ndarray:
-        """Highest margin, positive margins summed (log) and their share among the text's strings (log)."""
+        """Highest positive margin, positive margins summed (log) and their share among the text's strings (log)."""
         split = []
         for text in texts:
             chunks = text.split()
@@ -133,12 +167,12 @@ class Scorer:
             if missing := [c for c in unique if c not in self.new]:
                 self._learn(missing)
             known = {c: self.new[c] for c in unique}
-            top = max(known.values(), default=-2.0)
+            top = max(known.values(), default=0.0)
             total = 0.0
             if top > 0:
                 hot = {c for c, margin in known.items() if margin > 0}
                 total = sum(known[c] for c in chunks if c in hot)
-            out[row] = top, np.log1p(total), np.log1p(100 * total / max(len(chunks), 1))
+            out[row] = max(top, 0.0), np.log1p(total), np.log1p(100 * total / max(len(chunks), 1))
         return out
 
     def scores(self, texts: list[str]) -> np.ndarray:
@@ -207,7 +241,7 @@ def kernel(words: list[str], landmarks: list[str], lut: np.ndarray) -> np.ndarra
 
 
 def fit_words(words: list[str], toxic: np.ndarray, clean: np.ndarray, share: float, rounds: int = 3) -> Model | None:
-    """Fit the machine on words with the number of toxic and clean texts that hold them.
+    """Fit the machine on words with the number of contexts in which toxic and clean texts hold them.
 
     Labels are of texts, so which strings make a text toxic has to be found: first those that only toxic texts hold,
     too often for chance; then, as in multiple-instance learning, in each round those of toxic texts alone that
@@ -239,10 +273,15 @@ def fit_words(words: list[str], toxic: np.ndarray, clean: np.ndarray, share: flo
         between = kernel(marks, marks, lut).astype(float)
         size, vectors = np.linalg.eigh((between + between.T) / 2)
         root = vectors * np.where(size > 1e-6, 1 / np.sqrt(np.maximum(size, 1e-6)), 0)
-        rows = np.concatenate([chosen, negative])
-        z = kernel([words[i] for i in rows], marks, lut) @ root
-        y = np.where(np.arange(len(rows)) < len(chosen), 1.0, -1.0)
-        cost = np.where(y > 0, len(negative) / len(chosen), 1.0) * min(1.0, 2e4 / len(rows)) * 4
+        shown = with_insertions([words[i] for i in by_count[:400]])
+        rows = [words[i] for i in chosen] + shown + [words[i] for i in negative]
+        z = kernel(rows, marks, lut) @ root
+        plain, put_in = len(chosen), len(chosen) + len(shown)
+        y = np.where(np.arange(len(rows)) < put_in, 1.0, -1.0)
+        cost = np.ones(len(rows))
+        cost[:plain] = len(negative) / plain
+        cost[plain:put_in] = len(negative) / max(len(shown), 1) / 4
+        cost *= min(1.0, 2e4 / len(rows)) * 4
         w = squared_hinge(np.column_stack([z, np.ones(len(z))]), y, cost)
         beta = root @ w[:-1]
         features = subsequences(marks, lut)
@@ -285,21 +324,27 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         for batch in batches:
             word, toxic = [], []
             for label, text in zip(batch.column(1).to_pylist(), batch.column(2)):
-                found = {w for chunk in set(text.as_py().split()) for w in windows(chunk)}
+                chunks = text.as_py().split()
+                found = {(w, zlib.crc32(f"{before} {after}".encode())) for before, chunk, after in zip(
+                    ["", *chunks], chunks, [*chunks[1:], ""]) for w in windows(chunk)}
                 word += found
                 toxic += [label] * len(found)
-            yield pa.RecordBatch.from_arrays([pa.array(word, pa.string()), pa.array(toxic, pa.int32())], names=["word", "toxic"])
+            yield pa.RecordBatch.from_arrays([
+                pa.array([w for w, _ in word], pa.string()), pa.array([c for _, c in word], pa.int64()),
+                pa.array(toxic, pa.int32())], names=["word", "context", "toxic"])
 
     texts = stored(picked, "toxicity-sample")
     sizes = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
-    counts = texts.mapInArrow(strings, "word string, toxic int").groupBy("word").agg(
+    # copies of a text repeat its contexts, so a word counts once for each pair of neighbours
+    counts = texts.mapInArrow(strings, "word string, context long, toxic int").distinct().groupBy("word").agg(
         F.sum("toxic").alias("toxic"), F.count_if(F.col("toxic") == 0).alias("clean"))
-    table = counts.orderBy(F.desc(F.col("toxic") > 1), F.desc("toxic"), F.xxhash64("word"), "word").limit(SAMPLE_WORDS).toArrow()
+    table = counts.orderBy(F.desc(F.col("toxic") > 1), F.desc("toxic"), F.xxhash64("word"), "word").limit(
+        SAMPLE_WORDS).toArrow()
     words = table["word"].to_pylist()
     toxic, clean = (table[c].to_numpy().astype(np.int64) for c in ("toxic", "clean"))
     model = None
     if len(sizes) == 2:
-        model = fit_words(words, toxic, clean, sizes[1] / (sizes[0] + sizes[1]))
+        model = fit_words(words, toxic, clean, toxic.sum() / max(toxic.sum() + clean.sum(), 1))
     if model is None:
         return Model("", np.zeros(0, np.int64), np.zeros(0, np.float32), -1.0, None)
 
