@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.llm import chat, mixing, secrets, sharding, simhash, tokenbin, topk, toxicity, warc
+from surveyloom.llm import chat, decontaminate, mixing, secrets, sharding, simhash, tokenbin, topk, toxicity, warc
 from surveyloom.llm.frames import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,3 +130,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, model).select(
         "doc_id", (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op10_latent_decontamination")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
