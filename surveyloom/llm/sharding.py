@@ -82,4 +82,5 @@ def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
         "digest", F.size(F.filter("ends", lambda end: end <= F.col("ordinal"))).alias("shard"))
     rows = slim.join(placed, "digest").select("doc_id", "size", "text_crc32", "shard", "digest")
     return with_offsets(
-        stored(rows, "shard-places"), ["shard"], ["doc_id", "digest"], F.lit(1), buckets, "slot").drop("digest")
+        stored(rows, "shard-places"), ["shard"], ["doc_id", "digest"], F.lit(1), buckets, "slot").select(
+        "doc_id", "size", "text_crc32", "shard", "slot")

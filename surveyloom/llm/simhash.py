@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations, repeat
+from itertools import combinations, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +35,11 @@ def fingerprint(text: str | None, width: int = 3) -> int:
         shingles, n = map(b" ".join, zip(*(words[i:] for i in range(width)))), len(words) - width + 1
     counts, left = np.zeros(64, np.int64), n
     while left > 0:
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, (s for s, _ in zip(shingles, range(HASH_SLICE))), repeat(42)),
-                             np.uint64) if left > HASH_SLICE else np.fromiter(
-                                 map(xxhash.xxh64_intdigest, shingles, repeat(42)), np.uint64, left)
+        size = min(left, HASH_SLICE)
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, islice(shingles, size), repeat(42)), np.uint64, size)
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         counts += bits.sum(axis=0, dtype=np.int32)
-        left -= len(hashes)
+        left -= size
     return int(np.packbits(counts * 2 > n, bitorder="little").view(np.int64)[0])
 
 
