@@ -24,7 +24,7 @@ BLOCK_END = "\n"
 BLOCK_IDS = 1 << 16
 BLOCKS_PER_FILE = 512
 #: Words whose ids a worker remembers; twice as many while it forgets the older ones.
-REMEMBERED = 250_000
+REMEMBERED = 500_000
 MARK = "\x01"
 
 
@@ -70,10 +70,11 @@ class Encoder:
         apart = [w for w in words if MARK not in w and len(w) < 200] if self.mark is not None else []
         found: dict[str, bytes] = {}
         if apart:
-            ids = np.array(self.tokenizer.encode(f" {MARK} ".join(apart), add_special_tokens=False).ids, "<u4")
-            parts = np.split(ids, np.flatnonzero(ids == self.mark))
-            if len(parts) == len(apart):
-                found = {w: part[i > 0:].tobytes() for i, (w, part) in enumerate(zip(apart, parts))}
+            joined = self.tokenizer.encode_batch_fast([f" {MARK} ".join(apart)], add_special_tokens=False)[0]
+            ids = np.array(joined.ids, "<u4")
+            ends, raw = [*(4 * np.flatnonzero(ids == self.mark)).tolist(), 4 * len(ids)], ids.tobytes()
+            if len(ends) == len(apart):
+                found = {w: raw[a:b] for w, a, b in zip(apart, [0, *(x + 4 for x in ends)], ends)}
         return [found[w] if w in found else np.array(
             self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
 
@@ -103,11 +104,9 @@ class Encoder:
         if len(self.new) > REMEMBERED:
             self.old, self.new = self.new, {"": b""}
         words = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(self.new.__getitem__, words))
-        except KeyError:
-            self._learn(list({w for w in words if w not in self.new}))
-            return b"".join(map(self.new.__getitem__, words))
+        if missing := set(words).difference(self.new):
+            self._learn(list(missing))
+        return b"".join(map(self.new.__getitem__, words))
 
 
 def encoder(spec: str) -> Encoder:
