@@ -42,7 +42,7 @@ def unpack(data: bytes, bits: int, first: int, count: int) -> np.ndarray:
     part = np.frombuffer(data, np.uint8)[start // 8: -(-end // 8)]
     out = np.zeros((count, 4), np.uint8)
     if bits % 8 == 0:
-        out[:, : bits // 8] = part.reshape(count, -1)
+        out[:, : bits // 8] = part.reshape(count, bits // 8)
     else:
         wide = np.unpackbits(part, bitorder="little")[start % 8: start % 8 + end - start].reshape(count, bits)
         out[:, : -(-bits // 8)] = np.packbits(wide, axis=1, bitorder="little")
