@@ -244,11 +244,15 @@ def found_in(texts: pa.Array, model: Model) -> Iterator[tuple[int, dict]]:
                 at += 1
                 low = max(0, first * half - len(wanted))
                 region = part.words[t][low: last_place * half + PASSAGE + len(wanted)]
+                there = set(region)
+                if sum(w in there for w in wanted) < PARAPHRASE * len(wanted):
+                    continue  # a common subsequence cannot hold words that are not there
                 n, a, b = common(wanted, region)
                 share = n / len(wanted)
-                close = b - a <= 2 * len(wanted)
+                if share < PARAPHRASE or b - a > 2 * len(wanted):
+                    continue
                 answered = in_order(answer, region[a:b + len(answer)])
-                if close and (share >= VERBATIM or share >= PARAPHRASE and answered):
+                if share >= VERBATIM or answered:
                     hit = {"item_id": item_id, "cosine": float(cosines[part.starts[t] + first: part.starts[t] + last_place
                                                                        + 1, i].max()),
                            "common_words": n, "coverage": share, "answered": answered,
