@@ -72,17 +72,12 @@ def g05(spark, sf):
     return marts.salary_by_role(survey.core(spark, sf, "ano", "cargo_grupo", "salario_pm"))
 
 
-ROLE_LEVEL_SQL = """SELECT t.ano, t.cargo_grupo, total_grupo,
- round(100 * coalesce(p.plus, 0) / total_grupo, 1) AS pct_senior_mais, n_senior, salario_mediano_pm_senior
- FROM (SELECT ano, cargo_grupo, count(*) AS total_grupo FROM core
-  WHERE cargo_grupo IS NOT NULL AND nivel IS NOT NULL GROUP BY ano, cargo_grupo) t
- LEFT JOIN (SELECT ano, cargo_grupo, count(*) AS plus FROM core
-  WHERE cargo_grupo IS NOT NULL AND nivel IN ('Sênior', 'Especialista/Staff+') GROUP BY ano, cargo_grupo) p
-  ON t.ano = p.ano AND t.cargo_grupo = p.cargo_grupo
- LEFT JOIN (SELECT ano, cargo_grupo, count(*) AS n_senior,
-   round(quantile_cont(salario_pm, 0.5), 0) AS salario_mediano_pm_senior FROM core
-  WHERE cargo_grupo IS NOT NULL AND nivel = 'Sênior' AND salario_pm IS NOT NULL GROUP BY ano, cargo_grupo) s
-  ON t.ano = s.ano AND t.cargo_grupo = s.cargo_grupo"""
+#: One grouped statement; each figure filters the rows it counts.
+ROLE_LEVEL_SQL = """SELECT ano, cargo_grupo, count(nivel) AS total_grupo,
+ round(100 * count(*) FILTER (nivel IN ('Especialista/Staff+', 'Sênior')) / count(nivel), 1) AS pct_senior_mais,
+ nullif(count(salario_pm) FILTER (nivel = 'Sênior'), 0) AS n_senior,
+ round(quantile_cont(salario_pm, 0.5) FILTER (nivel = 'Sênior'), 0) AS salario_mediano_pm_senior
+FROM core WHERE cargo_grupo IS NOT NULL GROUP BY ano, cargo_grupo HAVING count(nivel) > 0"""
 
 
 @query("g05b_salary_by_role_seniority", ROLE_LEVEL_SQL)

@@ -119,13 +119,19 @@ def d08(spark, sf):
     return quality.run_metrics(core, series, "id", survey.CORE_YEARS, len(marts()))
 
 
-DIGESTED = ("ano", "id", "genero", "nivel", "cargo_grupo", "lang_python", "satisfeito", "layoff_sim")
-SHOWN = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in DIGESTED)
+DIGESTED = tuple(survey.ANSWERS)
+
+
+def field_sql(c: str) -> str:
+    text = f"CAST({'CAST(salario_pm AS DECIMAL(38,4))' if c == 'salario_pm' else c} AS VARCHAR)"
+    return f"coalesce(length({text}) || ':' || {text}, 'N')"
 
 
 @query("d09_content_checksum", f"""SELECT count(*) AS n,
- CAST(sum(CAST('0x' || substr(md5({SHOWN}), 1, 15) AS BIGINT)) AS VARCHAR) AS checksum FROM every""", "every")
+ CAST(sum(CAST('0x' || substr(md5({" || ".join(map(field_sql, DIGESTED))}), 1, 15) AS BIGINT)) AS VARCHAR) AS checksum
+ FROM every""", "every")
 def d09(spark, sf):
+    """Every column of every edition in one digest."""
     return quality.content_checksum(survey.every(spark, sf, *DIGESTED), DIGESTED)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks import survey
-from checks.marts import GENDERS, dist_sql
+from checks.marts import dist_sql
 from checks.registry import query
 from surveyloom.plans import questions
 
@@ -24,11 +24,16 @@ def q02(spark, sf):
     return questions.salary_ladder(survey.banded(spark, sf, "ano", "nivel", "salario_pm", core_only=True))
 
 
-GAP_SQL = f"""WITH pay AS (SELECT nivel, genero, quantile_disc(salario_pm, 0.5) AS med, count(*) AS n FROM silver
- WHERE ano = {LAST} AND salario_pm IS NOT NULL AND nivel IS NOT NULL AND {GENDERS} GROUP BY nivel, genero)
-SELECT f.nivel, round(f.med, 0) AS mediana_feminino, round(m.med, 0) AS mediana_masculino,
- round(100 * (f.med / m.med - 1), 1) AS gap_pct, f.n AS n_feminino, m.n AS n_masculino
-FROM pay f JOIN pay m ON f.nivel = m.nivel WHERE f.genero = 'Feminino' AND m.genero = 'Masculino'"""
+#: One pass: both genders' pay side by side per level, by filtered aggregates.
+GAP_SQL = f"""SELECT nivel, round(fem, 0) AS mediana_feminino, round(masc, 0) AS mediana_masculino,
+ round((fem - masc) * 100 / masc, 1) AS gap_pct, n_feminino, n_masculino
+FROM (SELECT nivel,
+  quantile_disc(salario_pm, 0.5) FILTER (genero = 'Feminino') AS fem,
+  quantile_disc(salario_pm, 0.5) FILTER (genero = 'Masculino') AS masc,
+  count(salario_pm) FILTER (genero = 'Feminino') AS n_feminino,
+  count(salario_pm) FILTER (genero = 'Masculino') AS n_masculino
+ FROM silver WHERE ano = {LAST} AND nivel IS NOT NULL GROUP BY nivel)
+WHERE n_feminino > 0 AND n_masculino > 0"""
 
 
 @query("q03_gender_gap", GAP_SQL, "silver")
@@ -37,9 +42,14 @@ def q03(spark, sf):
     return questions.gender_gap(rows, LAST)
 
 
-@query("q04_tech_evolution", """SELECT ano, round(100 * avg(lang_python), 1) AS pct_python,
- round(100 * avg(lang_sql), 1) AS pct_sql, round(100 * avg(cloud_aws), 1) AS pct_aws,
- count(lang_python) AS base_valida FROM serie GROUP BY ano""", "serie")
+def share_sql(flag: str, name: str) -> str:
+    """Yes answers among all answers, in percent."""
+    return f"round(100.0 * count(*) FILTER ({flag} = 1) / nullif(count({flag}), 0), 1) AS {name}"
+
+
+@query("q04_tech_evolution", f"""SELECT ano, count(*) FILTER (lang_python IS NOT NULL) AS base_valida,
+ {share_sql("lang_python", "pct_python")}, {share_sql("lang_sql", "pct_sql")}, {share_sql("cloud_aws", "pct_aws")}
+ FROM serie GROUP BY ano""", "serie")
 def q04(spark, sf):
     return questions.tech_evolution(survey.long_series(spark, sf, "ano", "lang_python", "lang_sql", "cloud_aws"))
 
@@ -49,15 +59,15 @@ def q05(spark, sf):
     return questions.ai_priority(survey.core(spark, sf, "ano", "prioridade_ia_h"))
 
 
-def side_sql(column: str, name: str) -> str:
-    return f"""(SELECT {column} AS modelo, round(100 * count(*) / sum(count(*)) OVER (), 1) AS {name}
- FROM core WHERE ano = {LAST} AND {column} IS NOT NULL GROUP BY {column})"""
-
-
-MODEL_GAP_SQL = f"""SELECT coalesce(a.modelo, i.modelo) AS modelo, pct_atual, pct_ideal,
- round(pct_ideal - pct_atual, 1) AS gap_pp
-FROM {side_sql("modelo_atual_h", "pct_atual")} a FULL JOIN {side_sql("modelo_ideal_h", "pct_ideal")} i
- ON a.modelo = i.modelo"""
+#: Both answers of a row are stacked, counted in one pass per model, and related to all answers of their kind.
+MODEL_GAP_SQL = f"""WITH stacked AS (
+ SELECT unnest([modelo_atual_h, modelo_ideal_h]) AS modelo, unnest([true, false]) AS practised FROM core WHERE ano = {LAST}),
+tally AS (SELECT modelo, count(*) FILTER (practised) AS now, count(*) FILTER (NOT practised) AS wished
+ FROM stacked WHERE modelo IS NOT NULL GROUP BY modelo),
+shares AS (SELECT modelo,
+ CASE WHEN now > 0 THEN round(now * 100.0 / (SELECT sum(now) FROM tally), 1) END AS pct_atual,
+ CASE WHEN wished > 0 THEN round(wished * 100.0 / (SELECT sum(wished) FROM tally), 1) END AS pct_ideal FROM tally)
+SELECT modelo, pct_atual, pct_ideal, round(pct_ideal - pct_atual, 1) AS gap_pp FROM shares"""
 
 
 @query("q06_model_gap", MODEL_GAP_SQL)
@@ -65,7 +75,7 @@ def q06(spark, sf):
     return questions.model_gap(survey.core(spark, sf, "ano", "modelo_atual_h", "modelo_ideal_h"), LAST)
 
 
-@query("q07_market_pulse", """SELECT ano, round(100 * avg(satisfeito), 1) AS pct_satisfeitos,
- round(100 * avg(layoff_sim), 1) AS pct_layoff_sim, count(satisfeito) AS n_validos FROM core GROUP BY ano""")
+@query("q07_market_pulse", f"""SELECT ano, count(*) FILTER (satisfeito IS NOT NULL) AS n_validos,
+ {share_sql("satisfeito", "pct_satisfeitos")}, {share_sql("layoff_sim", "pct_layoff_sim")} FROM core GROUP BY ano""")
 def q07(spark, sf):
     return questions.market_pulse(survey.core(spark, sf, "ano", "satisfeito", "layoff_sim"))

@@ -33,17 +33,29 @@ def repair_ceiling(low: Column, high: Column) -> Column:
     return F.when(high < low, high * 10).otherwise(high)
 
 
+def once(value: Column, use) -> Column:
+    """`use(value)` with `value` computed a single time per row: a lambda variable is not copied into its uses."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def band_midpoint(c: Column | str) -> Column:
     """Pay band text -> midpoint. Open bands: half the ceiling, or the floor plus one eighth."""
     text = _col(c)
-    low = strip_thousands(F.regexp_extract(text, _NUMBER, 0))
-    high = strip_thousands(F.regexp_extract(text, _NUMBER_AFTER_FIRST, 1))
-    return (
-        F.when(text.contains("Menos"), low / 2)
-        .when(text.contains("Acima"), low * 1.125)
-        .otherwise(F.coalesce((low + repair_ceiling(low, high)) / 2, low))
+    ends = F.struct(
+        strip_thousands(F.regexp_extract(text, _NUMBER, 0)).alias("low"),
+        strip_thousands(F.regexp_extract(text, _NUMBER_AFTER_FIRST, 1)).alias("high"),
     )
 
+    def middle(band: Column) -> Column:
+        low = band["low"]
+        return (
+            F.when(text.contains("Menos"), low / 2)
+            .when(text.contains("Acima"), low * 1.125)
+            .otherwise(F.coalesce((low + repair_ceiling(low, band["high"])) / 2, low))
+        )
+
+    return once(ends, middle)
+
 
 def lenient_int(c: Column | str) -> Column:
     """Whole part of a decimal text; anything else, or an overflow, is NULL also under ANSI."""
@@ -78,9 +90,10 @@ def label_by_fragment(
     c: Column | str, rules: Sequence[tuple[str, Sequence[str]]], default: str
 ) -> Column:
     """First rule with a fragment inside the lower-cased text wins; NULL stays NULL."""
-    text = _col(c)
-    low = F.lower(text)
-    return _first_match(text, [(any_contains(low, parts), label) for label, parts in rules], default)
+    def label(low: Column) -> Column:
+        return _first_match(low, [(any_contains(low, parts), name) for name, parts in rules], default)
+
+    return once(F.lower(_col(c)), label)
 
 
 def label_by_prefix(c: Column | str, rules: Sequence[tuple[str, str]], default: str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.functions.scalars import quoted
@@ -120,9 +120,17 @@ def run_metrics(
     )
 
 
-def content_checksum(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Row count and a sum of row digests: the same rows in any order give the same pair."""
-    shown = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns]
-    digest = F.conv(F.substring(F.md5(F.concat_ws("|", *shown)), 1, 15), 16, 10).cast("decimal(38,0)")
-    return df.agg(F.count(F.lit(1)).alias("n"), F.sum(digest).cast("string").alias("checksum"))
+def content_checksum(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Row count and a sum of row digests: the same rows in any order give the same pair.
+
+    A row is digested as its fields, each with its length before it (NULL: N), so no two rows of different fields
+    read alike. Doubles are digested to four decimals.
+    """
+    def field(c: str) -> Column:
+        value = F.col(quoted(c))
+        text = (value.cast("decimal(38,4)") if dict(df.dtypes)[c] == "double" else value).cast("string")
+        return F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("N"))
 
+    row = F.concat(*[field(c) for c in columns or df.columns])
+    digest = F.conv(F.substring(F.md5(row), 1, 15), 16, 10).cast("decimal(38,0)")
+    return df.agg(F.count(F.lit(1)).alias("n"), F.sum(digest).cast("string").alias("checksum"))

@@ -28,8 +28,14 @@ def build_silver(
     """Write both layers and return them as read back.
 
     The long series takes its core rows from the written core layer, so the wide raw files are
-    parsed once. The row-volume gate runs on the written layers, where a count reads no columns.
+    parsed once. The row-volume gate counts the raw rows before anything is overwritten, and the written layers once
+    more, where a count reads no columns: a short delivery leaves the last good layers as they are.
     """
+    if expected is not None:
+        arrived = silver.union_editions([
+            df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(e).alias("edition"), "n")
+            for e, df in {**history_raw, **core_raw}.items()])
+        require_volumes(volume_gate(arrived, spark.createDataFrame(list(expected.items()), "edition int, expected long")))
     write_layer(silver.silver_core(core_raw, core_headers), f"{folder}/silver_core")
     core = read_table(spark, f"{folder}/silver_core")
     write_layer(silver.silver_long(history_raw, history_headers, core), f"{folder}/silver_serie_longa")

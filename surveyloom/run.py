@@ -11,8 +11,8 @@ from pyspark.sql import SparkSession
 
 from surveyloom.plans import release
 from surveyloom.plans import vocabulary as v
-from surveyloom.sources.editions import read_edition
-from surveyloom.sources.headers import as_headers, read_mapping
+from surveyloom.sources.editions import landed_editions, read_edition
+from surveyloom.sources.headers import as_headers, older_editions, read_mapping
 from surveyloom.sources.tables import read_table
 
 
@@ -20,9 +20,11 @@ def run(spark: SparkSession, base: str, step: str = "all", mapping: str | None =
     """Rows per mart written; empty if only silver was asked for."""
     if step in ("silver", "all"):
         headers = as_headers(read_mapping(spark, mapping)) if mapping else v.CORE_HEADERS | v.HISTORY_HEADERS
-        core, older = (
-            {e: headers[e] for e in editions} for editions in (v.CORE_EDITIONS, v.HISTORY_EDITIONS)
-        )
+        history = older_editions(spark, mapping) if mapping else set(v.HISTORY_EDITIONS)
+        if odd := landed_editions(spark, f"{base}/bronze") ^ set(headers):
+            raise ValueError(f"editions with files but no mapping, or a mapping but no files: {sorted(odd)}")
+        core = {e: headers[e] for e in sorted(set(headers) - history)}
+        older = {e: headers[e] for e in sorted(history)}
         release.build_silver(
             spark,
             {e: read_edition(spark, f"{base}/bronze", e) for e in core},

@@ -14,12 +14,24 @@ def edition_path(bronze: str, edition: int) -> str:
 
 
 def read_raw(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Header-named, all-string scan. `multiline` is for answers with line breaks (not splittable)."""
-    return spark.read.csv(path, header=True, inferSchema=False, escape='"', multiLine=multiline)
+    """Header-named, all-string scan of all files below `path`.
+
+    A file whose header differs from the first one's is an error, not a shift of its columns. `multiline` is for
+    answers with line breaks (such files are not split).
+    """
+    return spark.read.csv(path, header=True, inferSchema=False, enforceSchema=False, escape='"',
+                          multiLine=multiline, recursiveFileLookup=True)
+
+
+def read_edition(spark: SparkSession, bronze: str, edition: int, multiline: bool = False) -> DataFrame:
+    return read_raw(spark, edition_path(bronze, edition), multiline)
 
 
-def read_edition(spark: SparkSession, bronze: str, edition: int) -> DataFrame:
-    return read_raw(spark, edition_path(bronze, edition))
+def landed_editions(spark: SparkSession, bronze: str) -> set[int]:
+    """The editions that have files."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(bronze)
+    found = files.select(F.regexp_extract("path", r"/ano=(\d+)/", 1).alias("e")).where("e <> ''").distinct()
+    return {int(row["e"]) for row in found.collect()}
 
 
 # How raw answers are written: a header in every part, so that parts stay readable on their own, and

@@ -56,3 +56,10 @@ def as_headers(mapping: DataFrame) -> dict[int, dict[str, str]]:
     for row in mapping.collect():
         out.setdefault(row["edition"], {})[row["target"]] = row["source"]
     return out
+
+
+def older_editions(spark: SparkSession, path: str) -> set[int]:
+    """The editions that an exported JSON lists as older ones."""
+    whole = spark.read.text(path, wholetext=True).select(F.get_json_object("value", f"$.{_HISTORY}").alias("value"))
+    keys = whole.select(F.explode(F.json_object_keys("value")).alias("edition"))
+    return {int(row["edition"]) for row in keys.collect()}

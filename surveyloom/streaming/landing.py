@@ -2,28 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import hashlib
 
-from surveyloom.sources.editions import RAW_WRITE, edition_path, read_raw
+from pyspark.sql import DataFrame, SparkSession
+
+from surveyloom.sources.editions import edition_path
 
 
 def land_new_files(spark: SparkSession, inbox: str, bronze: str, edition: int, checkpoint: str) -> None:
-    """Append the files of `inbox` not seen before to the edition's folder, then stop.
+    """Put the files of `inbox` not seen before below the edition's folder, then stop.
 
-    Re-running with the same checkpoint lands nothing twice, also after a failure half way. The
-    header of the files already there gives the columns.
+    Files are taken as whole texts: nothing is parsed, so line breaks, surplus fields, quotes and each file's own header
+    arrive as delivered, one landed file per delivered one, with a line feed after its end. A batch has a folder named by
+    checkpoint and batch, which a repeated batch overwrites: re-running lands nothing twice, also after a failure
+    half way. The memory of taken files stays in the checkpoint; delivered files beside the batches stay visible.
     """
-    arrived = (
-        spark.readStream.schema(read_raw(spark, inbox).schema)
-        .option("header", True)
-        .option("escape", '"')
-        .csv(inbox)
-    )
+    name = hashlib.sha1(checkpoint.encode()).hexdigest()[:8]
+
+    def land(batch: DataFrame, number: int) -> None:
+        folder = f"{edition_path(bronze, edition)}/lote-{name}-{number:06d}"
+        batch.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(folder)
+
     query = (
-        arrived.writeStream.format("csv")
-        .options(**RAW_WRITE)
+        spark.readStream.format("text").option("wholetext", True).load(inbox)
+        .writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(edition_path(bronze, edition))
+        .start()
     )
     query.awaitTermination()

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from checks import marts as mart_checks
 from checks import survey
 from checks.marts import land_raw
 from surveyloom.operators import shape, shares
@@ -82,3 +83,11 @@ def test_median_marts_read_their_rows_once(spark, sf_dir, name):
 def test_all_columns_of_the_layer():
     assert len(survey.SILVER) == 76
     assert len(silver.flag_columns(list(v.HEADERS_2025))) == 43
+
+
+def test_texts_are_folded_and_searched_once(spark, sf_dir):
+    bronze = mart_checks.land_raw(spark, sf_dir, survey.CORE_YEARS)
+    core = mart_checks.core_from_files(spark, bronze)
+    plan = core._jdf.queryExecution().optimizedPlan().toString()
+    branches = plan.count("Relation [")
+    assert plan.count("lower(") <= 3 * branches and plan.count("regexp_extract(") <= 3 * branches

@@ -70,3 +70,11 @@ def test_checksum_ignores_order_but_not_content(spark):
     assert quality.content_checksum(df.repartition(7).orderBy("b"), ["a", "b"]).first() == one
     assert quality.content_checksum(df.replace("r7", "r8", ["b"]), ["a", "b"]).first() != one
     assert quality.content_checksum(df.union(df), ["a", "b"]).first() != one
+
+
+def test_checksum_tells_fields_apart(spark):
+    def digest(*row):
+        return quality.content_checksum(spark.createDataFrame([row], "a string, b string"), ["a", "b"]).first()["checksum"]
+
+    pairs = [("a|b", "c"), ("a", "b|c"), (None, "c"), ("~", "c"), ("N", "c"), ("", "c"), ("1:a", ""), ("", "1:a")]
+    assert len({digest(*p) for p in pairs}) == len(pairs)

@@ -63,10 +63,11 @@ def test_release_end_to_end(spark, sf_dir):
     history_raw = {y: read_edition(spark, bronze, y) for y in survey.HISTORY_YEARS}
     expected = {r["ano"]: r["count"] for r in survey.every(spark, sf_dir, "ano").groupBy("ano").count().collect()}
 
+    target = new_path(spark, "silver")
+
     def build(volumes):
         return release.build_silver(
-            spark, core_raw, history_raw, survey.CORE_HEADERS, survey.HISTORY_HEADERS,
-            new_path(spark, "silver"), volumes)
+            spark, core_raw, history_raw, survey.CORE_HEADERS, survey.HISTORY_HEADERS, target, volumes)
 
     core, series = build(expected)
     assert core.count() == sum(expected[y] for y in survey.CORE_YEARS)
@@ -75,6 +76,8 @@ def test_release_end_to_end(spark, sf_dir):
     core.to(silver.core_contract(core.columns))
     with pytest.raises(QualityError):
         build(expected | {2001: expected[2001] + 1})
+    assert core.count() == sum(expected[y] for y in survey.CORE_YEARS)  # the last good layer is still there
+    assert {p.stat().st_mtime for p in Path(target).rglob("part-*")} and series.count() == sum(expected.values())
 
     folder = new_path(spark, "gold")
     written = release.publish_marts(core, series, folder)

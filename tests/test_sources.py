@@ -104,6 +104,32 @@ def test_stream_takes_each_file_once(spark):
         assert sorted(r["x"] for r in editions.read_edition(spark, bronze, 2025).collect()) == expected
 
 
+def test_stream_hides_no_delivered_file_and_changes_no_byte(spark):
+    inbox, bronze, memory = (new_path(spark, n) for n in ("inbox", "bronze", "memory"))
+    folder = Path(editions.edition_path(bronze, 2025))
+    folder.mkdir(parents=True)
+    (folder / "entrega.csv").write_text("x,y\nzero,0\n")
+    Path(inbox).mkdir(parents=True)
+    sent = {"a.csv": 'x,y\n"um\nlinha",""\n', "b.csv": 'x,y\n"d""ois",2,sobra\n'}
+    for name, text in sent.items():
+        (Path(inbox) / name).write_text(text)
+    land_new_files(spark, inbox, bronze, 2025, memory)
+    landed = {p.read_text() for p in folder.glob("lote-*/part-*")}
+    assert landed == {text + "\n" for text in sent.values()}
+    rows = editions.read_edition(spark, bronze, 2025, multiline=True).collect()
+    assert sorted(r["x"] for r in rows) == ['d"ois', "um\nlinha", "zero"]
+    assert editions.landed_editions(spark, bronze) == {2025}
+
+
+def test_files_with_other_headers_are_an_error(spark):
+    folder = Path(editions.edition_path(new_path(spark, "bronze"), 2025))
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text("id,genero\n1,F\n")
+    (folder / "b.csv").write_text("genero,id\nM,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        editions.read_edition(spark, str(folder.parent), 2025).collect()
+
+
 def test_replacing_one_edition_keeps_the_others(spark):
     path = new_path(spark, "layer")
     tables.write_layer(spark.createDataFrame([(1, 2023), (2, 2024)], "x int, ano int"), path)
