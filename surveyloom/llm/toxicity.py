@@ -154,13 +154,10 @@ class Scorer:
 
     def features(self, texts: list[str]) -> np.ndarray:
         """Highest positive margin, positive margins summed (log) and their share among the text's strings (log)."""
-        split = []
-        for text in texts:
+        out = np.zeros((len(texts), 3))
+        for row, text in enumerate(texts):
             chunks = text.split()
             chunks += [m[0].replace(" ", "").replace("\t", "") for m in SPACED.finditer(text)]
-            split.append(chunks)
-        out = np.zeros((len(texts), 3))
-        for row, chunks in enumerate(split):
             if len(self.new) > REMEMBERED:
                 self.old, self.new = self.new, {}
             unique = set(chunks)
@@ -306,34 +303,36 @@ def spread(words: list[str], count: int, lut: np.ndarray) -> list[str]:
     return chosen
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
-    """Texts with their label, without those of the held-out fold (crc32 of doc_id as text divisible by `folds`)."""
-    known = labels.where("toxic in (0, 1)").select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic"))
+def sample(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
+    """toxic and text of labelled documents outside the held-out fold (crc32 of doc_id as text divisible by `folds`):
+    at most SAMPLE_DOCS ids of each label, in hash order. Ids are picked from the labels, then looked up."""
+    known = labels.where("toxic in (0, 1)").select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.where(F.crc32(F.col("id").cast("string")) % folds != 0).dropDuplicates(["id"])
-    return docs.join(known, docs["doc_id"] == F.col("id")).select("id", "toxic", F.coalesce("text", F.lit("")).alias("text"))
+    picked = known.where("toxic = 1").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS).union(
+        known.where("toxic = 0").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS))
+    rows = docs.join(stored(picked, "toxicity-ids"), docs["doc_id"] == F.col("id"))
+    return rows.select("toxic", F.coalesce("text", F.lit("")).alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fit on a bounded sample of labelled rows outside the held-out fold: at most SAMPLE_DOCS of each label, in hash
-    order of doc_id, and of their strings all that toxic texts hold and others in hash order up to SAMPLE_WORDS."""
-    rows = training_rows(docs, labels)
-    picked = rows.where("toxic = 1").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS).union(
-        rows.where("toxic = 0").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS))
+    """Fit on a bounded sample of labelled rows outside the held-out fold (see `sample`), and of their strings on all
+    that toxic texts hold and others in hash order up to SAMPLE_WORDS. Texts stay on the executors."""
+    schema = pa.schema([("word", pa.string()), ("context", pa.int64()), ("toxic", pa.int32())])
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            word, toxic = [], []
-            for label, text in zip(batch.column(1).to_pylist(), batch.column(2)):
+            found: list[tuple[str, int, int]] = []
+            for label, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 chunks = text.as_py().split()
-                found = {(w, zlib.crc32(f"{before} {after}".encode())) for before, chunk, after in zip(
+                found += {(w, zlib.crc32(f"{before} {after}".encode()), label) for before, chunk, after in zip(
                     ["", *chunks], chunks, [*chunks[1:], ""]) for w in windows(chunk)}
-                word += found
-                toxic += [label] * len(found)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([w for w, _ in word], pa.string()), pa.array([c for _, c in word], pa.int64()),
-                pa.array(toxic, pa.int32())], names=["word", "context", "toxic"])
+                if len(found) > 20_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), schema.types)], schema=schema)
+                    found = []
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), schema.types)], schema=schema)
 
-    texts = stored(picked, "toxicity-sample")
+    texts = stored(sample(docs, labels), "toxicity-sample")
     sizes = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
     # copies of a text repeat its contexts, so a word counts once for each pair of neighbours
     counts = texts.mapInArrow(strings, "word string, context long, toxic int").distinct().groupBy("word").agg(
@@ -351,8 +350,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     def text_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Scorer(model)
         for batch in batches:
-            x = own.features([text.as_py() for text in batch.column(2)])
-            yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array(x[:, i]) for i in range(3))],
+            x = own.features([text.as_py() for text in batch.column(1)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x[:, i]) for i in range(3))],
                                              names=["toxic", "a", "b", "c"])
 
     rows = texts.mapInArrow(text_features, "toxic int, a double, b double, c double").toArrow()  # 2 * SAMPLE_DOCS at most
