@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import survey
 from checks.registry import query
-from surveyloom.operators import bootstrap, quality, shares
+from surveyloom.operators import bootstrap, quality, ranks, shares
 from surveyloom.plans import silver
 from surveyloom.plans import vocabulary as v
 from surveyloom.plans.marts import marts
@@ -135,12 +135,39 @@ def d09(spark, sf):
     return quality.content_checksum(survey.every(spark, sf, *DIGESTED), DIGESTED)
 
 
-@query("d10_bootstrap_median_ci")
+#: Ranks between which an interval end has to lie: 1.6 and 2.4 standard errors of the median's rank around n / 2.
+END_RANKS = {
+    "piso_baixo": "greatest(1, floor(n / 2.0 - 1.2 * sqrt(n)))",
+    "teto_baixo": "greatest(1, least(n, ceil(n / 2.0 - 0.8 * sqrt(n)) + 1))",
+    "piso_alto": "greatest(1, floor(n / 2.0 + 0.8 * sqrt(n)))",
+    "teto_alto": "greatest(1, least(n, ceil(n / 2.0 + 1.2 * sqrt(n)) + 1))",
+}
+
+
+@query("d10_bootstrap_median_ci", f"""WITH pay AS (
+ SELECT ano, cargo_grupo, count(salario_pm) AS n, median(salario_pm) AS mid, list_sort(list(salario_pm)) AS ordered
+ FROM every WHERE salario_pm IS NOT NULL AND cargo_grupo IS NOT NULL GROUP BY ano, cargo_grupo)
+SELECT ano, cargo_grupo, n, round(mid, 0) AS mediana,
+ {", ".join(f"round(ordered[CAST({rank} AS BIGINT)], 0) AS {name}" for name, rank in END_RANKS.items())},
+ true AS baixo_dentro, true AS alto_dentro FROM pay""", "every")
 def d10(spark, sf):
-    """95% interval of the median pay per edition and role family, from 3000 resamples of each group."""
+    """95% interval of the median pay per edition and role family, from 3000 resamples of each group.
+
+    Resamples are random; what is compared is the values between which theory puts either end, and whether it is there.
+    """
     keys = ["ano", "cargo_grupo"]
-    paid = survey.every(spark, sf, *keys, "salario_pm").filter(F.col("cargo_grupo").isNotNull())
-    return bootstrap.median_interval(paid, keys, "salario_pm", v.RESAMPLES, v.RESAMPLE_SEED)
+    paid = survey.every(spark, sf, *keys, "salario_pm").filter("cargo_grupo IS NOT NULL AND salario_pm IS NOT NULL")
+    found = bootstrap.median_interval(paid, keys, "salario_pm", v.RESAMPLES, v.RESAMPLE_SEED)
+    counted = ranks.value_counts(paid, keys, "salario_pm")
+    sizes = paid.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    placed = sizes.selectExpr(*keys, *[f"CAST({rank} AS BIGINT) AS _{name}" for name, rank in END_RANKS.items()])
+    asked = placed.selectExpr(*keys, f"explode(array({', '.join(f'_{name}' for name in END_RANKS)})) AS _at").distinct()
+    known = bootstrap.values_at(counted, ranks.cells(counted, keys), asked, keys)
+    at = known.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_at", F.round("_value", 0)))).alias("_values"))
+    valued = found.join(placed.join(at, keys), keys).selectExpr("*", *[f"_values[_{name}] AS {name}" for name in END_RANKS])
+    return valued.selectExpr(
+        *keys, "n", "mediana", *END_RANKS, "ic_baixo BETWEEN piso_baixo AND teto_baixo AS baixo_dentro",
+        "ic_alto BETWEEN piso_alto AND teto_alto AS alto_dentro")
 
 
 @query("d11_small_group_impact", """SELECT * FROM (SELECT ano, cargo_grupo, nivel, n,
