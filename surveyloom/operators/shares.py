@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from surveyloom.functions.scalars import percent
+from surveyloom.functions.scalars import percent, quoted
 
 
 def count_by(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
@@ -46,7 +46,7 @@ def multi_response(
     return (
         df.groupBy(*by)
         .agg(*counts)
-        .selectExpr(*by, f"inline(array({per_option}))")
+        .selectExpr(*map(quoted, by), f"inline(array({per_option}))")
         .filter("base_valida > 0")
         .withColumn("pct", percent("usuarios", "base_valida"))
     )
