@@ -193,11 +193,15 @@ def squared_hinge(x: np.ndarray, y: np.ndarray, cost: np.ndarray, steps: int = 3
     ridge = np.ones(x.shape[1])
     ridge[-1] = 1e-3
     for _ in range(steps):
-        slack = 1 - y * (x @ w)
-        active = slack > 0
-        xa = x[active] * cost[active, None]
-        gradient = ridge * w - xa.T @ (y[active] * slack[active])
-        step = np.linalg.solve(np.diag(ridge) + xa.T @ x[active], gradient)
+        gradient, hessian = ridge * w, np.diag(ridge)
+        for i in range(0, len(x), 4096):  # rows in blocks, so that only one block is ever copied
+            part, sign = x[i:i + 4096], y[i:i + 4096]
+            slack = np.maximum(1 - sign * (part @ w), 0)
+            active = slack > 0
+            weighed = (part[active] * cost[i:i + 4096][active, None]).T
+            gradient = gradient - weighed @ (sign * slack)[active]
+            hessian = hessian + weighed @ part[active]
+        step = np.linalg.solve(hessian, gradient)
         w = w - step
         if np.abs(step).max() < 1e-6:
             break
@@ -272,14 +276,16 @@ def fit_words(words: list[str], toxic: np.ndarray, clean: np.ndarray, share: flo
         root = vectors * np.where(size > 1e-6, 1 / np.sqrt(np.maximum(size, 1e-6)), 0)
         shown = with_insertions([words[i] for i in by_count[:400]])
         rows = [words[i] for i in chosen] + shown + [words[i] for i in negative]
-        z = kernel(rows, marks, lut) @ root
+        x = np.ones((len(rows), len(marks) + 1))
+        for i in range(0, len(rows), 4096):
+            x[i:i + 4096, :-1] = kernel(rows[i:i + 4096], marks, lut) @ root
         plain, put_in = len(chosen), len(chosen) + len(shown)
         y = np.where(np.arange(len(rows)) < put_in, 1.0, -1.0)
         cost = np.ones(len(rows))
         cost[:plain] = len(negative) / plain
         cost[plain:put_in] = len(negative) / max(len(shown), 1) / 4
         cost *= min(1.0, 2e4 / len(rows)) * 4
-        w = squared_hinge(np.column_stack([z, np.ones(len(z))]), y, cost)
+        w = squared_hinge(x, y, cost)
         beta = root @ w[:-1]
         features = subsequences(marks, lut)
         weight = weights(features)
