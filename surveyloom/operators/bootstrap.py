@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from surveyloom.functions.scalars import quoted
-from surveyloom.operators.ranks import cells, renamed, same, value_counts
+from surveyloom.operators.ranks import cells, parts, renamed, same, value_counts
 
 
 def _draw_ranks(sizes: DataFrame, keys: Sequence[str], resamples: int, seed: int) -> DataFrame:
@@ -72,8 +72,8 @@ def _next_known(df: DataFrame, within: Sequence[str], columns: Sequence[str]) ->
 def values_at(counted: DataFrame, cell: DataFrame, asked: DataFrame, keys: Sequence[str]) -> DataFrame:
     """keys, `_at`, `_value`: the value at each asked rank (keys, `_at`) of the sorted group.
 
-    First the cell that holds the rank, among the few thousand cells of the group; then the value,
-    among the values of the cells that were asked for.
+    First the cell that holds the rank, among the group's cells; then the part of the cell; then the value,
+    among the values of the parts that were asked for.
     """
     keys = list(keys)
     within = [*keys, "_cell"]
@@ -85,13 +85,23 @@ def values_at(counted: DataFrame, cell: DataFrame, asked: DataFrame, keys: Seque
     placed = _next_known(marks.unionByName(asked), keys, ["_cell", "_before"])
 
     used = placed.groupBy(*within).agg(F.max("_before").alias("_before"))
-    used = used.selectExpr(*renamed(within), "_before")
-    in_cell = f"OVER (PARTITION BY {', '.join(key)}, _cell ORDER BY _value ROWS UNBOUNDED PRECEDING)"
-    values = counted.join(used, same(within)).selectExpr(
-        *key, "_cell", f"_before + sum(_rows) {in_cell} AS _at", "_value", "1 AS _kind"
+    in_cells = counted.join(used.selectExpr(*renamed(within), "_before"), same(within))
+    finer = [*within, "_part"]
+    cell_key = [*key, "_cell"]
+    marks = parts(in_cells, within).selectExpr(*cell_key, "_end AS _at", "_part", "_start", "1 AS _kind")
+    asked = placed.selectExpr(
+        *cell_key, "_at", "CAST(NULL AS BIGINT) AS _part", "CAST(NULL AS BIGINT) AS _start", "_kind"
     )
-    wanted = placed.selectExpr(*key, "_cell", "_at", "CAST(NULL AS DOUBLE) AS _value", "_kind")
-    return _next_known(values.unionByName(wanted), within, ["_value"]).select(*keys, "_at", "_value")
+    placed = _next_known(marks.unionByName(asked), within, ["_part", "_start"])
+
+    used = placed.groupBy(*finer).agg(F.max("_start").alias("_start"))
+    part_key = [*cell_key, "_part"]
+    in_part = f"OVER (PARTITION BY {', '.join(part_key)} ORDER BY _value ROWS UNBOUNDED PRECEDING)"
+    in_parts = in_cells.selectExpr(*part_key, "_value", "_rows").join(
+        used.selectExpr(*renamed(finer), "_start"), same(finer))
+    values = in_parts.selectExpr(*part_key, f"_start + sum(_rows) {in_part} AS _at", "_value", "1 AS _kind")
+    wanted = placed.selectExpr(*part_key, "_at", "CAST(NULL AS DOUBLE) AS _value", "_kind")
+    return _next_known(values.unionByName(wanted), finer, ["_value"]).select(*keys, "_at", "_value")
 
 
 def median_interval(

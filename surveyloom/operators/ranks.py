@@ -1,12 +1,11 @@
 """Exact medians of groups of any size.
 
 `percentile` keeps every distinct value of a group in one task. Here the values are counted first,
-spread by value; a coarse histogram (a few thousand ordered cells per group) tells which cell holds
-the wanted rank, and only that cell is sorted. The result is exact for any distribution: the cells
-decide how the work is spread, not which value is returned.
-
-A cell holds values within 0.1% of each other. Equal values are one row by then, so an amount kept to
-the cent has at most value/10 rows in a cell, whatever the number of respondents.
+spread by value, and the wanted rank is found digit by digit: each double has a whole number of 64
+bits that sorts as it does, the upper 22 bits are a value's cell, the next 22 its part of the cell.
+A histogram of the group's cells tells which cell holds the rank, one of that cell's parts which part
+does, and only that part is sorted. No window or sort meets more than 2^22 rows of a group, whatever
+the distribution: equal values are one row by then, and a part has 2^20 different ones at most.
 """
 
 from __future__ import annotations
@@ -18,15 +17,22 @@ from pyspark.sql import functions as F
 
 from surveyloom.functions.scalars import quoted
 
-_CELLS_PER_E_FOLD = 1024
-_NAN_CELL = 2**62
-
+_PART_BITS, _REST_BITS = 22, 20
 
-# Order-keeping cell number: equal values share a cell, larger values never get a smaller one.
-_CELL = (
-    f"CASE WHEN isnan(_value) THEN {_NAN_CELL} "
-    f"ELSE floor(signum(_value) * log1p(abs(_value)) * {_CELLS_PER_E_FOLD}) END"
+# Order-keeping 64-bit number of `_value`: sign, exponent and the 52 bits behind the point. The first guess of the
+# exponent may be one off next to a power of two.
+_EXPONENT = (
+    "transform(array(least(greatest(floor(log2(abs(_value))), -1022L), 1023L)), e -> e + CASE "
+    "WHEN abs(_value) >= pow(2D, e + 1) THEN 1L WHEN e > -1022 AND abs(_value) < pow(2D, e) THEN -1L ELSE 0L END)"
 )
+_KEY = (
+    f"CASE WHEN isnan(_value) THEN {2**63 - 1} WHEN _value = 0 THEN 0L "
+    f"ELSE if(_value < 0, -1L, 1L) * if(abs(_value) = double('infinity'), {2047 * 2**52}, get(transform({_EXPONENT}, "
+    f"e -> (e + 1022) * {2**52} + CAST(abs(_value) / pow(2D, e) * {float(2**52)!r}D AS BIGINT)), 0)) END"
+)
+# Larger values never get a smaller cell, nor a smaller part inside their cell.
+_CELL = f"shiftright(_key, {_PART_BITS + _REST_BITS})"
+_PART = f"shiftright(_key, {_REST_BITS}) & {2**_PART_BITS - 1}L"
 
 
 def _list(columns: Sequence[str]) -> str:
@@ -46,14 +52,17 @@ def same(columns: Sequence[str], suffix: str = "_w") -> Column:
 def value_counts(
     df: DataFrame, keys: Sequence[str], value: str, sums: Mapping[str, Column] | None = None
 ) -> DataFrame:
-    """keys, `_cell`, `_value`, `_rows`: how often each value occurs in each group.
+    """keys, `_value`, `_rows`, `_cell`, `_part`: how often each value occurs in each group, and where it lies.
 
     `sums` are further counts of the same rows, kept per value so that they add up again.
     """
     return (
         df.withColumn("_value", F.expr(f"CAST({quoted(value)} AS DOUBLE)"))
-        .groupBy(*keys, F.expr(f"{_CELL} AS _cell"), "_value")
+        .groupBy(*keys, "_value")
         .agg(F.expr("count(1) AS _rows"), *[c.alias(name) for name, c in (sums or {}).items()])
+        .withColumn("_key", F.expr(f"CASE WHEN _value IS NOT NULL THEN {_KEY} END"))
+        .withColumns({"_cell": F.expr(_CELL), "_part": F.expr(_PART)})
+        .drop("_key")
     )
 
 
@@ -82,6 +91,19 @@ def cells(counted: DataFrame, keys: Sequence[str], sums: Sequence[str] = ()) ->
     )
 
 
+def parts(in_cells: DataFrame, within: Sequence[str], carried: Sequence[str] = ()) -> DataFrame:
+    """One row per cell and part of `in_cells` (counted values with `_before`, the rows before their cell): the rows
+    before (`_start`) and up to (`_end`) the part's last. `carried` columns are constant in a cell."""
+    running = f"OVER (PARTITION BY {_list(within)} ORDER BY _part NULLS FIRST ROWS UNBOUNDED PRECEDING)"
+    return (
+        in_cells.groupBy(*within, "_part")
+        .agg(F.expr("sum(_rows) AS _held"), F.expr("max(_before) AS _before"),
+             *[F.expr(f"max({quoted(c)}) AS {quoted(c)}") for c in carried])
+        .selectExpr(*map(quoted, [*within, "_part", *carried]),
+                    f"_before + sum(_held) {running} - _held AS _start", f"_before + sum(_held) {running} AS _end")
+    )
+
+
 def value_profile(
     df: DataFrame,
     keys: Sequence[str],
@@ -103,13 +125,20 @@ def value_profile(
         .filter("n_value = 0 OR (_cell IS NOT NULL AND _upto >= _low AND _before < _high)")
         .selectExpr(
             *renamed(within + extra),
-            "n", "n_value", "_total", "_before", "_low", "_high", "_position - floor(_position) AS _part",
+            "n", "n_value", "_total", "_before", "_low", "_high", "_position - floor(_position) AS _share",
         )
     )
-    in_cell = f"OVER (PARTITION BY {_list(within)} ORDER BY _value ROWS UNBOUNDED PRECEDING)"
+    in_cells = counted.join(wanted, same(within))
+    finer = [*within, "_part"]
+    asked = (
+        parts(in_cells, within, ["n_value", "_low", "_high"])
+        .filter("n_value = 0 OR (_end >= _low AND _start < _high)")
+        .selectExpr(*renamed(finer, "_p"), "_start")
+    )
+    in_part = f"OVER (PARTITION BY {_list(finer)} ORDER BY _value ROWS UNBOUNDED PRECEDING)"
     ranked = (
-        counted.join(wanted, same(within))
-        .selectExpr("*", f"_before + sum(_rows) {in_cell} AS _last")
+        in_cells.join(asked, same(finer, "_p"))
+        .selectExpr("*", f"_start + sum(_rows) {in_part} AS _last")
     )
 
     def at(rank: str) -> str:
@@ -119,7 +148,8 @@ def value_profile(
         F.expr("max(n) AS n"),
         F.expr("max(n_value) AS n_value"),
         F.expr("try_divide(max(_total), max(n_value)) AS mean"),
-        F.expr(f"(1 - max(_part)) * {at('_low')} + max(_part) * {at('_high')} AS median"),
+        F.expr(f"if({at('_low')} = {at('_high')}, {at('_low')}, "
+               f"(1 - max(_share)) * {at('_low')} + max(_share) * {at('_high')}) AS median"),
         # the count of a part is never above the total; naming it keeps both sides of the join alike,
         # so that they share one scan and one shuffle
         *[F.expr(f"greatest(max({quoted(c + '_w')}), max({quoted(c)})) AS {quoted(c)}") for c in extra],

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from surveyloom.operators.bootstrap import median_interval
-from surveyloom.operators.ranks import value_profile
+from surveyloom.operators.ranks import value_counts, value_profile
 
 numbers = st.one_of(
     st.none(),
@@ -53,6 +53,35 @@ def test_one_group_holds_most_rows(spark):
     assert (got["n"], got["median"]) == (len(values), float(np.median(values)))
 
 
+def test_cells_and_parts_keep_the_order(spark):
+    """Next to every power of two, at zero, among subnormals, infinities and NaN."""
+    powers = np.array([math.ldexp(1.0, e) for e in range(-1074, 1024)])
+    near = np.concatenate([powers, np.nextafter(powers, 0), np.nextafter(powers, np.inf), [0.0, 1.1, 3500.5, np.inf]])
+    values = np.unique(np.concatenate([-near, near]))
+    df = spark.createDataFrame([("g", float(x)) for x in values] + [("g", math.nan)], "g string, v double")
+    got = sorted(value_counts(df, ["g"], "v").collect(), key=lambda r: (math.isnan(r["_value"]), r["_value"]))
+    bits = np.abs(values).view(np.int64) * np.where(values < 0, -1, 1)
+    assert [r["_value"] for r in got[:-1]] == values.tolist()
+    assert [(r["_cell"] << 22) + r["_part"] for r in got[:-1]] == (bits >> 20).tolist()
+    assert (got[-1]["_cell"], got[-1]["_part"]) >= (got[-2]["_cell"], got[-2]["_part"])
+
+
+@pytest.mark.parametrize("value", ["id / 2e8D", "1.7e15D + id * 1e4D", "-1e300D - id * 1e290D", "id * 5e-324D"])
+def test_narrow_ranges_spread_over_parts(spark, value):
+    """Values that agree in their leading digits are still spread, and exact."""
+    df = spark.range(20001).selectExpr("'x' AS g", f"{value} AS v")
+    held = [r["count"] for r in value_counts(df, ["g"], "v").groupBy("_cell", "_part").count().collect()]
+    known = np.array([r["v"] for r in df.select("v").collect()])
+    assert value_profile(df, ["g"], "v").first()["median"] == np.median(known)
+    assert max(held) <= 2**20 and (len(held) > 100 or "5e-324" in value)
+
+
+def test_infinite_median(spark):
+    df = spark.createDataFrame([("a", math.inf), ("a", math.inf), ("a", 1.0), ("b", -math.inf)], "g string, v double")
+    got = {r["g"]: r["median"] for r in value_profile(df, ["g"], "v").collect()}
+    assert got == {"a": math.inf, "b": -math.inf}
+
+
 def test_sums_ride_along(spark):
     df = spark.createDataFrame([("a", 1.0, 2), ("a", None, 3), ("b", None, 4)], "g string, v double, k int")
     got = {r["g"]: r for r in value_profile(df, ["g"], "v", sums={"total": F.sum("k")}).collect()}
