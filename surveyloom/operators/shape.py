@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from surveyloom.operators.ranks import renamed, same
+
 
 def densify(
     df: DataFrame,
@@ -49,14 +51,14 @@ def top_k(df: DataFrame, measure: str, tie: Sequence[str], k: int) -> DataFrame:
 
 
 def flag_top_values(df: DataFrame, by: Sequence[str], measure: str, k: int, name: str) -> DataFrame:
-    """1 where the measure is one of the k largest entries of its group; equal values share the mark."""
-    entry = F.row_number().over(Window.partitionBy(*by).orderBy(F.col(measure).desc()))
-    smallest = F.min(F.when(F.col("_entry") <= k, F.col(measure))).over(Window.partitionBy(*by))
-    return (
-        df.withColumn("_entry", entry)
-        .withColumn(name, (F.col(measure) >= smallest).cast("int"))
-        .drop("_entry")
-    )
+    """1 where the measure is one of the k largest entries of its group; equal values share the mark.
+
+    The k entries are cut out before the shuffle and their smallest is joined back, so no task sorts a whole group.
+    """
+    largest = top_per_group(df.select(*by, measure), by, measure, [], k)
+    smallest = largest.groupBy(*by).agg(F.min(measure).alias("_smallest")).selectExpr(*renamed(by), "_smallest")
+    marked = df.join(smallest, same(by), "left").withColumn(name, (F.col(measure) >= F.col("_smallest")).cast("int"))
+    return marked.drop("_smallest", *[f"{c}_w" for c in by])
 
 
 def at(value: str, **where: object) -> Column:

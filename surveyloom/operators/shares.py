@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveyloom.functions.scalars import percent, quoted
+from surveyloom.operators.ranks import renamed, same
 
 
 def count_by(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
@@ -22,9 +23,16 @@ def share_within(df: DataFrame, by: Sequence[str], part: str = "n", name: str =
 def distribution(
     df: DataFrame, label: str, by: Sequence[str] = ("ano",), n: str = "n", pct: str = "pct"
 ) -> DataFrame:
-    """Answered rows per label with their share of all answered rows of the `by` group."""
+    """Answered rows per label with their share of all answered rows of the `by` group.
+
+    The label may have very many values: totals are summed from the counts and joined back, both from one shuffle.
+    """
     counted = count_by(df.filter(F.col(label).isNotNull()), *by, label, name=n)
-    return share_within(counted, by, n, pct)
+    if not by:
+        return counted.withColumn(pct, percent(F.col(n), counted.agg(F.sum(n)).scalar()))
+    totals = counted.groupBy(*by).agg(F.sum(n).alias("_total")).selectExpr(*renamed(by), "_total")
+    shared = counted.join(totals, same(by)).withColumn(pct, percent(F.col(n), F.col("_total")))
+    return shared.drop("_total", *[f"{c}_w" for c in by])
 
 
 def multi_response(

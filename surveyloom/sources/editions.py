@@ -49,13 +49,20 @@ def write_raw(df: DataFrame, path: str, mode: str = "error") -> None:
 
 
 def is_landed(spark: SparkSession, path: str) -> bool:
-    """Whether a folder holds files. What an interrupted write leaves (`_temporary`) does not count."""
+    """Whether a folder holds files. What an interrupted write leaves (`_temporary`) does not count.
+
+    Parts of a Spark write without its `_SUCCESS` may be the beginning of a broken commit or somebody's delivery; to
+    take them for whole would lose rows, to write over them might, so they are an error.
+    """
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     if not fs.exists(folder):
         return False
-    names = (status.getPath().getName() for status in fs.listStatus(folder))
-    return any(not name.startswith(("_", ".")) for name in names)
+    names = {status.getPath().getName() for status in fs.listStatus(folder)}
+    files = {name for name in names if not name.startswith(("_", "."))}
+    if files and "_SUCCESS" not in names and all(name.startswith("part-") for name in files):
+        raise RuntimeError(f"{path} holds parts of a write that was not completed: remove them, or add _SUCCESS")
+    return bool(files)
 
 
 def land_edition(df: DataFrame, bronze: str, edition: int) -> None:

@@ -37,6 +37,13 @@ def test_multi_response_reads_once_and_copies_no_rows(spark, sf_dir, name):
     assert text.count("FileScan") == 1 and "Expand" not in text and text.count("Exchange") == 1
 
 
+def test_shares_and_marks_gather_no_group(spark, sf_dir):
+    labels = survey.every(spark, sf_dir, "ano", "id")
+    assert "Window" not in plan(shares.distribution(labels, "id"))
+    marked = plan(shape.flag_top_values(shares.count_by(labels, "ano", "id"), ["ano"], "n", 3, "destaque"))
+    assert "WindowGroupLimit" in marked and marked.count("Window [") == 1
+
+
 def test_ranked_groups_are_cut_before_the_shuffle(spark, sf_dir):
     counted = shares.count_by(survey.every(spark, sf_dir, "ano", "id"), "ano", "id")
     text = plan(shape.top_per_group(counted, ["ano"], "n", ["id"], 5))

@@ -57,6 +57,21 @@ def test_tied_values_share_the_mark(spark):
     assert got == {"a": 1, "b": 1, "c": 1, "d": 0}
 
 
+def test_marks_of_null_groups_and_measures(spark):
+    df = spark.createDataFrame([(None, 5), (None, 4), (None, None), (1, None), (2, 3)], "ano int, n int")
+    got = shape.flag_top_values(df, ["ano"], "n", 1, "destaque")
+    assert got.columns == ["ano", "n", "destaque"]
+    assert {(r["ano"], r["n"]): r["destaque"] for r in got.collect()} == {
+        (None, 5): 1, (None, 4): 0, (None, None): None, (1, None): None, (2, 3): 1}
+
+
+def test_shares_of_null_groups_and_of_all_rows(spark):
+    df = spark.createDataFrame([(None, "a"), (None, "a"), (None, "b"), (None, "b"), (1, "a"), (1, None)], "g int, k string")
+    got = {(r["g"], r["k"]): (r["n"], r["pct"]) for r in shares.distribution(df, "k", ["g"]).collect()}
+    assert got == {(None, "a"): (2, 50.0), (None, "b"): (2, 50.0), (1, "a"): (1, 100.0)}
+    assert {r["k"]: r["pct"] for r in shares.distribution(df, "k", []).collect()} == {"a": 60.0, "b": 40.0}
+
+
 def test_ties_in_a_ranking_are_stable(spark):
     df = spark.createDataFrame([(1, k, 106) for k in "dbca"], "ano int, k string, n int")
     for parts in (1, 4):

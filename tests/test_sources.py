@@ -86,6 +86,19 @@ def test_interrupted_landing_is_done_again(spark):
     assert [r["x"] for r in editions.read_edition(spark, bronze, 2025).collect()] == ["um"]
 
 
+def test_parts_of_a_broken_commit_are_an_error(spark):
+    """Neither taken for a whole edition nor written over."""
+    bronze = new_path(spark, "bronze")
+    folder = Path(editions.edition_path(bronze, 2025))
+    folder.mkdir(parents=True)
+    (folder / "part-00000.csv").write_text("x\nzero\n")
+    with pytest.raises(RuntimeError, match="not completed"):
+        editions.land_edition(spark.createDataFrame([("um",)], "x string"), bronze, 2025)
+    (folder / "_SUCCESS").touch()
+    editions.land_edition(spark.createDataFrame([("um",)], "x string"), bronze, 2025)
+    assert [r["x"] for r in editions.read_edition(spark, bronze, 2025).collect()] == ["zero"]
+
+
 def test_delivered_file_is_never_overwritten(spark):
     bronze = new_path(spark, "bronze")
     folder = Path(editions.edition_path(bronze, 2025))
