@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from surveyloom.functions.scalars import quoted
+
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
@@ -62,12 +64,21 @@ def register_views(tables: dict[str, DataFrame]) -> None:
 def register_external(
     spark: SparkSession, database: str, table: str, columns: str, path: str, by: str = "ano int"
 ) -> DataFrame:
-    """External partitioned table over a written layer, with its editions discovered."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    name = f"`{database}`.`{table}`"
+    """External partitioned table over a written layer, with its editions discovered.
+
+    An earlier external table of that name is replaced, so that location, columns and editions are those of now; its
+    files are not touched. A managed table is never dropped.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
+    name = f"{quoted(database)}.{quoted(table)}"
+    if spark.catalog.tableExists(name):
+        if spark.catalog.getTable(name).tableType != "EXTERNAL":
+            raise ValueError(f"{name} is not an external table")
+        spark.sql(f"DROP TABLE {name}")
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {by}) USING parquet "
-        f"PARTITIONED BY ({by.split()[0]}) LOCATION '{path}'"
+        f"CREATE TABLE {name} ({columns}, {by}) USING parquet "
+        f"PARTITIONED BY ({by.split()[0]}) LOCATION '{location}'"
     )
     spark.sql(f"MSCK REPAIR TABLE {name}")
     return spark.table(name)

@@ -165,3 +165,16 @@ def test_external_table_sees_its_editions(spark):
     df = tables.register_external(spark, "testes", "camada", "x int", path)
     assert sorted(tuple(r) for r in df.collect()) == [(1, 2023), (2, 2024)]
     spark.sql("DROP TABLE testes.camada")
+
+
+def test_external_table_follows_its_layer(spark):
+    """Another location, another column, a vanished edition: the table shows what is there now."""
+    rows = spark.createDataFrame([(1, "a", 2024), (2, "b", 2025)], "n int, k string, ano int")
+    old, new = new_path(spark, "layer"), new_path(spark, "layer o'clock")
+    tables.write_layer(rows.drop("k"), old)
+    tables.write_layer(rows.where("ano = 2025"), new)
+    assert tables.register_external(spark, "pesquisa", "follows", "n int", old).count() == 2
+    got = tables.register_external(spark, "pesquisa", "follows", "n int, k string", new)
+    assert [tuple(r) for r in got.collect()] == [(2, "b", 2025)]
+    assert spark.read.parquet(old).count() == 2
+    spark.sql("DROP TABLE pesquisa.follows")
