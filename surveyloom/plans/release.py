@@ -7,11 +7,13 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from surveyloom.operators import quality
 from surveyloom.operators.quality import require_volumes, volume_gate
 from surveyloom.operators.shares import count_by
 from surveyloom.plans import silver
+from surveyloom.plans import vocabulary as v
 from surveyloom.plans.marts import marts
-from surveyloom.sources.tables import publish_mart, read_table, write_layer
+from surveyloom.sources.tables import publish_mart, read_table, register_views, write_layer
 
 Headers = Mapping[int, Mapping[str, str]]
 
@@ -55,3 +57,31 @@ def publish_marts(core: DataFrame, long_series: DataFrame, folder: str) -> dict[
         name: publish_mart(mart.build(core, long_series), folder, name, mart.order)
         for name, mart in marts().items()
     }
+
+
+def publish_quality(
+    raw: Mapping[int, DataFrame], core: DataFrame, long_series: DataFrame, folder: str, mart_rows: Mapping[str, int]
+) -> dict[str, int]:
+    """Write what a reader needs to trust the release, as Parquet and CSV; rows per table.
+
+    Raw rows against the long series, repeated ids, filled shares with the reason for gaps, groups under the display
+    cut, and the run in numbers (with the marts that were written).
+    """
+    arrived = silver.union_editions([df.select(F.lit(e).alias("ano")) for e, df in raw.items()])
+    editions = [row["ano"] for row in core.select("ano").distinct().collect()]
+    paid = core.filter("salario_pm IS NOT NULL AND cargo_grupo IS NOT NULL AND nivel IS NOT NULL")
+    tables = {
+        "reconciliacao": (quality.reconcile(arrived, long_series), ["ano"]),
+        "unicidade": (quality.uniqueness(core, "id"), ["ano"]),
+        "preenchimento": (quality.fill_profile(core, v.EMPTY_REASONS), ["coluna"]),
+        "grupos_pequenos": (
+            quality.small_groups(paid, ["ano", "cargo_grupo", "nivel"], v.DISPLAY_MINIMUM), ["ano", "cargo_grupo", "nivel"]),
+        "metricas": (quality.run_metrics(core, long_series, "id", editions, len(mart_rows)), ["metrica"]),
+    }
+    return {name: publish_mart(df, folder, name, order) for name, (df, order) in tables.items()}
+
+
+def register_release(spark: SparkSession, base: str, marts_written: Mapping[str, int]) -> None:
+    """Both layers and the marts of a written release as views, for questions in SQL."""
+    register_views({name: read_table(spark, f"{base}/silver/{name}") for name in ("silver_core", "silver_serie_longa")})
+    register_views({name: read_table(spark, f"{base}/gold/{name}") for name in marts_written})

@@ -1,4 +1,4 @@
-"""The whole release over a folder: BASE/bronze/ano=YYYY -> BASE/silver -> BASE/gold.
+"""The whole release over a folder: BASE/bronze/ano=YYYY -> BASE/silver -> BASE/gold, BASE/qualidade.
 
 python -m surveyloom.run BASE [--mapping JSON] [--step silver|gold|all] [--no-volume-gate]
 """
@@ -17,7 +17,10 @@ from surveyloom.sources.tables import read_table
 
 
 def run(spark: SparkSession, base: str, step: str = "all", mapping: str | None = None, gate: bool = True) -> dict[str, int]:
-    """Rows per mart written; empty if only silver was asked for."""
+    """Rows per mart written; empty if only silver was asked for.
+
+    A whole run (`all`) also writes the quality tables. Layers and marts are views of the session afterwards.
+    """
     if step in ("silver", "all"):
         headers = as_headers(read_mapping(spark, mapping)) if mapping else v.CORE_HEADERS | v.HISTORY_HEADERS
         history = older_editions(spark, mapping) if mapping else set(v.HISTORY_EDITIONS)
@@ -36,8 +39,13 @@ def run(spark: SparkSession, base: str, step: str = "all", mapping: str | None =
         )
     if step == "silver":
         return {}
-    layers = (read_table(spark, f"{base}/silver/{name}") for name in ("silver_core", "silver_serie_longa"))
-    return release.publish_marts(*layers, f"{base}/gold")
+    layers = [read_table(spark, f"{base}/silver/{name}") for name in ("silver_core", "silver_serie_longa")]
+    written = release.publish_marts(*layers, f"{base}/gold")
+    if step == "all":
+        raw = {e: read_edition(spark, f"{base}/bronze", e) for e in headers}
+        release.publish_quality(raw, *layers, f"{base}/qualidade", written)
+    release.register_release(spark, base, written)
+    return written
 
 
 def main() -> None:

@@ -128,3 +128,12 @@ def test_run_over_a_folder(spark, sf_dir):
     written = run(spark, base, mapping=mapping, gate=False)
     assert set(written) == set(COLUMNS) and written["gold_respondents"] == 6
     assert run(spark, base, "gold") == written
+    tables = {name: spark.read.parquet(f"{base}/qualidade/{name}").collect()
+              for name in ("reconciliacao", "unicidade", "preenchimento", "grupos_pequenos", "metricas")}
+    assert sorted(r["ano"] for r in tables["reconciliacao"]) == sorted(years)
+    assert all(r["delta"] == 0 for r in tables["reconciliacao"])
+    assert {r["coluna"] for r in tables["preenchimento"]} == set(v.EMPTY_REASONS)
+    figures = {r["metrica"]: r["valor"] for r in tables["metricas"]}
+    assert figures["tabelas_gold"] == len(written) and figures["descartados"] == 0
+    asked = spark.sql("SELECT sum(n) AS n FROM gold_respondents").first()["n"]
+    assert asked == spark.table("silver_serie_longa").count() == figures["linhas_bronze"]
