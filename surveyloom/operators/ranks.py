@@ -93,7 +93,7 @@ def cells(counted: DataFrame, keys: Sequence[str], sums: Sequence[str] = ()) ->
 
 def parts(in_cells: DataFrame, within: Sequence[str], carried: Sequence[str] = ()) -> DataFrame:
     """One row per cell and part of `in_cells` (counted values with `_before`, the rows before their cell): the rows
-    before (`_start`) and up to (`_end`) the part's last. `carried` columns are constant in a cell."""
+    before (`_start`) and up to (`_end`) the part's last, and the maxima of the `carried` columns."""
     running = f"OVER (PARTITION BY {_list(within)} ORDER BY _part NULLS FIRST ROWS UNBOUNDED PRECEDING)"
     return (
         in_cells.groupBy(*within, "_part")
@@ -131,9 +131,10 @@ def value_profile(
     in_cells = counted.join(wanted, same(within))
     finer = [*within, "_part"]
     asked = (
-        parts(in_cells, within, ["n_value", "_low", "_high"])
+        parts(in_cells, within, ["n_value", "_low", "_high", *extra, *(f"{c}_w" for c in extra)])
         .filter("n_value = 0 OR (_end >= _low AND _start < _high)")
-        .selectExpr(*renamed(finer, "_p"), "_start")
+        .selectExpr(*renamed(finer, "_p"), "_start",
+                    *[f"greatest({quoted(c)}, {quoted(c + '_w')}) AS {quoted(c + '_p')}" for c in extra])
     )
     in_part = f"OVER (PARTITION BY {_list(finer)} ORDER BY _value ROWS UNBOUNDED PRECEDING)"
     ranked = (
@@ -150,7 +151,8 @@ def value_profile(
         F.expr("try_divide(max(_total), max(n_value)) AS mean"),
         F.expr(f"if({at('_low')} = {at('_high')}, {at('_low')}, "
                f"(1 - max(_share)) * {at('_low')} + max(_share) * {at('_high')}) AS median"),
-        # the count of a part is never above the total; naming it keeps both sides of the join alike,
+        # the count of a part is never above the total; naming it keeps the sides of the joins alike,
         # so that they share one scan and one shuffle
-        *[F.expr(f"greatest(max({quoted(c + '_w')}), max({quoted(c)})) AS {quoted(c)}") for c in extra],
+        *[F.expr(f"greatest(max({quoted(c + '_w')}), max({quoted(c + '_p')}), max({quoted(c)})) AS {quoted(c)}")
+          for c in extra],
     )
