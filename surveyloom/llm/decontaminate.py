@@ -24,6 +24,8 @@ RANK, OVERSAMPLE, POWER_ROUNDS = 64, 8, 2
 #: Least cosine of a candidate, least share of an item's words in common order, and the share that suffices for a
 #: paraphrase if the answer is there as well.
 COSINE, VERBATIM, PARAPHRASE = 0.55, 0.8, 0.6
+#: Least share of an answer's words in common order.
+ANSWERED = 0.8
 #: Words of texts that are looked at together.
 SEGMENT = 1 << 16
 MARKS = bytes(32 if chr(c) in string.punctuation else c for c in range(256))
@@ -212,8 +214,44 @@ def common(item: list[bytes], text: list[bytes]) -> tuple[int, int, int]:
 
 
 def in_order(answer: list[bytes], text: list[bytes]) -> bool:
-    """Whether at least four fifths of the answer's words stand in the text in their order."""
-    return bool(answer) and common(answer, text)[0] >= 0.8 * len(answer)
+    """Whether at least ANSWERED of the answer's words stand in the text in their order."""
+    return bool(answer) and common(answer, text)[0] >= ANSWERED * len(answer)
+
+
+def held(wanted: list[bytes], answer: list[bytes], words: list[bytes], low: int, high: int) -> tuple | None:
+    """Common words, the words of the text between which they stand, and whether the answer is there: of the stretch
+    between `low` and `high` that holds most of an item, if one holds it."""
+    size = len(wanted)
+    region = words[low:high]
+    there = set(region)
+    at_most = sum(w in there for w in wanted)  # a common subsequence cannot hold words that are not there
+    if at_most / size < PARAPHRASE:
+        return None
+    there.update(words[high:high + len(answer)])
+    sayable = bool(answer) and sum(w in there for w in answer) >= ANSWERED * len(answer)
+    least = PARAPHRASE if sayable else VERBATIM
+    if at_most / size < least:
+        return None
+    n, a, b = common(wanted, region)
+    if n / size < least:
+        return None
+
+    def judged(n: int, a: int, b: int) -> tuple | None:
+        answered = sayable and in_order(answer, words[a:b + len(answer)])
+        return (n, a, b, answered) if n / size >= VERBATIM or n / size >= PARAPHRASE and answered else None
+
+    if b - a <= 2 * size and (hit := judged(n, low + a, low + b)):
+        return hit
+    # the longest one is too wide, or without the answer: look at each stretch of twice the item's length by itself
+    known, best = set(wanted), None
+    matches = np.cumsum([0, *(w in known for w in region)])
+    for start in range(len(region)):
+        end = min(start + 2 * size, len(region))
+        if region[start] in known and (matches[end] - matches[start]) / size >= least:
+            n, a, b = common(wanted, region[start:end])
+            if (best is None or n > best[0]) and (hit := judged(n, low + start + a, low + start + b)):
+                best = hit
+    return best
 
 
 def found_in(texts: pa.Array, model: Model) -> Iterator[tuple[int, dict]]:
@@ -234,7 +272,7 @@ def found_in(texts: pa.Array, model: Model) -> Iterator[tuple[int, dict]]:
             runs.setdefault((t, i), []).append(n - part.starts[t])
         for (t, i), places in runs.items():
             item_id, wanted, answer = model.items[i]
-            best, at = None, 0
+            spans, at = [], 0
             while at < len(places):  # neighbouring passages are checked together, with an item's length around them
                 first = last_place = places[at]
                 while at + 1 < len(places) and places[at + 1] <= last_place + 2 and (
@@ -242,23 +280,17 @@ def found_in(texts: pa.Array, model: Model) -> Iterator[tuple[int, dict]]:
                     at += 1
                     last_place = places[at]
                 at += 1
-                low = max(0, first * half - len(wanted))
-                region = part.words[t][low: last_place * half + PASSAGE + len(wanted)]
-                there = set(region)
-                if sum(w in there for w in wanted) < PARAPHRASE * len(wanted):
-                    continue  # a common subsequence cannot hold words that are not there
-                n, a, b = common(wanted, region)
-                share = n / len(wanted)
-                if share < PARAPHRASE or b - a > 2 * len(wanted):
-                    continue
-                answered = in_order(answer, region[a:b + len(answer)])
-                if share >= VERBATIM or answered:
-                    hit = {"item_id": item_id, "cosine": float(cosines[part.starts[t] + first: part.starts[t] + last_place
-                                                                       + 1, i].max()),
-                           "common_words": n, "coverage": share, "answered": answered,
-                           "first_word": low + a, "last_word": low + b}
-                    if best is None or hit["coverage"] > best["coverage"]:
-                        best = hit
+                spans.append((max(0, first * half - len(wanted)), last_place * half + PASSAGE + len(wanted)))
+            best = None
+            for low, high in spans:
+                if best and best["coverage"] == 1:
+                    break
+                if hit := held(wanted, answer, part.words[t], low, high):
+                    n, a, b, answered = hit
+                    near_by = cosines[part.starts[t] + max(0, a // half - 1): part.starts[t] + -(-b // half), i]
+                    if best is None or n / len(wanted) > best["coverage"]:
+                        best = {"item_id": item_id, "cosine": float(near_by.max()), "common_words": n,
+                                "coverage": n / len(wanted), "answered": answered, "first_word": a, "last_word": b}
             if best:
                 yield part.rows[t], best
 

@@ -59,6 +59,28 @@ def test_planted_items_are_found_and_others_left(documents, case):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, _, _ in rows} - {d for d, _ in got}
 
 
+def covered(item, words):
+    """Whether VERBATIM of an item stands in a stretch of twice its length, by trying all of them."""
+    return any(brute_common(item, words[i:i + 2 * len(item)]) >= dc.VERBATIM * len(item) for i in range(len(words)))
+
+
+def test_a_word_elsewhere_does_not_hide_a_copy():
+    item = [b"w%d" % i for i in range(20)]
+    copy = item[1:]  # its first word stands far before it
+    words = [item[0]] + [b"x%d" % i for i in range(30)] + copy + [b"y"] * 10
+    assert dc.common(item, words)[0] == 20
+    assert dc.held(item, [], words, 0, len(words)) == (19, 31, 50, False)
+    assert dc.held(item, [], words[:31] + copy[:10], 0, 41) is None
+
+
+def test_every_near_verbatim_copy_is_found(documents, case):
+    items, bench, rows = case
+    planted = {d: dc.words_of(t) for d, t, _ in rows if d and 2000 <= d < 2030}
+    wanted = {(d, d - 2000) for d, words in planted.items() if covered(dc.words_of(items[d - 2000][1])[:dc.ITEM_WORDS], words)}
+    got = {(r["doc_id"], r["item_id"]) for r in dc.contaminated(documents(rows), bench).collect()}
+    assert wanted <= got and len(wanted) >= 29
+
+
 def test_models_of_a_large_benchmark(documents, case, monkeypatch):
     _, bench, rows = case
     monkeypatch.setattr(dc, "MODEL_PASSAGES", 40)
