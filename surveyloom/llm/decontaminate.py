@@ -1,9 +1,10 @@
-"""Benchmark decontamination by latent semantic retrieval, then longest common subsequences and answers."""
+"""Benchmark decontamination by latent semantic retrieval and rare words, then common subsequences and answers."""
 
 from __future__ import annotations
 
 import string
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,8 +27,8 @@ RANK, OVERSAMPLE, POWER_ROUNDS = 64, 8, 2
 COSINE, VERBATIM, PARAPHRASE = 0.55, 0.8, 0.6
 #: Least share of an answer's words in common order.
 ANSWERED = 0.8
-#: Words of texts that are looked at together.
-SEGMENT = 1 << 16
+#: Words of texts that are looked at together, and occurrences of rare words that are counted together.
+SEGMENT, PAIRS = 1 << 16, 1 << 21
 MARKS = bytes(32 if chr(c) in string.punctuation else c for c in range(256))
 
 
@@ -36,6 +37,36 @@ def words_of(text: str) -> list[bytes]:
     return text.lower().encode().translate(MARKS).split()
 
 
+@dataclass
+class Anchors:
+    """The rarest words of some lists, and how many of their occurrences no text can lack that holds enough of a list.
+
+    Of a list of n words of which k must be there, n - k may be missing: of its n - k + r rarest, r are there.
+    """
+
+    row: np.ndarray  # entries: list, in order
+    word: np.ndarray  # entries: code of one of its rarest words
+    need: np.ndarray  # lists: r
+    width: np.ndarray  # lists: words of text within which they stand
+
+
+def anchors(lists: list[list[bytes]], share: float, widths: list[int], idf: dict[bytes, float],
+            ids: dict[bytes, int]) -> Anchors:
+    rows, words, need = [], [], []
+    for i, found in enumerate(lists):
+        must = next(k for k in range(len(found) + 1) if k >= share * len(found) - 1e-9)
+        spare = len(found) - must
+        held = 0
+        for word, times in sorted(Counter(found).items(), key=lambda x: (-idf[x[0]], x[0])):
+            if held >= spare + max(1, -(-must // 3)):
+                break
+            held += times
+            rows.append(i)
+            words.append(ids[word])
+        need.append(held - spare)
+    return Anchors(*(np.array(x, np.int64) for x in (rows, words, need, widths)))
+
+
 @dataclass
 class Model:
     """Items' words, answers and latent vectors, and the latent vector (IDF included) of each vocabulary word."""
@@ -44,6 +75,10 @@ class Model:
     items: list[tuple[int | None, list[bytes], list[bytes]]]  # item_id, words, answer words
     vectors: np.ndarray  # items x rank, unit length
     basis: np.ndarray  # words + 1 x rank; the last row is zero, for all other words
+    #: What a text cannot lack that holds VERBATIM of an item; PARAPHRASE of it; its answer.
+    verbatim: Anchors
+    paraphrase: Anchors
+    answers: Anchors
 
 
 def item_passages(benchmark: DataFrame) -> DataFrame:
@@ -173,7 +208,7 @@ def singular_basis(passages: DataFrame, idf: dict[bytes, float], rank: int) -> d
 def fit(docs: DataFrame, passages: DataFrame) -> Model:
     """The model of at most MODEL_PASSAGES benchmark passages, with word weights from the whole corpus."""
     rows = passages.orderBy("item_id", "passage").toArrow().to_pylist()
-    vocabulary = sorted({w for row in rows for w in row["words"]})
+    vocabulary = sorted({w for row in rows for w in row["words"] + row["answer"]})
     counts = passage_counts(docs, vocabulary)
     total = counts.get(b"", 0)
     idf = {w: float(np.log((1 + total) / (1 + counts.get(w, 0))) + 1e-3) for w in vocabulary}
@@ -181,11 +216,17 @@ def fit(docs: DataFrame, passages: DataFrame) -> Model:
     rank = len(next(iter(latent.values())))
     basis = np.zeros((len(vocabulary) + 1, rank), np.float32)
     for i, w in enumerate(vocabulary):
-        basis[i] = idf[w] * latent[w]
+        if w in latent:  # others stand in answers only
+            basis[i] = idf[w] * latent[w]
     ids = {w: i for i, w in enumerate(vocabulary)}
     vectors = np.array([basis[[ids[w] for w in row["words"]]].sum(0) for row in rows])
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
-    return Model(ids, [(r["item_id"], r["words"], r["answer"]) for r in rows], vectors.astype(np.float32), basis)
+    items, given = [r["words"] for r in rows], [r["answer"] for r in rows]
+    twice = [2 * len(words) for words in items]
+    wide = [n + len(answer) for n, answer in zip(twice, given)]
+    return Model(ids, [(r["item_id"], r["words"], r["answer"]) for r in rows], vectors.astype(np.float32), basis,
+                 anchors(items, VERBATIM, twice, idf, ids), anchors(items, PARAPHRASE, wide, idf, ids),
+                 anchors(given, ANSWERED, wide, idf, ids))
 
 
 def common(item: list[bytes], text: list[bytes]) -> tuple[int, int, int]:
@@ -218,6 +259,54 @@ def in_order(answer: list[bytes], text: list[bytes]) -> bool:
     return bool(answer) and common(answer, text)[0] >= ANSWERED * len(answer)
 
 
+def dense_blocks(part: Segment, marks: Anchors, none: int, span: int) -> np.ndarray:
+    """Keys (text * lists + list) * span + block, in order, where that block of the text, as wide as the list wants it,
+    holds rare words of the list, and holds with the next block as many as are needed."""
+    used = np.zeros(none + 1, bool)
+    used[marks.word] = True
+    places = np.flatnonzero(used[part.codes])
+    places = places[np.argsort(part.codes[places], kind="stable")]
+    times = np.bincount(part.codes[places], minlength=none + 1)
+    first = np.cumsum(times) - times
+    starts = np.array(part.starts, np.int64) * (PASSAGE // 2)
+    text = np.searchsorted(starts, places, side="right") - 1
+    inside = places - starts[text]
+    entries = np.flatnonzero(times[marks.word])
+    lists, out = len(marks.need), []
+    # lists are taken together up to PAIRS occurrences
+    load = np.cumsum(np.bincount(marks.row, times[marks.word], lists)) // PAIRS
+    for chunk in np.split(entries, np.flatnonzero(np.diff(load[marks.row[entries]])) + 1):
+        n = times[marks.word[chunk]]
+        at = np.repeat(first[marks.word[chunk]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        row = np.repeat(marks.row[chunk], n)
+        keys, count = np.unique((text[at] * lists + row) * span + inside[at] // marks.width[row], return_counts=True)
+        total = count.copy()
+        total[:-1] += np.where(keys[1:] == keys[:-1] + 1, count[1:], 0)
+        out.append(keys[total >= marks.need[keys // span % lists]])
+    return np.sort(np.concatenate(out))
+
+
+def regions(part: Segment, model: Model) -> dict[tuple[int, int], list[tuple[int, int]]]:
+    """For a text and an item, first and last word of regions one of which holds any stretch that is a hit.
+
+    Rare words of a stretch stand in the block of the first of them and the next, and the stretch begins less than a
+    block before it. An answer's first rare word is less than a block away from the item's.
+    """
+    none, lists = len(model.vocabulary), len(model.items)
+    span = len(part.codes) // 2 + 3  # blocks have two words at least: no key and its neighbour are of two lists
+    sure = dense_blocks(part, model.verbatim, none, span)
+    maybe, said = (dense_blocks(part, marks, none, span) for marks in (model.paraphrase, model.answers))
+    maybe = maybe[np.isin(maybe, said) | np.isin(maybe, said + 1) | np.isin(maybe, said - 1)]
+    out: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for keys, marks in (sure, model.verbatim), (maybe, model.paraphrase):
+        for key in keys.tolist():
+            pair, block = divmod(key, span)
+            t, i = divmod(pair, lists)
+            width = int(marks.width[i])
+            out.setdefault((t, i), []).append((max(0, (block - 1) * width), (block + 2) * width))
+    return out
+
+
 def held(wanted: list[bytes], answer: list[bytes], words: list[bytes], low: int, high: int) -> tuple | None:
     """Common words, the words of the text between which they stand, and whether the answer is there: of the stretch
     between `low` and `high` that holds most of an item, if one holds it."""
@@ -270,9 +359,10 @@ def found_in(texts: pa.Array, model: Model) -> Iterator[tuple[int, dict]]:
         runs: dict[tuple[int, int], list[int]] = {}
         for n, i, t in zip(near.tolist(), item.tolist(), text.tolist()):
             runs.setdefault((t, i), []).append(n - part.starts[t])
-        for (t, i), places in runs.items():
+        rare = regions(part, model)
+        for t, i in runs.keys() | rare.keys():
             item_id, wanted, answer = model.items[i]
-            spans, at = [], 0
+            places, spans, at = runs.get((t, i), []), [], 0
             while at < len(places):  # neighbouring passages are checked together, with an item's length around them
                 first = last_place = places[at]
                 while at + 1 < len(places) and places[at + 1] <= last_place + 2 and (
@@ -282,7 +372,7 @@ def found_in(texts: pa.Array, model: Model) -> Iterator[tuple[int, dict]]:
                 at += 1
                 spans.append((max(0, first * half - len(wanted)), last_place * half + PASSAGE + len(wanted)))
             best = None
-            for low, high in spans:
+            for low, high in spans + rare.get((t, i), []):
                 if best and best["coverage"] == 1:
                     break
                 if hit := held(wanted, answer, part.words[t], low, high):
@@ -312,8 +402,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     answered, first_word and last_word (words of the document, end exclusive).
 
     Word weights come from all passages of all documents. Every half-overlapping passage of every whole text is folded
-    into the benchmark's latent space; those near an item are compared with it word by word. A document holds an item
-    if VERBATIM of its words stand there in order within twice its length, or PARAPHRASE of them and the answer. Null
+    into the benchmark's latent space; those near an item are compared with it word by word, and so is every stretch
+    that holds enough of an item's rarest words, which misses none. A document holds an item if VERBATIM of its words
+    stand there in order within twice its length, or PARAPHRASE of them and the answer. Null
     and empty texts and items are never found; repeated rows are searched each; null ids stay null; an empty
     benchmark or table gives no rows. Of a long item each ITEM_WORDS part counts; the best is reported.
     """

@@ -64,6 +64,27 @@ def covered(item, words):
     return any(brute_common(item, words[i:i + 2 * len(item)]) >= dc.VERBATIM * len(item) for i in range(len(words)))
 
 
+def test_every_copy_is_found_whatever_its_cosine(spark, documents, monkeypatch):
+    """Short items, changed copies and long hosts; with the latent search alone some are never compared."""
+    rng = random.Random(5)
+    names = [text(rng, 1) for _ in range(4000)]
+    items = [(i, " ".join(rng.choices(names, k=rng.randint(4, 25)))) for i in range(300)]
+    rows = []
+    for i, item in items:
+        words = [w for w in item.split() if rng.random() > 0.08]
+        around = rng.choices(names, k=60)
+        rows.append((i, " ".join([*around[:rng.randint(20, 40)], *words, *around[40:]]), "s"))
+    wanted = {i for (i, item), (_, t, _) in zip(items, rows) if covered(dc.words_of(item), dc.words_of(t))}
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def found():
+        return {r["doc_id"] for r in dc.contaminated(documents(rows), bench).collect() if r["doc_id"] == r["item_id"]}
+
+    assert wanted <= found() and len(wanted) > 250
+    monkeypatch.setattr(dc, "COSINE", 2.0)  # the rare words alone
+    assert wanted <= found()
+
+
 def test_a_word_elsewhere_does_not_hide_a_copy():
     item = [b"w%d" % i for i in range(20)]
     copy = item[1:]  # its first word stands far before it
