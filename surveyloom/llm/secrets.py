@@ -23,7 +23,7 @@ ASSIGN_CHARS = 6
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 #: A token that could be an encoding of random bytes: one digit at least, and LEAST_CHARS characters.
-TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=-])")
+TOKEN = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=-])")
 DIGIT = re.compile(r"[0-9]")
 
 UPPER, LOWER, DIGITS = string.ascii_uppercase, string.ascii_lowercase, string.digits

@@ -27,6 +27,16 @@ def test_base_spans():
     assert secrets.scan("")[0] == []
 
 
+def test_tokens_after_signs():
+    rng = random.Random(11)
+    for before, after in [("auth=", ""), ("https://h/p?sig=", "&n=1"), ("x=1&sig=", ""), ("AWS_ACCESS=", "\n"), ('k="', '"'),
+                          ("k='", "'"), ("auth:", ""), ("auth: ", "."), ("pwd = ", " "), ("==", ";")]:
+        for key in (token(rng, secrets.ENCODINGS["base62"], 31) + "7", token(rng, secrets.ENCODINGS["base64"], 42) + "7=="):
+            found = [(a, b) for a, b, _, _ in secrets.scan(before + key + after)[1]]
+            assert found == [(len(before), len(before) + len(key))], before
+    assert secrets.scan("a_long_name_of_the_key_2=value")[1] == []  # a name is not a token
+
+
 def test_battery_tells_random_from_regular():
     rng = random.Random(5)
     for name, alphabet in secrets.ENCODINGS.items():
