@@ -21,7 +21,7 @@ ORDER, GAPS, DECAY = 4, 2, 0.6
 STEPS = [(a, b, c) for c in range(3, 4 + GAPS) for b in range(2, c) for a in range(1, b)]
 #: Strings longer than this are seen through overlapping windows of it.
 WIDTH = 24
-#: Bounds of the labelled sample that the machine is fitted on: documents of each label, words, landmarks.
+#: Bounds of the labelled sample that the machine is fitted on: documents of each label, words (see `shares`), landmarks.
 SAMPLE_DOCS, SAMPLE_WORDS, LANDMARKS = 8_000, 60_000, 160
 REMEMBERED = 150_000
 EDGES = "".join(chr(c) for c in range(33, 128) if not chr(c).isalnum()) + "¿¡«»“”„‘’…–—"
@@ -320,9 +320,20 @@ def sample(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
     return rows.select("toxic", F.coalesce("text", F.lit("")).alias("text"))
 
 
+def shares(sizes: list[int], room: int) -> list[int]:
+    """How many of each kind are taken: all, or else no fewer than an even share of the room; none is left unused."""
+    taken = [0] * len(sizes)
+    for done, i in enumerate(sorted(range(len(sizes)), key=lambda i: sizes[i])):
+        taken[i] = min(sizes[i], room // (len(sizes) - done))
+        room -= taken[i]
+    return taken
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fit on a bounded sample of labelled rows outside the held-out fold (see `sample`), and of their strings on all
-    that toxic texts hold and others in hash order up to SAMPLE_WORDS. Texts stay on the executors."""
+    """Fit on a bounded sample of labelled rows outside the held-out fold (see `sample`), and on at most SAMPLE_WORDS of
+    their strings: of those that only toxic texts hold, those of both labels, and those that only clean texts hold, each
+    kind has a third at least, or all. What does not fit is left out from the least toxic contexts on, in hash
+    order. Texts stay on the executors."""
     schema = pa.schema([("word", pa.string()), ("context", pa.int64()), ("toxic", pa.int32())])
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,10 +352,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     texts = stored(sample(docs, labels), "toxicity-sample")
     sizes = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
     # copies of a text repeat its contexts, so a word counts once for each pair of neighbours
-    counts = texts.mapInArrow(strings, "word string, context long, toxic int").distinct().groupBy("word").agg(
-        F.sum("toxic").alias("toxic"), F.count_if(F.col("toxic") == 0).alias("clean"))
-    table = counts.orderBy(F.desc(F.col("toxic") > 1), F.desc("toxic"), F.xxhash64("word"), "word").limit(
-        SAMPLE_WORDS).toArrow()
+    counts = stored(texts.mapInArrow(strings, "word string, context long, toxic int").distinct().groupBy("word").agg(
+        F.sum("toxic").alias("toxic"), F.count_if(F.col("toxic") == 0).alias("clean")), "toxicity-strings")
+    kinds = [counts.where(kind).orderBy(F.desc("toxic"), F.xxhash64("word"), "word").limit(SAMPLE_WORDS).toArrow()
+             for kind in ("clean = 0", "clean > 0 and toxic > 0", "toxic = 0")]
+    table = pa.concat_tables([kind.slice(0, n) for kind, n in zip(
+        kinds, shares([kind.num_rows for kind in kinds], SAMPLE_WORDS))])
     words = table["word"].to_pylist()
     toxic, clean = (table[c].to_numpy().astype(np.int64) for c in ("toxic", "clean"))
     model = None

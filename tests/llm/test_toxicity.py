@@ -73,6 +73,37 @@ def test_disguised_insults_and_odd_texts(documents, fitted):
     assert kept.columns == df.columns and kept.count() == 7
 
 
+def test_shares():
+    assert toxicity.shares([10, 10, 10], 60) == [10, 10, 10]
+    assert toxicity.shares([100, 5, 40], 60) == [28, 5, 27]
+    assert toxicity.shares([100, 100, 100], 60) == [20, 20, 20]
+    assert toxicity.shares([0, 100, 0], 60) == [0, 60, 0]
+
+
+def test_toxic_strings_do_not_push_out_clean_ones(spark, documents, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows, labels = [], []
+    for i in range(800):
+        toxic = i % 2
+        words = ["".join(rng.choice(list("bcdfgklmnprst"), 7)) for _ in range(220)]
+        words[50:50] = ["blarg", "snork"] if toxic else ["the", "and"]
+        rows.append((i, " ".join([*words, "common", "words"]), "s"))
+        labels.append((i, 1, toxic))
+    seen, fit_words = {}, toxicity.fit_words
+
+    def spy(words, toxic, clean, share):
+        seen.update(words=words, toxic=toxic, clean=clean)
+        return fit_words(words, toxic, clean, share, rounds=1)
+
+    monkeypatch.setattr(toxicity, "fit_words", spy)
+    model = toxicity.fit(documents(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert len({w for (_, t, _), (_, _, y) in zip(rows, labels) if y for w in t.split()}) > toxicity.SAMPLE_WORDS
+    toxic, clean = seen["toxic"], seen["clean"]
+    assert len(set(seen["words"])) == len(seen["words"]) == toxicity.SAMPLE_WORDS
+    assert (toxic == 0).sum() >= toxicity.SAMPLE_WORDS // 3 <= (clean == 0).sum()
+    assert ((toxic > 0) & (clean > 0)).any() and model.text_weights is not None
+
+
 def test_quick_margins_are_the_margins(fitted):
     model = fitted[2]
     lut, table = toxicity.letters(model.alphabet), model.table()
