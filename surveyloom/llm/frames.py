@@ -7,6 +7,9 @@ import tempfile
 import uuid
 from functools import cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -49,3 +52,15 @@ def with_offsets(df: DataFrame, by: list[str], order: list[str], value: Column,
     local = spread.withColumn("__in", F.coalesce(F.sum("__v").over(inside), F.lit(0)))
     return local.join(bases, [*by, "__b"]).withColumn(name, F.col("__base") + F.col("__in")).drop(
         "__v", "__b", "__in", "__base")
+
+
+def matrix(vectors: pa.Array, dims: int) -> np.ndarray:
+    """Vectors without nulls as rows of doubles; missing trailing components are 0."""
+    values = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    lengths = pc.list_value_length(vectors).to_numpy(zero_copy_only=False).astype(np.int64)
+    if (lengths == dims).all():
+        return values.reshape(len(lengths), dims)
+    out = np.zeros((len(lengths), dims))
+    rows = np.repeat(np.arange(len(lengths)), lengths)
+    out[rows, np.arange(len(values)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = values
+    return out

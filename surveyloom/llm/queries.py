@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.llm import chat, decontaminate, mixing, secrets, sharding, simhash, tokenbin, topk, toxicity, warc
+from surveyloom.llm import (
+    chat,
+    decontaminate,
+    interplay,
+    mixing,
+    neighbours,
+    secrets,
+    sharding,
+    simhash,
+    tokenbin,
+    topk,
+    toxicity,
+    warc,
+    whitening,
+)
 from surveyloom.llm.frames import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,3 +149,49 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_latent_decontamination")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op11_filter_interplay", r"""
+WITH w AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+m AS (
+  SELECT doc_id, part, (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+    + 4 * (100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text))::INT
+    + 8 * regexp_matches(text, '[#$%&*|]')::INT
+    + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)::INT AS mask FROM w),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+c AS (
+  SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM m LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit),
+o AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+  FROM f a, f b, f c, f d, f e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+s AS (
+  SELECT filter_order, step, bit, coalesce((SELECT sum(g.bit) FROM f AS g
+    WHERE position(g.letter IN filter_order) < step), 0)::INT AS before
+  FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step), f WHERE substr(filter_order, step, 1) = letter),
+r AS (
+  SELECT part, filter_order, step, any_value(s.bit) AS bit,
+    coalesce(sum(n) FILTER (mask & (before | s.bit) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (mask & before = 0 AND mask & s.bit > 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (mask & before > 0 AND mask & s.bit > 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (mask = s.bit), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (mask & before = 0 AND mask & s.bit > 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & s.bit > 0), 0)::BIGINT AS toxic_lost
+  FROM c, s GROUP BY part, filter_order, step)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM r""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interplay.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op12_learned_partitions")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query("op13_bit_sliced_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), most=8)
