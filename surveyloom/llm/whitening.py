@@ -82,7 +82,7 @@ def cross_products(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         first = starts[own]
         both = np.bitwise_count(planes[p] & planes[first:]).sum(axis=1, dtype=np.int64)
         inner[dim[p], present[own:]] += np.add.reduceat(both.astype(kind) * weight[first:], starts[own:] - first) * weight[p]
-        sums[dim[p]] += both[p - first] * weight[p]
+        sums[dim[p]] += int(both[p - first]) * weight[p]
     inner = inner + np.triu(inner, 1).T
     low, sums, inner = low.astype(object), sums.astype(object), inner.astype(object)
     moved = np.multiply.outer(low, sums)
