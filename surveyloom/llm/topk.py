@@ -16,7 +16,7 @@ TILE = 512
 
 
 def whole_components(vector: Column, scale: int = 64) -> Column:
-    """floor(scale * x) of each component x as double."""
+    """floor(scale * x) of each component x as double; what passes a long stops at its end."""
     return F.transform(vector, lambda x: F.floor(F.lit(scale) * x.cast("double")))
 
 
@@ -90,14 +90,20 @@ def best(query_ids: np.ndarray, queries: tuple, ids: np.ndarray, rows: tuple, k:
     return found
 
 
+def past(excess: int) -> list[int] | None:
+    """What an exact score has beyond the long that shows it, as longs that sort as it does (None: nothing)."""
+    low = (1 << 45) - 1
+    return [excess >> 90, excess >> 45 & low, excess & low] if excess else None
+
+
 def top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: int = 64) -> DataFrame:
     """For each query row the `k` highest inner products with all other rows: query_id, rank, vec_id, score.
 
     Input columns are vec_id and embedding; components become floor(scale * x), and missing trailing ones count as 0.
     `queries` picks query rows. Rows without vec_id, and vectors that are null or hold a null or a non-finite
     component, take no part. A row never meets rows with its own vec_id; other repeated rows are candidates each, and
-    an equal query row asks once. Ties go to the smaller vec_id. Scores beyond a long stop at its ends. No rows, no
-    result.
+    an equal query row asks once. Ranks go by the exact integer score, ties to the smaller vec_id; a score beyond a long
+    is ranked as it is and shown as the long's end. No rows, no result.
 
     Rows are numbered by place into blocks of fixed size, and each task meets a block of queries and one of
     candidates, so its memory is bounded whatever repeats. All pairs are scored, none are emitted but the best of each
@@ -123,23 +129,29 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: int = 64) ->
     right = rows.select("vec_id", "parts", dealt(row_blocks).alias("c"), each(query_blocks).alias("q"))
 
     def score(queries: pa.Table, candidates: pa.Table) -> pa.Table:
-        names = ["query_id", "variant", "vec_id", "score"]
         candidates = candidates.sort_by("vec_id")
         query_ids, ids = queries["vec_id"].to_numpy(), candidates["vec_id"].to_numpy()
         if not len(query_ids) or not len(ids):
-            return pa.table([pa.array([], pa.int64())] * 4, names=names)
+            return schema.empty_table()
         places, scores = best(query_ids, postings(queries["parts"]), ids, postings(candidates["parts"]), k)
         there = places >= 0
         ends = np.iinfo(np.int64)
+        exact = scores[there]
+        shown = np.clip(exact, ends.min, ends.max)
         return pa.table([
             pa.array(np.broadcast_to(query_ids, places.shape)[there]),
             pa.array(np.broadcast_to(queries["variant"].to_numpy(), places.shape)[there]),
             pa.array(ids[places[there]]),
-            pa.array(np.clip(scores[there], ends.min, ends.max).astype(np.int64)),
-        ], names=names)
+            pa.array(shown.astype(np.int64)),
+            pa.array([past(x - s) for x, s in zip(exact, shown)] if exact.dtype == object else [None] * len(exact), longs),
+        ], schema=schema)
 
+    longs = pa.list_(pa.int64())
+    schema = pa.schema([(c, pa.int64()) for c in ("query_id", "variant", "vec_id", "score")] + [("past", longs)])
     found = left.groupBy("q", "c").cogroup(right.groupBy("q", "c")).applyInArrow(
-        score, "query_id long, variant long, vec_id long, score long")
-    order = Window.partitionBy("query_id", "variant").orderBy(F.desc("score"), "vec_id")
+        score, "query_id long, variant long, vec_id long, score long, past array<long>")
+    none = F.array(*[F.lit(0).cast("long")] * 3)
+    order = Window.partitionBy("query_id", "variant").orderBy(
+        F.desc("score"), F.desc(F.coalesce("past", none)), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
