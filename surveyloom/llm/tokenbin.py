@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import io
+import json
 import struct
 import sys
 import types
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -26,6 +28,8 @@ BLOCKS_PER_FILE = 512
 #: Words whose ids a worker remembers; twice as many while it forgets the older ones.
 REMEMBERED = 500_000
 MARK = "\x01"
+#: Tasks that read files at most.
+MOST_TASKS = 50_000
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
@@ -49,17 +53,44 @@ def unpack(data: bytes, bits: int, first: int, count: int) -> np.ndarray:
     return out.view("<u4").ravel()
 
 
+def drops_blanks(spec: str) -> bool:
+    """Whether a tokenizer lowers texts and then keeps only pieces without white space, as its own settings say.
+
+    Then a text's ids are those of its words in turn. A tokenizer of another build gets whole texts.
+    """
+    settings = json.loads(spec)
+
+    def steps(part: dict | None, inner: str) -> list[dict]:
+        return [] if not part else part[inner] if part["type"] == "Sequence" else [part]
+
+    normal = steps(settings.get("normalizer"), "normalizers")
+    cuts = steps(settings.get("pre_tokenizer"), "pretokenizers")
+    if not cuts or cuts[0]["type"] != "Split" or "Lowercase" not in [n["type"] for n in normal] or not {
+            n["type"] for n in normal} <= {"Lowercase", "NFC", "Replace"}:
+        return False
+    pattern = cuts[0]["pattern"].get("Regex", "")
+    return (cuts[0]["behavior"], cuts[0]["invert"]) == ("Removed", True) and pattern.endswith("[^\\s\\p{L}\\p{N}]+") and not (
+        set(" .") & set(pattern)) and "\\s" not in pattern.removesuffix("[^\\s\\p{L}\\p{N}]+")
+
+
+def ends_in_letter(word: str) -> bool:
+    """Whether a word, composed and lowered, ends in a letter of every Unicode version, so that a closing mark after it
+    is a piece of its own. Lowering or composing can leave a combining mark at the end, which joins what follows."""
+    return word.isascii() or unicodedata.ucd_3_2_0.category(unicodedata.normalize("NFC", word).lower()[-1])[0] == "L"
+
+
 class Encoder:
     """Ids of whole texts by one tokenizer file, remembering the ids of words between blanks.
 
-    The tokenizers used here drop white space before they split, so a text's ids are those of its words in turn.
-    Only line feeds and blanks are cut at; whatever else a word holds is left to the tokenizer.
+    That holds for tokenizers that drop white space before they split (see `drops_blanks`). Only line feeds and blanks
+    are cut at; whatever else a word holds is left to the tokenizer.
     """
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
+        self.by_word = drops_blanks(spec)
         self.new: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
@@ -86,7 +117,7 @@ class Encoder:
                 new[word] = ids
                 continue
             # one closing mark after letters is a piece of its own, and ASCII letters are lowered by the tokenizer
-            tail = word[-1] if word[-1] in ".,;:!?" and word[:-1].isalpha() else ""
+            tail = word[-1] if word[-1] in ".,;:!?" and word[:-1].isalpha() and ends_in_letter(word[:-1]) else ""
             stem = word[:-1] if tail else word
             stem = stem.lower() if stem.isascii() and stem.isalpha() else stem
             stems[word] = stem, tail
@@ -101,6 +132,8 @@ class Encoder:
 
     def __call__(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of a text."""
+        if not self.by_word:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if len(self.new) > REMEMBERED:
             self.old, self.new = self.new, {"": b""}
         words = text.replace("\n", " ").split(" ")
@@ -200,8 +233,9 @@ def read_block(file: io.BufferedReader, ids: bool = True) -> tuple[list, np.ndar
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
+    """The names of the files, dealt out to about as many tasks: adaptive execution would merge so few bytes."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path")
-    return files.repartition("path")
+    return files.repartition(max(1, min(files.count(), MOST_TASKS)), "path")
 
 
 def _numbered(rows: DataFrame, count: str) -> DataFrame:

@@ -69,3 +69,46 @@ def test_no_documents(spark, documents):
     path = new_path(spark, "tokens-test")
     tokenbin.write_tokens(documents([]), path, PATH)
     assert tokenbin.token_table(spark, path).count() == 0
+
+
+def same_ids(path, texts):
+    with open(path, encoding="utf-8") as file:
+        encode = tokenbin.Encoder(file.read())
+    plain = Tokenizer.from_file(path)
+    for text in texts:
+        assert np.frombuffer(encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.one_of(st.text(max_size=6), st.sampled_from([*".,;:!?", " ", "\n", "İ", "ς", "क़", "שׁ", "̇"])),
+                         max_size=12).map("".join), max_size=4))
+def test_encoder_on_all_of_unicode(texts):
+    same_ids(PATH, texts)
+
+
+def test_closing_marks_after_every_letter():
+    """Whatever a letter becomes by composing and lowering, a mark after it is split as the tokenizer splits it."""
+    letters = [c for c in map(chr, range(0x110000)) if c.isalpha()]
+    rare = [c for c in letters if not 0x3400 <= ord(c) < 0xD7A4 and ord(c) < 0x17000]
+    same_ids(PATH, ["ADALETİ, dedi", "İ?", "cİ:", *(f"x{c}. {c}, {c}{c}!" for c in rare)])
+
+
+def test_other_tokenizers_get_whole_texts():
+    with open(PATH, encoding="utf-8") as file:
+        assert tokenbin.drops_blanks(file.read())
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    with open(other, encoding="utf-8") as file:
+        assert not tokenbin.drops_blanks(file.read())
+    same_ids(other, [t or "" for t in TEXTS])
+
+
+def test_files_are_read_by_many_tasks(spark, documents, monkeypatch):
+    """Names of files are few bytes, which adaptive execution would merge into one task."""
+    monkeypatch.setattr(tokenbin, "BLOCK_IDS", 4)
+    monkeypatch.setattr(tokenbin, "BLOCKS_PER_FILE", 1)
+    path = new_path(spark, "tokens-test")
+    tokenbin.write_tokens(documents([(i, f"text {i}", "s") for i in range(300)]), path, PATH)
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    rows = tokenbin.read_tokens(spark, path).selectExpr("spark_partition_id() AS task", "path").distinct().collect()
+    assert len({r["path"] for r in rows}) >= 280 and len({r["task"] for r in rows}) > 100
+    assert tokenbin.token_table(spark, path).count() == 300
