@@ -75,10 +75,12 @@ def format_conversations(rows: DataFrame) -> DataFrame:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: list[dict] = []
-        conv, part, texts, loss, size, started = None, 0, [], [], 0, False
+        conv, part, texts, loss, size, started, held = None, 0, [], [], 0, False, 0
 
         def close() -> None:
+            nonlocal held
             done.append({"conv_id": conv, "part": part, "text": "".join(texts), "loss": loss})
+            held += size
 
         for batch in batches:
             for row in batch.to_pylist():
@@ -92,9 +94,9 @@ def format_conversations(rows: DataFrame) -> DataFrame:
                     loss.append({"start": size + start, "end": size + end})
                 texts.append(out)
                 size += len(out)
-                if sum(len(r["text"]) for r in done) >= PART_CHARS:
+                if held >= PART_CHARS:
                     yield pa.RecordBatch.from_pylist(done, schema)
-                    done = []
+                    done, held = [], 0
         if started:
             close()
         if done:

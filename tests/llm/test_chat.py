@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -54,3 +55,11 @@ def test_conversations(spark, monkeypatch):
 def test_no_conversations(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.conversation_digests(chat.format_conversations(df)).count() == 0
+
+
+def test_many_short_conversations_take_linear_time(spark):
+    """Rendered rows that wait for a batch are counted once, not once for each turn."""
+    rows = spark.range(60_000).selectExpr("id AS conv_id", "0L AS turn", "'user' AS role", "'hi' AS text").coalesce(1)
+    began = time.time()
+    assert chat.format_conversations(rows).count() == 60_000
+    assert time.time() - began < 60
