@@ -311,9 +311,10 @@ def spread(words: list[str], count: int, lut: np.ndarray) -> list[str]:
 
 def sample(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
     """toxic and text of labelled documents outside the held-out fold (crc32 of doc_id as text divisible by `folds`):
-    at most SAMPLE_DOCS ids of each label, in hash order. Ids are picked from the labels, then looked up."""
+    at most SAMPLE_DOCS ids of each label, in hash order. Ids are picked from the labels, then looked up. An id with
+    both labels is toxic."""
     known = labels.where("toxic in (0, 1)").select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic"))
-    known = known.where(F.crc32(F.col("id").cast("string")) % folds != 0).dropDuplicates(["id"])
+    known = known.where(F.crc32(F.col("id").cast("string")) % folds != 0).groupBy("id").agg(F.max("toxic").alias("toxic"))
     picked = known.where("toxic = 1").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS).union(
         known.where("toxic = 0").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS))
     rows = docs.join(stored(picked, "toxicity-ids"), docs["doc_id"] == F.col("id"))

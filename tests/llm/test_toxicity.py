@@ -118,3 +118,11 @@ def test_without_labels_nothing_is_toxic(spark, documents):
     assert [r["score"] for r in toxicity.scored(docs, toxicity.fit(docs, none)).collect()] == [0.0, 0.0]
     one = spark.createDataFrame([(1, 1, 1)], "doc_id long, quality int, toxic int")
     assert toxicity.scored(documents([]), toxicity.fit(docs, one)).count() == 0
+
+
+def test_an_id_with_both_labels_is_toxic(spark, documents):
+    docs = documents([(i, f"text {i}", "s") for i in range(60)])
+    labels = spark.createDataFrame([(i, t) for i in range(60) for t in ((0, 1) if i % 2 else (0,))], "doc_id long, toxic int")
+    for rows in (labels, labels.orderBy("toxic"), labels.repartition(7)):
+        got = {r["text"]: r["toxic"] for r in toxicity.sample(docs, rows).collect()}
+        assert got and all(t == int(text.split()[1]) % 2 for text, t in got.items())
