@@ -88,9 +88,13 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, st
     others = []
     if DIGIT.search(text):
         base += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
+        base.sort()
+        at, reach = 0, -1  # how far the base spans go that start before a token's end; tokens come in order
         for m in TOKEN.finditer(text):
+            while at < len(base) and base[at][0] < m.end():
+                at, reach = at + 1, max(reach, base[at][2])
             token = m[0].rstrip("=")
-            if (name := encoding_of(token)) and not any(a < m.end() and m.start() < b for a, _, b in base):
+            if reach <= m.start() and (name := encoding_of(token)):
                 octave = min(len(token).bit_length(), 12)
                 others.append((m.start(), m.end(), f"{name}:{octave}", battery(token, ENCODINGS[name])))
     else:

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from surveyloom.llm import secrets
 
@@ -71,3 +72,25 @@ def test_documents(spark, documents):
 
 def test_no_documents(documents):
     assert secrets.find_secrets(documents([])).count() == 0
+
+
+def test_time_is_linear_in_a_text():
+    """A long text full of base spans and tokens: four times the text takes about four times as long, not sixteen."""
+    rng = random.Random(2)
+    line = "".join(f"password=hunter{i} k {token(rng, secrets.ENCODINGS['base62'], 31)}7 " for i in range(700))
+
+    def seconds(text):
+        began = time.process_time()
+        base, others = secrets.scan(text)
+        assert len(base) == 700 * text.count("hunter0 ") and len(others) >= 0.95 * len(base)
+        return time.process_time() - began
+
+    seconds(line)
+    assert seconds(line * 16) < 8 * seconds(line * 4)
+
+
+def test_tokens_touching_base_spans_are_left_out():
+    key = "Zk3" * 8
+    for text, found in ((f"password={key}", 0), (f"password=abcdef {key}", 1), (f"{key} token=abcdef", 1),
+                        (f"api_key: {key} {key}", 1), ("x" + "0a1b" * 8 + "Q", 0)):
+        assert len(secrets.scan(text)[1]) == found, text
