@@ -8,7 +8,7 @@ from itertools import combinations, islice, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveyloom.llm.frames import stored
@@ -43,14 +43,18 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """doc_id and fp (long) of every row of `docs`."""
+def fingerprints(docs: DataFrame, width: int = 3, more: dict[str, Column] | None = None) -> DataFrame:
+    """doc_id and fp (long) of every row of `docs`, and `more` columns of longs."""
+    more = more or {}
+    names = ["doc_id", "fp", *more]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [fingerprint(text.as_py(), width) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), *batch.columns[2:]], names=names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(c.alias(n) for n, c in more.items())).mapInArrow(
+        run, ", ".join(f"{n} long" for n in names))
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -227,6 +231,13 @@ def components(links: DataFrame) -> DataFrame:
         links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def roots_of(rows: DataFrame, radius: int) -> DataFrame:
+    """fp and root of every distinct `fp` in `rows`: the root is the component's smallest fingerprint, as a long."""
+    nodes = stored(rows.select("fp").distinct(), "fingerprint-nodes")
+    roots = components(near_links(nodes, radius))
+    return nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_documents(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
     """One row per document: doc_id, fp (long) and component_id, the smallest doc_id it reaches through links.
 
@@ -245,10 +256,19 @@ def near_documents(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFram
 
 
 def keep_one(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
-    """The documents, one of each component: the one with its smallest doc_id. Rows without doc_id are kept."""
-    heads = near_documents(docs.where("doc_id is not null"), width, radius).where(
-        "doc_id = component_id").select(F.col("doc_id").alias("__head")).distinct()
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    kept = docs.join(heads, docs["doc_id"] == F.col("__head"), "left_semi").withColumn(
-        "__n", F.row_number().over(first)).where("__n = 1").drop("__n")
-    return kept.unionByName(docs.where("doc_id is null"))
+    """The documents, one of each component: that with the smallest doc_id (nulls last), then by fingerprint and text.
+
+    A row is known by its doc_id and a digest of its text, so unlike texts under one doc_id are apart, and copies
+    without doc_id are one component. Of rows that agree in both, one is kept, whatever other columns say.
+    """
+    keys = {"__id": F.col("doc_id").cast("long"), "__a": F.xxhash64("text"), "__b": F.xxhash64(F.lit(1), "text")}
+    rows = stored(fingerprints(docs, width, keys), "fingerprints")
+    placed = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "__a", "__b"))
+                                    .alias("best")).join(roots_of(rows, radius), "fp")
+    best = stored(placed.groupBy("root").agg(F.min("best").alias("best")).select(
+        F.col("best.doc_id").alias("__head"), F.col("best.__a").alias("__c"), F.col("best.__b").alias("__d")), "survivors")
+    keyed = docs.withColumns(keys)
+    kept = keyed.join(best, F.equal_null("__id", "__head") & (F.col("__a") == F.col("__c")) & (F.col("__b") == F.col("__d")),
+                      "left_semi")
+    first = Window.partitionBy("__id", "__a", "__b").orderBy("__a")
+    return kept.withColumn("__n", F.row_number().over(first)).where("__n = 1").select(*docs.columns)

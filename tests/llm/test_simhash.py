@@ -121,3 +121,15 @@ def test_documents(spark, documents):
 def test_no_documents(documents):
     assert simhash.near_documents(documents([])).count() == 0
     assert simhash.keep_one(documents([])).count() == 0
+
+
+def test_one_of_each_component_is_kept(documents):
+    """Unlike texts under one doc_id stay, copies without doc_id are copies, and repeated rows are one."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(80)) for x in "abc")
+    rows = [(1, a, "s"), (1, b, "s"), (1, b, "t"), (2, b, "s"), (2, c, "s"), (None, a, "s"), (None, "lone words here", "s"),
+            (None, "lone words here", "s"), (None, None, "s"), (None, "", "s"), (3, c, "s"), (3, c, "s"), (4, "", "s")]
+    kept = simhash.keep_one(documents(rows)).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted(
+        [(1, a), (1, b), (2, c), (None, "lone words here"), (4, "")], key=str)
+    only = [(None, "copy of words", "s")] * 3 + [(None, "other things", "s")]
+    assert sorted(r["text"] for r in simhash.keep_one(documents(only)).collect()) == ["copy of words", "other things"]
