@@ -61,13 +61,14 @@ def _streams(docs: DataFrame, sources: DataFrame) -> DataFrame:
     return with_offsets(rows, ["rank"], ["doc_id", "digest", "size"], F.col("size"), buckets_for(docs.count()), "start")
 
 
-def _slots(sources: DataFrame, block: int, seed: int) -> DataFrame:
+def _slots(sources: DataFrame, block: int, seed: int, tasks: int) -> DataFrame:
     """One row per slot of the mix: rank, epoch, slot, block, take, place.
 
     A source's target is filled epoch by epoch; each epoch has its own permutation of the source's block indices,
     and the last slot of the last epoch is cut so that the words taken are the whole part of the target. `place` is
     the slot's position among all slots under one more permutation: output shards are runs of places, so their
-    source counts are multinomial draws under the condition that they add up to the targets.
+    source counts are multinomial draws under the condition that they add up to the targets. Chunks of slots are dealt
+    out to a stated number of tasks; few bytes stand for many slots, so adaptive execution must not merge them.
     """
     full = F.floor(F.col("target") / F.col("source_size"))
     epochs = (
@@ -90,7 +91,7 @@ def _slots(sources: DataFrame, block: int, seed: int) -> DataFrame:
         "all_slots": F.sum("slots").over(Window.partitionBy()),
     })
     chunks = epochs.withColumn("chunk", F.explode(F.sequence(
-        F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / CHUNK)))).repartition("rank", "epoch", "chunk")
+        F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / CHUNK)))).repartition(tasks, "rank", "epoch", "chunk")
     slots = chunks.withColumn("slot", F.explode(F.sequence(
         F.col("chunk") * CHUNK, F.least((F.col("chunk") + 1) * CHUNK, "slots") - 1)))
     last = F.col("blocks") - 1
@@ -124,12 +125,14 @@ def mix(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, see
     rows and the seed. A null text has no words; documents without words take no part in pieces; null sources form
     one source; null and repeated ids are separate rows; an empty table gives empty frames.
 
-    No text is shuffled. A hot source is spread by block index everywhere, and its stream is laid out in buckets.
+    A hot source is spread by block index everywhere, and its stream is laid out in buckets. Slots and documents are
+    merged by sorting: what a chunk of slots weighs says nothing about the slots, so none are broadcast.
     """
     sizes = measured(docs)
     sources = stored(source_targets(sizes.groupBy("source").agg(F.sum("size").alias("source_size"))), "mix-sources")
     streams = stored(_streams(sizes, sources), "mix-streams")
-    slots = _slots(sources, block, seed)
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = _slots(sources, block, seed, tasks).hint("merge")
     span = (streams.where("size > 0")
             .withColumn("block", F.explode(F.sequence(
                 F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)))))
@@ -144,13 +147,17 @@ def mix(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, see
 
 
 def words_taken(docs: DataFrame, **options: int) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target and the words the mix takes, repeats counted."""
+    """One row per document: doc_id, size, source_size, target, the words the mix takes, repeats counted, and the shard
+    and slot of the first block that takes some (null if none does)."""
     parts = mix(docs, **options)
-    taken = parts["pieces"].groupBy("rank", "start").agg(F.sum(F.col("last") - F.col("first")).alias("taken"))
-    counted = parts["streams"].where("size > 0").join(taken, ["rank", "start"], "left").unionByName(
-        parts["streams"].where("size = 0").withColumn("taken", F.lit(0).cast("long")))
+    taken = parts["pieces"].groupBy("rank", "start").agg(
+        F.sum(F.col("last") - F.col("first")).alias("taken"), F.min(F.struct("shard", "slot_in_shard")).alias("at"))
+    counted = parts["streams"].where("size > 0").join(taken, ["rank", "start"], "left").select(
+        "doc_id", "size", "rank", "taken", "at.shard", F.col("at.slot_in_shard").alias("slot")).unionByName(
+        parts["streams"].where("size = 0").select("doc_id", "size", "rank", *(
+            F.lit(None).cast("long").alias(c) for c in ("taken", "shard", "slot"))))
     return counted.join(parts["sources"].select("rank", "source_size", "target"), "rank").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), "shard", "slot")
 
 
 def mixed_documents(docs: DataFrame, **options: int) -> DataFrame:
@@ -158,14 +165,16 @@ def mixed_documents(docs: DataFrame, **options: int) -> DataFrame:
 
     All columns of `docs` are kept. A document taken whole keeps its text to the byte; of a document that a block
     boundary cuts, the words taken are joined by single spaces. n_chars, where there is such a column, follows the
-    text. Documents of which nothing is taken, and documents without words, do not appear.
+    text. Documents of which nothing is taken, and documents without words, do not appear. Rows are laid out by output
+    shard, in slot order within it: a row lies where its first words do.
     """
     parts = mix(docs, **options)
     runs = parts["pieces"].groupBy("doc_id", "digest", "rank", "start", "epoch").agg(
         F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs"),
-        F.sum(F.col("last") - F.col("first")).alias("words"))
+        F.sum(F.col("last") - F.col("first")).alias("words"),
+        F.min(F.struct("first", "shard", "slot_in_shard")).alias("at"))
     rows = runs.groupBy("doc_id", "digest", "rank", "start").agg(
-        F.sort_array(F.collect_list(F.struct("epoch", "runs", "words"))).alias("epochs"))
+        F.sort_array(F.collect_list(F.struct("epoch", "runs", "words", "at"))).alias("epochs"))
     picked = rows.groupBy("doc_id", "digest", "rank").agg(
         F.sort_array(F.collect_list(F.struct("start", "epochs"))).alias("copies"))
     picked = picked.join(parts["sources"].select("rank", "source"), "rank").select(
@@ -186,4 +195,5 @@ def mixed_documents(docs: DataFrame, **options: int) -> DataFrame:
     taken = taken.withColumn("__words", F.when(~whole, words)).withColumn("text", text)
     if "n_chars" in docs.columns:
         taken = taken.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return taken.select(*docs.columns)
+    order = [F.col("__e.at.shard"), F.col("__e.at.slot_in_shard"), F.col("__i"), F.col("__d"), F.col("__e.epoch")]
+    return taken.repartition(F.col("__e.at.shard")).sortWithinPartitions(*order).select(*docs.columns)

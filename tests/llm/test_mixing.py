@@ -97,3 +97,46 @@ def test_no_documents(documents):
     assert mixing.words_taken(documents([])).count() == 0
     assert mixing.mixed_documents(documents([])).count() == 0
     assert mixing.words_taken(documents([(1, None, None), (2, "", "a")])).select("taken").distinct().collect() == [(0,)]
+
+
+def test_slots_are_never_broadcast(spark, documents):
+    """However few bytes the chunks of slots have: exploded slots are merged by sorting, and made by many tasks."""
+    pieces = mixing.mix(documents(ROWS), block=16)["pieces"]
+    pieces.collect()
+    plan = pieces._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan and "SortMergeJoin" in plan and "REPARTITION_BY_NUM" in plan
+
+
+def test_shard_and_slot_of_each_document(documents):
+    docs = documents(ROWS)
+    by_start = {}
+    for r in mixing.mix(docs, block=16, shard_slots=50)["pieces"].collect():
+        key = (r["doc_id"], r["digest"])
+        by_start[key] = min(by_start.get(key, (1 << 60, 0)), (r["shard"], r["slot_in_shard"]))
+    got = [r for r in mixing.words_taken(docs, block=16, shard_slots=50).collect() if r["doc_id"] not in (7, None)]
+    wanted = {i: at for (i, _), at in by_start.items() if i not in (7, None)}
+    assert {r["doc_id"]: (r["shard"], r["slot"]) for r in got if r["taken"]} == wanted
+    assert all(r["shard"] is None for r in got if not r["taken"])
+
+
+def test_written_mix_lies_in_shards(documents):
+    """All rows of a shard are in one partition, in slot order."""
+    docs = documents(ROWS)
+    first = {}
+    for r in mixing.mix(docs, block=16, shard_slots=50)["pieces"].collect():
+        key = (r["doc_id"], r["epoch"])
+        first[key] = min(first.get(key, (1 << 60, 0, 0)), (r["first"], r["shard"], r["slot_in_shard"]))
+    places = {}
+    for (doc, _), (_, shard, slot) in first.items():
+        places.setdefault(doc, []).append((shard, slot))
+    rows = mixing.mixed_documents(docs, block=16, shard_slots=50).select(
+        "doc_id", F.spark_partition_id().alias("p")).collect()
+    parts = {}
+    for r in rows:
+        if len(places[r["doc_id"]]) == 1 and r["doc_id"] not in (7, None):
+            parts.setdefault(r["p"], []).append(places[r["doc_id"]][0])
+    home = {}
+    for p, own in parts.items():
+        assert own == sorted(own)
+        for shard, _ in own:
+            assert home.setdefault(shard, p) == p
