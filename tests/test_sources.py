@@ -127,8 +127,8 @@ def test_stream_hides_no_delivered_file_and_changes_no_byte(spark):
     for name, text in sent.items():
         (Path(inbox) / name).write_text(text)
     land_new_files(spark, inbox, bronze, 2025, memory)
-    landed = {p.read_text() for p in folder.glob("lote-*/part-*")}
-    assert landed == {text + "\n" for text in sent.values()}
+    landed = {p.read_text() for p in folder.glob("lote-*/*.csv")}
+    assert landed == set(sent.values())
     rows = editions.read_edition(spark, bronze, 2025, multiline=True).collect()
     assert sorted(r["x"] for r in rows) == ['d"ois', "um\nlinha", "zero"]
     assert editions.landed_editions(spark, bronze) == {2025}
