@@ -7,13 +7,17 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from surveyloom.functions.scalars import quoted
 from surveyloom.operators import quality
+from surveyloom.operators.bootstrap import median_interval
 from surveyloom.operators.quality import require_volumes, volume_gate
 from surveyloom.operators.shares import count_by
-from surveyloom.plans import silver
+from surveyloom.plans import silver, versions
 from surveyloom.plans import vocabulary as v
 from surveyloom.plans.marts import marts
-from surveyloom.sources.tables import publish_mart, read_table, register_views, write_layer
+from surveyloom.sources import store
+from surveyloom.sources.editions import count_records
+from surveyloom.sources.tables import publish_mart, read_table, register_external, register_views, write_layer
 
 Headers = Mapping[int, Mapping[str, str]]
 
@@ -30,15 +34,17 @@ def build_silver(
     """Write both layers and return them as read back.
 
     The long series takes its core rows from the written core layer, so the wide raw files are
-    parsed once. The row-volume gate counts the raw rows before anything is overwritten, and the written layers once
-    more, where a count reads no columns: a short delivery leaves the last good layers as they are.
+    parsed once. The core layer is written under its declared names and types. The row-volume gate counts the raw rows
+    before anything is written, and the written layers once more, where a count reads no columns. A run that writes
+    into a folder of its own (see `plans.versions`) leaves earlier layers as they are, wherever it fails.
     """
     if expected is not None:
         arrived = silver.union_editions([
             df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(e).alias("edition"), "n")
             for e, df in {**history_raw, **core_raw}.items()])
         require_volumes(volume_gate(arrived, spark.createDataFrame(list(expected.items()), "edition int, expected long")))
-    write_layer(silver.silver_core(core_raw, core_headers), f"{folder}/silver_core")
+    harmonised = silver.silver_core(core_raw, core_headers)
+    write_layer(harmonised.to(silver.core_contract(harmonised.columns)), f"{folder}/silver_core")
     core = read_table(spark, f"{folder}/silver_core")
     write_layer(silver.silver_long(history_raw, history_headers, core), f"{folder}/silver_serie_longa")
     long_series = read_table(spark, f"{folder}/silver_serie_longa")
@@ -59,13 +65,41 @@ def publish_marts(core: DataFrame, long_series: DataFrame, folder: str) -> dict[
     }
 
 
+#: Answers that are given a label, and the label's column.
+LABELLED = {"cargo": "cargo_grupo", "modelo_atual": "modelo_atual_h", "modelo_ideal": "modelo_ideal_h",
+            "prioridade_ia": "prioridade_ia_h", "faixa_salarial": "salario_pm"}
+
+
+def label_table(core: DataFrame) -> DataFrame:
+    """campo, ano, resposta, rotulo and n: every answer that is given a label, with the label."""
+    return silver.union_editions([
+        quality.label_pairs(core, c, label).select(
+            F.lit(c).alias("campo"), "ano", F.col(c).alias("resposta"), F.col(label).cast("string").alias("rotulo"), "n")
+        for c, label in LABELLED.items() if {c, label} <= set(core.columns)])
+
+
+def shape_table(spark: SparkSession, paths: Mapping[int, str], raw: Mapping[int, DataFrame]) -> DataFrame:
+    """ano, registros and colunas of the raw files of each edition, counted by quotes."""
+    return silver.union_editions([
+        count_records(spark, path).agg(F.sum("registros").alias("registros")).select(
+            F.lit(e).alias("ano"), "registros", F.lit(len(raw[e].columns)).alias("colunas")) for e, path in paths.items()])
+
+
+def checksum_table(layers: Mapping[str, DataFrame]) -> DataFrame:
+    """tabela, n and checksum of each layer: the same rows in any order give the same pair."""
+    return silver.union_editions([
+        quality.content_checksum(df).select(F.lit(name).alias("tabela"), "n", "checksum") for name, df in layers.items()])
+
+
 def publish_quality(
-    raw: Mapping[int, DataFrame], core: DataFrame, long_series: DataFrame, folder: str, mart_rows: Mapping[str, int]
+    raw: Mapping[int, DataFrame], core: DataFrame, long_series: DataFrame, folder: str, mart_rows: Mapping[str, int],
+    paths: Mapping[int, str] | None = None,
 ) -> dict[str, int]:
     """Write what a reader needs to trust the release, as Parquet and CSV; rows per table.
 
     Raw rows against the long series, repeated ids, filled shares with the reason for gaps, groups under the display
-    cut, and the run in numbers (with the marts that were written).
+    cut, every label given to an answer, resampled intervals of the median pay, checksums of the layers, the run in
+    numbers (with the marts that were written), and, with the raw files' `paths`, their records and columns.
     """
     arrived = silver.union_editions([df.select(F.lit(e).alias("ano")) for e, df in raw.items()])
     editions = [row["ano"] for row in core.select("ano").distinct().collect()]
@@ -76,12 +110,23 @@ def publish_quality(
         "preenchimento": (quality.fill_profile(core, v.EMPTY_REASONS), ["coluna"]),
         "grupos_pequenos": (
             quality.small_groups(paid, ["ano", "cargo_grupo", "nivel"], v.DISPLAY_MINIMUM), ["ano", "cargo_grupo", "nivel"]),
+        "rotulos": (label_table(core), ["campo", "ano", "resposta", "rotulo"]),
+        "intervalos": (median_interval(paid, ["ano", "nivel"], "salario_pm", v.RESAMPLES, v.RESAMPLE_SEED), ["ano", "nivel"]),
+        "impressoes": (checksum_table({"silver_core": core, "silver_serie_longa": long_series}), ["tabela"]),
         "metricas": (quality.run_metrics(core, long_series, "id", editions, len(mart_rows)), ["metrica"]),
     }
+    if paths:
+        tables["formato_csv"] = shape_table(core.sparkSession, paths, raw), ["ano"]
     return {name: publish_mart(df, folder, name, order) for name, (df, order) in tables.items()}
 
 
-def register_release(spark: SparkSession, base: str, marts_written: Mapping[str, int]) -> None:
-    """Both layers and the marts of a written release as views, for questions in SQL."""
-    register_views({name: read_table(spark, f"{base}/silver/{name}") for name in ("silver_core", "silver_serie_longa")})
-    register_views({name: read_table(spark, f"{base}/gold/{name}") for name in marts_written})
+def register_release(spark: SparkSession, base: str, database: str | None = None) -> None:
+    """Layers and marts of the current release as views, for questions in SQL; in a database, the layers as external
+    tables too."""
+    found = versions.current(base)
+    paths = {name.split("/")[1]: store.joined(base, path) for name, path in found.tables.items() if name[0] in "sg"}
+    register_views({name: read_table(spark, path) for name, path in paths.items()})
+    for name in ("silver_core", "silver_serie_longa") if database else ():
+        df = read_table(spark, paths[name])
+        columns = ", ".join(f"{quoted(c)} {kind}" for c, kind in df.dtypes if c != "ano")
+        register_external(spark, database, name, columns, paths[name])

@@ -7,12 +7,12 @@ import pytest
 from checks import marts as mart_checks
 from checks import survey
 from surveyloom.operators.quality import QualityError
-from surveyloom.plans import indicators, marts, release, silver
+from surveyloom.plans import indicators, marts, release, silver, versions
 from surveyloom.plans import vocabulary as v
-from surveyloom.run import run
+from surveyloom.run import land, run
 from surveyloom.sources.editions import edition_path, read_edition, write_raw
 from surveyloom.sources.folders import new_path
-from surveyloom.sources.headers import write_mapping
+from surveyloom.sources.headers import as_headers, read_mapping, write_mapping
 
 # The columns of each published mart, in order.
 COLUMNS = {
@@ -128,8 +128,9 @@ def test_run_over_a_folder(spark, sf_dir):
     written = run(spark, base, mapping=mapping, gate=False)
     assert set(written) == set(COLUMNS) and written["gold_respondents"] == 6
     assert run(spark, base, "gold") == written
-    tables = {name: spark.read.parquet(f"{base}/qualidade/{name}").collect()
-              for name in ("reconciliacao", "unicidade", "preenchimento", "grupos_pequenos", "metricas")}
+    tables = {name: versions.read_released(spark, base, f"qualidade/{name}").collect()
+              for name in ("reconciliacao", "unicidade", "preenchimento", "grupos_pequenos", "metricas", "rotulos",
+                           "intervalos", "impressoes", "formato_csv")}
     assert sorted(r["ano"] for r in tables["reconciliacao"]) == sorted(years)
     assert all(r["delta"] == 0 for r in tables["reconciliacao"])
     assert {r["coluna"] for r in tables["preenchimento"]} == set(v.EMPTY_REASONS)
@@ -137,3 +138,89 @@ def test_run_over_a_folder(spark, sf_dir):
     assert figures["tabelas_gold"] == len(written) and figures["descartados"] == 0
     asked = spark.sql("SELECT sum(n) AS n FROM gold_respondents").first()["n"]
     assert asked == spark.table("silver_serie_longa").count() == figures["linhas_bronze"]
+    assert {r["ano"]: r["registros"] for r in tables["formato_csv"]} == {
+        r["ano"]: r["n_bronze"] for r in tables["reconciliacao"]}
+    assert {r["campo"] for r in tables["rotulos"]} == set(release.LABELLED) and tables["intervalos"]
+    assert {r["tabela"]: r["n"] for r in tables["impressoes"]}["silver_serie_longa"] == asked
+    exported = versions.table_path(base, "qualidade/mapeamento")
+    assert as_headers(read_mapping(spark, exported)) == {**v.CORE_HEADERS, **v.HISTORY_HEADERS}
+
+
+class Broken(Exception):
+    """A run that ends half way."""
+
+
+@pytest.fixture
+def small_base(spark, sf_dir, monkeypatch):
+    """Two editions that all steps run over, the older one with seven columns, and four of the marts."""
+    few = {name: marts.marts()[name] for name in ("gold_respondents", "gold_roles", "gold_seniority", "gold_ai_priority")}
+    monkeypatch.setattr(release, "marts", lambda: few)
+    base, mapping = new_path(spark, "base"), new_path(spark, "mapping")
+    for edition, year in ((2022, 1997), (2025, 2001)):
+        write_raw(survey.raw_edition(spark, sf_dir, year), edition_path(f"{base}/bronze", edition))
+    write_mapping(spark, {2025: v.CORE_HEADERS[2025]}, {2022: v.HISTORY_HEADERS[2022]}, mapping)
+    return base, mapping
+
+
+def seen(spark, base):
+    """Rows of every table of the current release, as a reader finds them."""
+    names = [n for n in versions.current(base).tables if n != "qualidade/mapeamento"]
+    return {n: sorted(map(str, versions.read_released(spark, base, n).collect())) for n in names}
+
+
+def test_a_run_that_fails_anywhere_changes_nothing(spark, small_base, monkeypatch):
+    base, mapping = small_base
+    run(spark, base, mapping=mapping, gate=False)
+    before, version = seen(spark, base), versions.current(base).version
+    (Path(edition_path(f"{base}/bronze", 2025)) / "mais.csv").write_text(
+        "".join(next(Path(edition_path(f"{base}/bronze", 2025)).glob("part-*")).read_text().splitlines(True)[:3]))
+
+    def fail(*_, **__):
+        raise Broken
+
+    wrote = release.publish_mart
+    calls = []
+
+    def third(*args, **kwargs):
+        calls.append(args)
+        return fail() if len(calls) == 3 else wrote(*args, **kwargs)
+
+    monkeypatch.setattr(release, "publish_quality", lambda *_: {})
+    for where, what, how in ((release.silver, "silver_long", fail), (release, "publish_mart", third), (versions, "publish", fail)):
+        with monkeypatch.context() as patched:
+            patched.setattr(where, what, how)
+            with pytest.raises(Broken):
+                run(spark, base, mapping=mapping, gate=False)
+        assert versions.current(base).version == version
+    assert versions.current(base).version == version and seen(spark, base) == before
+    run(spark, base, mapping=mapping, gate=False)
+    assert versions.current(base).version > version and seen(spark, base) != before
+    # what broken runs left is gone, the release before can still be read
+    left = {p.name for p in Path(base, "releases").iterdir()}
+    assert left == {"CURRENT", version, versions.current(base).version}
+
+
+def test_a_gold_step_reads_and_keeps_the_layers_before(spark, small_base):
+    base, mapping = small_base
+    run(spark, base, "silver", mapping, gate=False)
+    first = versions.current(base)
+    assert set(first.tables) == {"silver/silver_core", "silver/silver_serie_longa"}
+    for _ in range(3):  # versions whose layers are still read are never collected
+        run(spark, base, "gold", keep=1)
+    now = versions.current(base)
+    assert now.tables["silver/silver_core"] == first.tables["silver/silver_core"]
+    assert versions.read_released(spark, base, "silver/silver_core").count() > 0
+    assert {p.name for p in Path(base, "releases").iterdir()} == {"CURRENT", first.version, now.version}
+    with pytest.raises(KeyError):
+        versions.table_path(base, "gold/none")
+
+
+def test_a_delivery_lands_and_layers_become_tables(spark, sf_dir, small_base):
+    delivery, mapping = small_base
+    base = new_path(spark, "base")
+    assert land(spark, f"{delivery}/bronze", base).keys() == {2022, 2025}
+    assert land(spark, f"{delivery}/bronze", base) == {}
+    run(spark, base, "silver", mapping, gate=False, database="entrega")
+    assert spark.table("entrega.silver_core").count() == spark.table("silver_core").count() > 0
+    for name in ("silver_core", "silver_serie_longa"):
+        spark.sql(f"DROP TABLE entrega.{name}")
