@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import survey
+from checks.marts import land_raw
 from checks.registry import query
+from surveyloom.functions import scalars
 from surveyloom.operators import bootstrap, quality, ranks, shares
 from surveyloom.plans import silver
 from surveyloom.plans import vocabulary as v
@@ -17,21 +19,21 @@ FIRST, LAST = survey.FIRST, survey.LAST
 DROPPED = ("genero", "cargo", "lang_r")
 
 
+def lost(year: int) -> list[tuple[str, str]]:
+    return [(t, survey.HEADERS[year][t]) for t in DROPPED if t in survey.HEADERS[year]]
+
+
 def quoted_rows(pairs) -> str:
     return ", ".join("('{}', '{}')".format(t, s.replace("'", "''")) for t, s in pairs)
 
 
 @query("d01_missing_columns", " UNION ALL ".join(
     f"SELECT CAST({y} AS INT) AS edition, target, source, (SELECT count(*) FROM every WHERE ano = {y}) AS linhas"
-    f" FROM (VALUES {quoted_rows((t, survey.CORE_HEADERS[y][t]) for t in DROPPED)}) AS m(target, source)"
-    for y in survey.CORE_YEARS), "every")
+    f" FROM (VALUES {quoted_rows(lost(y))}) AS m(target, source)" for y in survey.ALL_YEARS), "every")
 def d01(spark, sf):
-    """Core files that lost three columns: what is absent, and how many rows that stops."""
-    raw = {
-        y: survey.raw_edition(spark, sf, y).drop(*[survey.CORE_HEADERS[y][t] for t in DROPPED])
-        for y in survey.CORE_YEARS
-    }
-    mapping = headers.mapping_table(spark, survey.CORE_HEADERS)
+    """Files of all editions that lost three columns: what is absent, and how many rows that stops."""
+    raw = {y: survey.raw_edition(spark, sf, y).drop(*[source for _, source in lost(y)]) for y in survey.ALL_YEARS}
+    mapping = headers.mapping_table(spark, survey.HEADERS)
     header = spark.createDataFrame(
         [(y, c) for y, df in raw.items() for c in df.columns], "edition int, source string")
     stopped = silver.union_editions([
@@ -43,9 +45,10 @@ def d01(spark, sf):
  count(*) + CASE WHEN ano = {LAST} THEN 1 ELSE 0 END AS expected,
  CASE WHEN ano = {LAST} THEN 'DIVERGENTE' ELSE 'OK' END AS status FROM every GROUP BY ano""", "every")
 def d02(spark, sf):
-    """Rows of each raw edition against the orders of its year; the last year is declared one too large."""
+    """Rows of each landed edition against the orders of its year; the last year is declared one too large."""
+    bronze = land_raw(spark, sf, survey.ALL_YEARS)
     arrived = silver.union_editions([
-        survey.raw_edition(spark, sf, y).agg(F.count(F.lit(1)).alias("n")).withColumn("edition", F.lit(y))
+        editions.read_edition(spark, bronze, y).agg(F.count(F.lit(1)).alias("n")).withColumn("edition", F.lit(y))
         for y in survey.ALL_YEARS])
     declared = shares.count_by(survey.every(spark, sf, "ano"), "ano", name="rows").select(
         F.col("ano").alias("edition"),
@@ -57,8 +60,9 @@ def d02(spark, sf):
 @query("d03_layer_reconcile", f"""SELECT ano, count(*) AS n_bronze, count(*) AS n_silver, CAST(0 AS BIGINT) AS delta
  FROM every GROUP BY ano""", "every")
 def d03(spark, sf):
-    """Raw rows against harmonised rows, edition by edition."""
-    raw = {y: survey.raw_edition(spark, sf, y) for y in survey.ALL_YEARS}
+    """Rows of landed files against harmonised rows, edition by edition."""
+    landed = land_raw(spark, sf, survey.ALL_YEARS)
+    raw = {y: editions.read_edition(spark, landed, y) for y in survey.ALL_YEARS}
     bronze = silver.union_editions([df.select(F.lit(y).alias("ano")) for y, df in raw.items()])
     core = silver.silver_core({y: raw[y] for y in survey.CORE_YEARS}, survey.CORE_HEADERS)
     every = silver.silver_long({y: raw[y] for y in survey.HISTORY_YEARS}, survey.HISTORY_HEADERS, core)
@@ -99,12 +103,25 @@ def d06(spark, sf):
     return quality.uniqueness(survey.every(spark, sf, "ano", "id"), "id")
 
 
-@query("d07_domain_check", """SELECT ano, prioridade_ia, prioridade_ia_h, count(*) AS n FROM every
- GROUP BY ano, prioridade_ia, prioridade_ia_h""", "every")
+LABELS = {
+    "cargo": ("cargo_grupo", silver.role_family),
+    "modelo_atual": ("modelo_atual_h", silver.work_model),
+    "modelo_ideal": ("modelo_ideal_h", silver.work_model),
+    "prioridade_ia": ("prioridade_ia_h", silver.ai_priority),
+    "faixa_salarial": ("salario_pm", scalars.band_midpoint),
+}
+
+
+@query("d07_domain_check", " UNION ALL ".join(
+    f"""SELECT '{c}' AS campo, ano, {c} AS resposta, CAST({label} AS VARCHAR) AS rotulo, count(*) AS n
+ FROM silver_every GROUP BY ano, {c}, {label}""" for c, (label, _) in LABELS.items()), "silver_every")
 def d07(spark, sf):
-    rows = survey.texts(spark, sf, "ano", "prioridade_ia").withColumn(
-        "prioridade_ia_h", silver.ai_priority("prioridade_ia"))
-    return quality.label_pairs(rows, "prioridade_ia", "prioridade_ia_h")
+    """Every answer that is given a label, with the label, in all editions."""
+    rows = survey.texts(spark, sf, "ano", *LABELS)
+    return silver.union_editions([
+        quality.label_pairs(rows.withColumn(label, of(c)), c, label).select(
+            F.lit(c).alias("campo"), "ano", F.col(c).alias("resposta"), F.col(label).cast("string").alias("rotulo"), "n")
+        for c, (label, of) in LABELS.items()])
 
 
 @query("d08_run_metrics", f"""SELECT 'linhas_bronze' AS metrica, count(*) AS valor FROM serie

@@ -5,53 +5,69 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import survey
-from checks.marts import dist_sql, land_raw, pay_sql
+from checks.marts import dist_sql, pay_sql
 from checks.operators import filled_sql
-from checks.registry import QUERIES, query
+from checks.registry import ORACLES, QUERIES, query
 from surveyloom.operators.quality import filled_counts
 from surveyloom.plans import silver
+from surveyloom.plans import vocabulary as v
 from surveyloom.sources import editions, headers, tables
 from surveyloom.sources.folders import new_path
 from surveyloom.streaming.landing import land_new_files
 
 LAST = survey.LAST
-TYPED = ("genero", "lang_sql", "lang_python")
+#: An answer with quotes, commas and line breaks, at the end of every row.
+COMMENT = "concat('disse \"sim\", talvez', chr(10), 'linha ', CAST(k AS STRING))"
+EVERY = " UNION ALL ".join(
+    f"SELECT ano, {COMMENT} AS comentario, " + ", ".join(
+        (f"nullif({c}, '')" if c in survey.HEADERS[y] else "CAST(NULL AS VARCHAR)") + f" AS {c}" for c in v.HEADERS_2025)
+    + f" FROM texts WHERE ano = {y}" for y in survey.ALL_YEARS)
 
 
-def mapped_files(spark, bronze):
-    """All files as read, under harmonised names, answers as typed."""
-    return silver.union_editions([
-        silver.mapped_edition(editions.read_edition(spark, bronze, y), survey.HEADERS[y], y).select("ano", *TYPED)
-        for y in survey.ALL_YEARS])
+def delivered(spark, sf) -> str:
+    """Raw CSV files of all editions, each row over two lines."""
+    inbox = new_path(spark, "entrega")
+    for y in survey.ALL_YEARS:
+        editions.write_raw(survey.raw_edition(spark, sf, y, {"comentario": COMMENT}), editions.edition_path(inbox, y))
+    return inbox
 
 
-@query("s01_csv_scan", f"SELECT ano, {', '.join(TYPED)} FROM texts", "texts")
-def s01(spark, sf):
-    return mapped_files(spark, land_raw(spark, sf, survey.ALL_YEARS))
+def mapped_files(spark, bronze):
+    """All rows of all files under harmonised names, answers as typed; what an edition did not ask is NULL."""
+    def edition(y):
+        raw = editions.read_edition(spark, bronze, y, multiline=True)
+        rows = silver.mapped_edition(raw, {**survey.HEADERS[y], "comentario": "comentario"}, y)
+        return rows.withColumns({c: F.lit(None).cast("string") for c in v.HEADERS_2025 if c not in survey.HEADERS[y]})
+
+    return silver.union_editions([edition(y) for y in survey.ALL_YEARS])
 
 
-COUNTED = "SELECT ano, genero, count(*) AS n FROM texts GROUP BY ano, genero"
+@query("s01_csv_scan", EVERY, "texts")
+def s01(spark, sf):
+    """Every mapped answer of files whose records go over several lines."""
+    return mapped_files(spark, delivered(spark, sf))
 
 
-@query("s02_land_if_absent", COUNTED, "texts")
+@query("s02_land_if_absent", EVERY, "texts")
 def s02(spark, sf):
-    """Landing a second time changes nothing, even if the second delivery differs."""
-    bronze = land_raw(spark, sf, survey.ALL_YEARS)
+    """Delivered files land as they are; landing a second time changes nothing, even if the delivery differs."""
+    inbox, other, bronze = delivered(spark, sf), new_path(spark, "entrega"), new_path(spark, "bronze")
     for y in survey.ALL_YEARS:
-        once = survey.raw_edition(spark, sf, y)
-        editions.land_edition(once.unionByName(once), bronze, y)
-    return mapped_files(spark, bronze).groupBy("ano", "genero").agg(F.count(F.lit(1)).alias("n"))
+        editions.write_raw(survey.raw_edition(spark, sf, LAST), editions.edition_path(other, y))
+        for source in (inbox, other):
+            editions.land_delivery(spark, editions.edition_path(source, y), bronze, y)
+    return mapped_files(spark, bronze)
 
 
-@query("s02b_land_new_files", COUNTED, "texts")
+@query("s02b_land_new_files", EVERY, "texts")
 def s02b(spark, sf):
     """The incremental form: the same inbox is offered twice and taken once."""
-    inbox, bronze = land_raw(spark, sf, survey.ALL_YEARS), new_path(spark, "bronze_stream")
+    inbox, bronze = delivered(spark, sf), new_path(spark, "bronze_stream")
     for y in survey.ALL_YEARS:
         source, memory = editions.edition_path(inbox, y), new_path(spark, f"landed_{y}")
         for _ in range(2):
             land_new_files(spark, source, bronze, y, memory)
-    return mapped_files(spark, bronze).groupBy("ano", "genero").agg(F.count(F.lit(1)).alias("n"))
+    return mapped_files(spark, bronze)
 
 
 LAYER = ("id", "genero", "nivel", "salario_pm", "ano")
@@ -127,10 +143,8 @@ def s08(spark, sf):
 
 @query("s09_external_table", f"SELECT {', '.join(LAYER)} FROM every", "every")
 def s09(spark, sf):
-    folder = layer(spark, sf)
-    name = folder.rsplit("-", 1)[1]
     return tables.register_external(
-        spark, "pesquisa", f"respostas_{name}", "id string, genero string, nivel string, salario_pm double", folder)
+        spark, "pesquisa", "respostas", "id string, genero string, nivel string, salario_pm double", layer(spark, sf))
 
 
 @query("s10_gold_csv_read", pay_sql("ano, nivel", "nivel IS NOT NULL"))
@@ -141,16 +155,13 @@ def s10(spark, sf):
         spark, path, "ano int, nivel string, n bigint, salario_medio_pm double, salario_mediano_pm double")
 
 
-ROWCOUNTED = {"gold_roles": ("g02_roles", dist_sql("cargo_grupo")),
-              "gold_ai_priority": ("g10_ai_priority", dist_sql("prioridade_ia_h")),
-              "gold_job_change_intent": ("g14b_job_change_intent", dist_sql("mudar_emprego_6m"))}
+ROWCOUNTED = {f"gold_{key.partition('_')[2]}": key for key in QUERIES if key[0] == "g"}
 
 
 @query("s11_mart_rowcount", " UNION ALL ".join(
-    f"SELECT '{name}' AS tabela, count(*) AS linhas FROM ({sql})" for name, (_, sql) in ROWCOUNTED.items()))
+    f"SELECT '{name}' AS tabela, count(*) AS linhas FROM ({ORACLES[key]})" for name, key in ROWCOUNTED.items()))
 def s11(spark, sf):
-    """Rows of each mart as reported by its own write."""
+    """Rows of every mart as reported by its own write."""
     folder = new_path(spark, "gold")
-    counted = [
-        (name, tables.publish_mart(QUERIES[key](spark, sf), folder, name)) for name, (key, _) in ROWCOUNTED.items()]
+    counted = [(name, tables.publish_mart(QUERIES[key](spark, sf), folder, name)) for name, key in ROWCOUNTED.items()]
     return spark.createDataFrame(counted, "tabela string, linhas bigint")
