@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import pickle
 import string
+import sys
+import types
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -10,10 +13,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.llm.frames import stored
+from surveyloom.llm.frames import new_path, stored
 
 #: Words of a passage that is looked up; passages start at every half.
 PASSAGE = 32
@@ -27,6 +33,9 @@ RANK, OVERSAMPLE, POWER_ROUNDS = 64, 8, 2
 COSINE, VERBATIM, PARAPHRASE = 0.55, 0.8, 0.6
 #: Least share of an answer's words in common order.
 ANSWERED = 0.8
+#: What the latent space alone finds: a passage of at least this cosine that holds so much of an item's weight in any
+#: order (of items of some length), or a smaller share in common order with the answer.
+NEAR, REWORDED, REWORDED_WORDS, LOOSE = 0.75, 0.9, 8, 0.4
 #: Words of texts that are looked at together, and occurrences of rare words that are counted together.
 SEGMENT, PAIRS = 1 << 16, 1 << 21
 MARKS = bytes(32 if chr(c) in string.punctuation else c for c in range(256))
@@ -75,6 +84,7 @@ class Model:
     items: list[tuple[int | None, list[bytes], list[bytes]]]  # item_id, words, answer words
     vectors: np.ndarray  # items x rank, unit length
     basis: np.ndarray  # words + 1 x rank; the last row is zero, for all other words
+    weights: dict[bytes, float]  # of each vocabulary word
     #: What a text cannot lack that holds VERBATIM of an item; PARAPHRASE of it; its answer.
     verbatim: Anchors
     paraphrase: Anchors
@@ -106,7 +116,10 @@ def item_passages(benchmark: DataFrame) -> DataFrame:
 
 
 def passage_counts(docs: DataFrame, vocabulary: list[bytes]) -> dict[bytes, int]:
-    """In how many passages of PASSAGE / 2 words of the whole corpus each vocabulary word stands; key b"" counts all."""
+    """In how many passages of PASSAGE / 2 words of the whole corpus each vocabulary word stands; key b"" counts all.
+
+    The vocabulary is that of the whole benchmark, so the corpus is counted in one scan however many models there are.
+    """
     ids = {w: i for i, w in enumerate(vocabulary)}
     half = PASSAGE // 2
 
@@ -121,7 +134,7 @@ def passage_counts(docs: DataFrame, vocabulary: list[bytes]) -> dict[bytes, int]
         there = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(seen[there])], names=["word", "n"])
 
-    # a row per vocabulary word and task; the vocabulary is that of one model's passages
+    # a row per vocabulary word and task
     counts = docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     table = counts.toArrow()
     return {(vocabulary[w] if w < len(vocabulary) else b""): n for w, n in zip(
@@ -205,11 +218,10 @@ def singular_basis(passages: DataFrame, idf: dict[bytes, float], rank: int) -> d
     return dict(zip(names, q @ turn[:, ::-1][:, :rank]))
 
 
-def fit(docs: DataFrame, passages: DataFrame) -> Model:
-    """The model of at most MODEL_PASSAGES benchmark passages, with word weights from the whole corpus."""
+def fit(passages: DataFrame, counts: dict[bytes, int]) -> Model:
+    """The model of at most MODEL_PASSAGES benchmark passages, with word weights from `counts` of the whole corpus."""
     rows = passages.orderBy("item_id", "passage").toArrow().to_pylist()
     vocabulary = sorted({w for row in rows for w in row["words"] + row["answer"]})
-    counts = passage_counts(docs, vocabulary)
     total = counts.get(b"", 0)
     idf = {w: float(np.log((1 + total) / (1 + counts.get(w, 0))) + 1e-3) for w in vocabulary}
     latent = singular_basis(passages, idf, min(RANK, max(len(rows), 1)))
@@ -224,7 +236,7 @@ def fit(docs: DataFrame, passages: DataFrame) -> Model:
     items, given = [r["words"] for r in rows], [r["answer"] for r in rows]
     twice = [2 * len(words) for words in items]
     wide = [n + len(answer) for n, answer in zip(twice, given)]
-    return Model(ids, [(r["item_id"], r["words"], r["answer"]) for r in rows], vectors.astype(np.float32), basis,
+    return Model(ids, [(r["item_id"], r["words"], r["answer"]) for r in rows], vectors.astype(np.float32), basis, idf,
                  anchors(items, VERBATIM, twice, idf, ids), anchors(items, PARAPHRASE, wide, idf, ids),
                  anchors(given, ANSWERED, wide, idf, ids))
 
@@ -343,6 +355,40 @@ def held(wanted: list[bytes], answer: list[bytes], words: list[bytes], low: int,
     return best
 
 
+def reworded(wanted: list[bytes], answer: list[bytes], words: list[bytes], low: int, high: int,
+             weights: dict[bytes, float]) -> tuple | None:
+    """Like `held`, for a stretch that the latent space calls near: words may have changed places.
+
+    It holds an item whose words, by weight, nearly all stand within twice its length in whatever order, or LOOSE of
+    whose words stand there in common order, followed by an answer that is not the item as a whole.
+    """
+    size, region = len(wanted), words[low:high]
+    need = Counter(wanted)
+    if size >= REWORDED_WORDS:
+        total = sum(weights[w] for w in wanted)
+        there: Counter = Counter()
+        weight, best, at = 0.0, 0.0, 0
+        for i, w in enumerate(region):
+            if w in need:
+                weight += weights[w] * (there[w] < need[w])
+                there[w] += 1
+            if i >= 2 * size and (gone := region[i - 2 * size]) in need:
+                there[gone] -= 1
+                weight -= weights[gone] * (there[gone] < need[gone])
+            if weight > best + 1e-9:
+                best, at = weight, i + 1
+        if best >= REWORDED * total:
+            first = max(0, at - 2 * size)
+            first += next(i for i, w in enumerate(region[first:]) if w in need)
+            n, _, _ = common(wanted, region[first:at])
+            return n, low + first, low + at, in_order(answer, words[low + first:low + at + len(answer)])
+    if len(answer) < size and sum(w in need for w in region) >= LOOSE * size:
+        n, a, b = common(wanted, region)
+        if n >= LOOSE * size and b - a <= 2 * size and in_order(answer, words[low + a:low + b + len(answer)]):
+            return n, low + a, low + b, True
+    return None
+
+
 def found_in(texts: pa.Array, model: Model) -> Iterator[tuple[int, dict]]:
     """(row, hit) for each benchmark item in each whole text."""
     half = PASSAGE // 2
@@ -380,61 +426,99 @@ def found_in(texts: pa.Array, model: Model) -> Iterator[tuple[int, dict]]:
                     near_by = cosines[part.starts[t] + max(0, a // half - 1): part.starts[t] + -(-b // half), i]
                     if best is None or n / len(wanted) > best["coverage"]:
                         best = {"item_id": item_id, "cosine": float(near_by.max()), "common_words": n,
-                                "coverage": n / len(wanted), "answered": answered, "first_word": a, "last_word": b}
+                                "coverage": n / len(wanted), "answered": answered, "first_word": a, "last_word": b,
+                                "path": "ordered"}
+            for low, high in spans if best is None else ():
+                inside = cosines[part.starts[t] + max(0, -(-low // half)): part.starts[t] + -(-high // half), i]
+                if inside.max(initial=0) >= NEAR and (
+                        hit := reworded(wanted, answer, part.words[t], low, high, model.weights)):
+                    n, a, b, answered = hit
+                    if best is None or n / len(wanted) > best["coverage"]:
+                        best = {"item_id": item_id, "cosine": float(inside.max()), "common_words": n,
+                                "coverage": n / len(wanted), "answered": answered, "first_word": a, "last_word": b,
+                                "path": "latent"}
             if best:
                 yield part.rows[t], best
 
 
 HIT = ("item_id long, cosine double, common_words long, coverage double, answered boolean, first_word long, "
-       "last_word long")
+       "last_word long, path string")
 
 
-def models(docs: DataFrame, benchmark: DataFrame) -> list[Model]:
-    """One model for each MODEL_PASSAGES passages: what travels with a task is bounded, however large the benchmark."""
-    passages = stored(item_passages(benchmark), "benchmark-passages")
+def models(docs: DataFrame, benchmark: DataFrame) -> list[str]:
+    """One model for each MODEL_PASSAGES passages, written to the shared folder; their paths.
+
+    The corpus is scanned once, for the words of all models. Models are fitted one after another and not kept, so the
+    driver holds one; tasks load them in turn. Repeated benchmark rows are one.
+    """
+    spark = docs.sparkSession
+    passages = stored(item_passages(benchmark).dropDuplicates(), "benchmark-passages")
     count = -(-passages.count() // (MODEL_PASSAGES // 2))
-    keyed = passages.withColumn("group", F.pmod(F.xxhash64("item_id", "passage", "words"), F.lit(max(count, 1))))
-    return [fit(docs, keyed.where(F.col("group") == g).drop("group")) for g in range(count)]
+    if not count:
+        return []
+    vocabulary = passages.select(F.explode(F.concat("words", "answer")).alias("w")).distinct().toArrow()["w"].to_pylist()
+    counts = passage_counts(docs, sorted(vocabulary))
+    keyed = passages.withColumn("group", F.pmod(F.xxhash64("item_id", "passage", "words"), F.lit(count)))
+    paths = []
+    for g in range(count):
+        model = cloudpickle.dumps(fit(keyed.where(F.col("group") == g).drop("group"), counts))
+        paths.append(new_path(spark, "benchmark-model"))
+        spark.createDataFrame([(bytearray(model),)], "model binary").coalesce(1).write.parquet(paths[-1])
+    return paths
+
+
+def loaded(path: str) -> Model:
+    """A written model; a worker keeps the one it used last."""
+    kept = sys.modules.setdefault("_benchmark_models", types.ModuleType("_benchmark_models")).__dict__
+    if kept.get("path") != path:
+        store, name = fs.FileSystem.from_uri(path if "://" in path else f"file://{path.removeprefix('file:')}")
+        kept["model"] = pickle.loads(pq.read_table(name, filesystem=store)["model"][0].as_py())
+        kept["path"] = path
+    return kept["model"]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each document and benchmark item found in it: doc_id, item_id, cosine, common_words, coverage,
-    answered, first_word and last_word (words of the document, end exclusive).
+    answered, first_word, last_word (words of the document, end exclusive) and path.
 
     Word weights come from all passages of all documents. Every half-overlapping passage of every whole text is folded
     into the benchmark's latent space; those near an item are compared with it word by word, and so is every stretch
     that holds enough of an item's rarest words, which misses none. A document holds an item if VERBATIM of its words
-    stand there in order within twice its length, or PARAPHRASE of them and the answer. Null
-    and empty texts and items are never found; repeated rows are searched each; null ids stay null; an empty
-    benchmark or table gives no rows. Of a long item each ITEM_WORDS part counts; the best is reported.
+    stand there in order within twice its length, or PARAPHRASE of them and the answer (path `ordered`). What is nearer
+    still in the latent space (cosine NEAR) may have changed order: nearly all of the item's weight within twice its
+    length, or LOOSE of its words in order and the answer (path `latent`). Null and empty texts and items are never
+    found; repeated rows are searched each, repeated items are one; null ids stay null; an empty benchmark or table
+    gives no rows. Of a long item each ITEM_WORDS part counts; the best is reported. Two scans of the documents,
+    however large the benchmark.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("cosine", pa.float64()), (
         "common_words", pa.int64()), ("coverage", pa.float64()), ("answered", pa.bool_()), ("first_word", pa.int64()), (
-        "last_word", pa.int64())])
+        "last_word", pa.int64()), ("path", pa.string())])
     rows = docs.select("text", F.col("doc_id").cast("long").alias("doc_id"))
-    spark: SparkSession = docs.sparkSession
-    out = spark.createDataFrame([], f"doc_id long, {HIT}")
-    for model in models(docs, benchmark):
-        def run(batches: Iterator[pa.RecordBatch], model: Model = model) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                best: dict[tuple, dict] = {}
-                for row, hit in found_in(batch.column(0), model):
+    paths = models(docs, benchmark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            best: dict[tuple, dict] = {}
+            for path in paths:
+                for row, hit in found_in(batch.column(0), loaded(path)):
                     key = row, hit["item_id"]
                     if key not in best or hit["coverage"] > best[key]["coverage"]:
                         best[key] = hit
-                yield pa.RecordBatch.from_pylist([
-                    {"doc_id": batch.column(1)[row].as_py(), **hit} for (row, _), hit in best.items()], schema)
+            yield pa.RecordBatch.from_pylist([
+                {"doc_id": batch.column(1)[row].as_py(), **hit} for (row, _), hit in best.items()], schema)
 
-        out = out.unionByName(rows.mapInArrow(run, f"doc_id long, {HIT}"))
-    return out
+    return rows.mapInArrow(run, f"doc_id long, {HIT}")
 
 
-def holds_item(model: Model) -> Column:
-    """Whether column `text` holds an item, as a column for filters that keep whole rows."""
+def holds_item(paths: list[str]) -> Column:
+    """Whether column `text` holds an item of one of the models, as a column for filters that keep whole rows."""
     @F.arrow_udf("boolean")
     def holds(text: pa.Array) -> pa.Array:
         out = np.zeros(len(text), bool)
-        out[[row for row, _ in found_in(text, model)]] = True
+        for path in paths:
+            left = np.flatnonzero(~out)
+            out[left[[row for row, _ in found_in(text.take(pa.array(left)), loaded(path))]]] = True
         return pa.array(out)
 
     return holds(F.col("text"))
@@ -442,6 +526,5 @@ def holds_item(model: Model) -> Column:
 
 def without_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns."""
-    for model in models(docs, benchmark):
-        docs = docs.where(~holds_item(model))
-    return docs
+    paths = models(docs, benchmark)
+    return docs.where(~holds_item(paths)) if paths else docs

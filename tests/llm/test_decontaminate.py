@@ -131,3 +131,55 @@ def test_nothing_to_find(spark, documents):
     assert dc.contaminated(docs, none).count() == 0 and dc.without_items(docs, none).count() == 1
     some = spark.createDataFrame([(1, "a few words of it")], "item_id long, text string")
     assert dc.contaminated(documents([]), some).count() == 0
+
+
+def test_changed_order_is_found_by_the_latent_search_alone(documents, spark, monkeypatch):
+    """Items whose thirds changed places: no ordered share suffices, the cosine finds them; like words elsewhere stay."""
+    rng = random.Random(12)
+    names = [text(rng, 1) + str(i % 7) for i in range(3000)]
+    items = [(i, " ".join(rng.sample(names, 24))) for i in range(40)]
+    rows = [(500 + i, " ".join(rng.choices(names, k=120)), "s") for i in range(200)]
+    for i, item in items:
+        w = item.split()
+        rows.append((i, " ".join([*rng.choices(names, k=40), *w[16:], *w[8:16], *w[:8], *rng.choices(names, k=40)]), "s"))
+        scattered = rng.choices(names, k=200)
+        scattered[::8] = w + ["x"]  # its words, too far apart
+        rows.append((1000 + i, " ".join(scattered), "s"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = dc.contaminated(documents(rows), bench).collect()
+    assert {(r["doc_id"], r["item_id"], r["path"]) for r in got} == {(i, i, "latent") for i, _ in items}
+    assert {r["doc_id"] for r in dc.without_items(documents(rows), bench).collect()} == {d for d, _, _ in rows if d >= 500}
+    monkeypatch.setattr(dc, "COSINE", 2.0)
+    assert dc.contaminated(documents(rows), bench).count() == 0
+
+
+def test_reworded_against_all_windows():
+    rng = random.Random(3)
+    for _ in range(400):
+        item = [b"%d" % rng.randrange(12) for _ in range(rng.randint(8, 12))]
+        words = [b"%d" % rng.randrange(16) for _ in range(rng.randint(0, 60))]
+        weights = {w: 1.0 + int(w) for w in set(item)}
+
+        def share(window):
+            return sum(min(item.count(w), window.count(w)) * weights[w] for w in set(item)) / sum(weights[w] for w in item)
+
+        best = max((share(words[i:i + 2 * len(item)]) for i in range(len(words) or 1)), default=0)
+        hit = dc.reworded(item, item, words, 0, len(words), weights)
+        assert (hit is not None) == (best >= dc.REWORDED - 1e-12)
+        if hit:
+            assert share(words[hit[1]:hit[2]]) >= dc.REWORDED - 1e-9 and hit[2] - hit[1] <= 2 * len(item)
+
+
+def test_scans_do_not_grow_with_the_benchmark(documents, case, monkeypatch):
+    """Many models, repeated benchmark rows: words are counted once, and one pass searches for all."""
+    _, bench, rows = case
+    monkeypatch.setattr(dc, "MODEL_PASSAGES", 20)
+    counted = []
+    count = dc.passage_counts
+    monkeypatch.setattr(dc, "passage_counts", lambda *a: counted.append(1) or count(*a))
+    found = dc.contaminated(documents(rows[150:]), bench.union(bench).union(bench))
+    assert counted == [1]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Union" not in plan
+    pairs = [(r["doc_id"], r["item_id"]) for r in found.collect() if r["doc_id"] is not None and r["doc_id"] < 2000]
+    assert sorted(pairs) == sorted(set(pairs)) and {(1000 + i, i) for i in range(30)} <= set(pairs)
