@@ -24,10 +24,10 @@ HIDDEN = 96
 #: Share of the neighbours of held-out sample rows that the probed parts must hold.
 RECALL = 0.94
 #: Queries and candidates of one group of the search, and candidates that are scored at a time.
-QUERY_BLOCK = 2048
+QUERY_BLOCK = 1024
 ROW_BLOCK = 1 << 17
 TILE = 2048
-PAIRS = 1 << 16
+PAIRS = 1 << 14
 
 
 class Net(NamedTuple):
@@ -67,8 +67,8 @@ def softmax(logits: np.ndarray) -> np.ndarray:
 def neighbour_graph(x: np.ndarray, scaled: np.ndarray, k: int) -> np.ndarray:
     """For each direction the sample rows of largest inner product with it, itself left out."""
     found = []
-    for low in range(0, len(x), 1024):
-        near = x[low: low + 1024] @ scaled.T
+    for low in range(0, len(x), 512):
+        near = x[low: low + 512] @ scaled.T
         near[np.arange(len(near)), np.arange(low, low + len(near))] = -np.inf
         found.append(np.argpartition(near, len(x) - k, axis=1)[:, len(x) - k:])
     return np.concatenate(found)
