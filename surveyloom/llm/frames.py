@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -14,14 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-@cache
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="llm-shared-")
-
-
 def new_path(spark: SparkSession, kind: str) -> str:
-    """An unused path in the folder all executors share (spark.checkpoint.dir; unset, as in tests, a folder of ours)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    """An unused path in the folder all executors share: spark.checkpoint.dir, or where it is unset, the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared"
     return f"{base.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
 
 
