@@ -2,24 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_SETTING = "spark.checkpoint.dir"
+_SETTING, _WAREHOUSE = "spark.checkpoint.dir", "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, as named by the session. Only a local session may go without."""
-    folder = spark.conf.get(_SETTING, None)
-    if folder:
-        return folder
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="surveyloom-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    """The folder all executors see: the one the session names, or where it names none, one in the warehouse."""
+    return spark.conf.get(_SETTING, None) or f"{spark.conf.get(_WAREHOUSE).rstrip('/')}/_shared"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
