@@ -261,14 +261,15 @@ def keep_one(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
     A row is known by its doc_id and a digest of its text, so unlike texts under one doc_id are apart, and copies
     without doc_id are one component. Of rows that agree in both, one is kept, whatever other columns say.
     """
-    keys = {"__id": F.col("doc_id").cast("long"), "__a": F.xxhash64("text"), "__b": F.xxhash64(F.lit(1), "text")}
+    # the keys are never null, so the join and the choice among repeated rows share one shuffle of the documents
+    keys = {"__k": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")), "__a": F.xxhash64("text"),
+            "__b": F.xxhash64(F.lit(1), "text")}
     rows = stored(fingerprints(docs, width, keys), "fingerprints")
-    placed = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "__a", "__b"))
-                                    .alias("best")).join(roots_of(rows, radius), "fp")
+    row = F.struct(F.col("doc_id").isNull().alias("__n"), "doc_id", "fp", *keys)
+    placed = rows.groupBy("fp").agg(F.min(row).alias("best")).join(roots_of(rows, radius), "fp")
+    names = ["__n", *keys]
     best = stored(placed.groupBy("root").agg(F.min("best").alias("best")).select(
-        F.col("best.doc_id").alias("__head"), F.col("best.__a").alias("__c"), F.col("best.__b").alias("__d")), "survivors")
-    keyed = docs.withColumns(keys)
-    kept = keyed.join(best, F.equal_null("__id", "__head") & (F.col("__a") == F.col("__c")) & (F.col("__b") == F.col("__d")),
-                      "left_semi")
-    first = Window.partitionBy("__id", "__a", "__b").orderBy("__a")
-    return kept.withColumn("__n", F.row_number().over(first)).where("__n = 1").select(*docs.columns)
+        *(F.col(f"best.{n}").alias(n) for n in names)), "survivors")
+    kept = docs.withColumns({"__n": F.col("doc_id").isNull(), **keys}).join(best, names, "left_semi")
+    first = Window.partitionBy(*names).orderBy("__a")
+    return kept.withColumn("__row", F.row_number().over(first)).where("__row = 1").select(*docs.columns)
