@@ -34,6 +34,8 @@ ENCODINGS = {
     "base64": UPPER + LOWER + DIGITS + "+/", "base64url": UPPER + LOWER + DIGITS + "-_",
 }
 BINS = 20
+#: From 32 characters on, tokens are held against this many random ones for each bin and others in the first bin.
+PRIOR_OCTAVE, EVEN, LOW = 6, 5, 6
 
 
 def encoding_of(token: str) -> str | None:
@@ -128,9 +130,16 @@ def thresholds(histogram: dict[str, list[int]], rate: float) -> dict[str, float]
     Random tokens have even p values, others pile up near 0. So tokens above a half, doubled, estimate the random
     ones, and of those at or above a cut the estimate says how many are not random. A stratum is an encoding and a
     length octave: short tokens, which tests tell apart badly, need a higher cut, long ones none. No cut, no entry.
+
+    A few tokens say little about the noise among them. So a stratum of PRIOR_OCTAVE and up, where ordinary names mostly
+    have p values below 1 / BINS, starts with EVEN random tokens for each bin and LOW others in the first: a lone key is
+    found by its own p value, and some dozens of tokens outvote the start. Shorter tokens have no such start.
     """
     cuts = {}
-    for stratum, counts in histogram.items():
+    for stratum, found in histogram.items():
+        octave = stratum.partition(":")[2]
+        start = [EVEN + LOW] + [EVEN] * (BINS - 1) if octave and int(octave) >= PRIOR_OCTAVE else [0] * BINS
+        counts = [a + b for a, b in zip(found, start)]
         even = 2 * sum(counts[BINS // 2:])
         for first in range(BINS):
             accepted = sum(counts[first:])

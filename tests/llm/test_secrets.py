@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 import time
@@ -94,3 +95,56 @@ def test_tokens_touching_base_spans_are_left_out():
     for text, found in ((f"password={key}", 0), (f"password=abcdef {key}", 1), (f"{key} token=abcdef", 1),
                         (f"api_key: {key} {key}", 1), ("x" + "0a1b" * 8 + "Q", 0)):
         assert len(secrets.scan(text)[1]) == found, text
+
+
+def shares(keys, names, rounds, rng):
+    """Shares of keys and of names that are found where a corpus holds only these, over many corpora."""
+    found = [0, 0]
+    for _ in range(rounds):
+        tokens = [("k", token(rng, secrets.ENCODINGS["base62"], 31) + "7") for _ in range(keys)] + [("n", n) for n in names(rng)]
+        tested = [(kind, *secrets.scan(t)[1][0][2:]) for kind, t in tokens]
+        histogram = {}
+        for _, stratum, p in tested:
+            histogram.setdefault(stratum, [0] * secrets.BINS)[min(int(p * secrets.BINS), secrets.BINS - 1)] += 1
+        cuts = secrets.thresholds(histogram, 0.05)
+        for kind, stratum, p in tested:
+            found[kind == "n"] += p >= cuts.get(stratum, 2.0)
+    return found[0] / max(1, keys * rounds), found[1] / max(1, rounds)
+
+
+def test_lone_keys_are_found():
+    """Whether a key is found does not hang on others like it in the corpus."""
+    rng = random.Random(8)
+    for keys in (1, 2, 3, 10, 30):
+        assert shares(keys, lambda _: [], 600 // keys, rng)[0] >= 0.9, keys
+
+
+def test_ordinary_names_are_left():
+    """Names of 32 characters and more, alone in a corpus or with keys beside them."""
+    rng = random.Random(9)
+    words = "user page index report final invoice number customer address order payload header version release".split()
+
+    def name(rng):
+        out = "".join(rng.choice(words).capitalize() for _ in range(9))[:40]
+        return [out + str(rng.randint(10, 99))]
+
+    assert shares(0, name, 300, rng)[1] <= 0.08
+    found = shares(1, name, 300, rng)
+    assert found[0] >= 0.85 and found[1] <= 0.15
+    many = shares(0, lambda rng: [n for _ in range(200) for n in name(rng)], 5, rng)[1]
+    assert many <= 200 * 0.02
+
+
+def test_query_columns_against_brute_force(spark, documents, sf_dir):
+    """Counts, digest and listed spans of every document of the given table."""
+    from surveyloom.llm.queries import QUERIES
+
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    got = QUERIES["op1_secret_battery"](spark, sf_dir).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        spans = brute(texts[r["doc_id"]])
+        listed = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(k == i for _, k, _ in spans) for i in range(3)]
+        assert r["base_sha256"] == hashlib.sha256(listed.encode()).hexdigest()
+        assert [s for s in r["spans"].split(",") if not s.startswith("random")] == [s for s in listed.split(",")]
