@@ -30,21 +30,39 @@ def buckets_for(rows: int) -> int:
     return math.isqrt(rows) + 1
 
 
-def with_offsets(df: DataFrame, by: list[str], order: list[str], value: Column, buckets: int, name: str) -> DataFrame:
+#: Copies of a row that one generated list stands for.
+COPIES = 1 << 16
+
+
+def with_offsets(df: DataFrame, by: list[str], order: list[str], value: Column, buckets: int, name: str,
+                 repeats: bool = True) -> DataFrame:
     """Add the exclusive running sum of `value` inside each group `by`, in an order that is fixed by the rows.
 
     A group may hold most of the rows: it is cut into hash buckets of the order columns, sums of buckets are summed
-    first, and no window sorts more than a bucket. Rows are ordered by bucket, then by `order`; rows that agree in all
-    order columns are interchangeable. `by` must not hold nulls.
+    first, and no window sorts more than a bucket. Rows are ordered by bucket, then by `order`. Rows that are alike are
+    one weighted row until they are numbered, so however many there are of them they fill no bucket; columns that are
+    in neither list must follow from those that are. `repeats` False says that there are none. `by` must not hold nulls.
     """
-    spread = df.withColumns({"__v": value.cast("long"), "__b": F.pmod(F.xxhash64(*order), F.lit(buckets))})
-    sums = spread.groupBy(*by, "__b").agg(F.sum("__v").alias("__s"))
+    valued = df.withColumn("__v", value.cast("long"))
+    if repeats:
+        valued = valued.groupBy(*df.columns, "__v").agg(F.count("*").alias("__m"))
+    else:
+        valued = valued.withColumn("__m", F.lit(1).cast("long"))
+    weight = F.col("__v") * F.col("__m")
+    spread = valued.withColumn("__b", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    sums = spread.groupBy(*by, "__b").agg(F.sum(weight).alias("__s"))
     before = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select(*by, "__b", F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__base"))
     inside = Window.partitionBy(*by, "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    local = spread.withColumn("__in", F.coalesce(F.sum("__v").over(inside), F.lit(0)))
-    return local.join(bases, [*by, "__b"]).withColumn(name, F.col("__base") + F.col("__in")).drop(
-        "__v", "__b", "__in", "__base")
+    local = spread.withColumn("__in", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+    placed = local.join(bases, [*by, "__b"])
+    zero, copy = F.lit(0).cast("long"), F.lit(0).cast("long")
+    if repeats:
+        lists = placed.withColumn("__c", F.explode(F.sequence(zero, F.floor((F.col("__m") - 1) / COPIES))))
+        placed = lists.withColumn("__k", F.explode(F.sequence(
+            F.col("__c") * COPIES, F.least((F.col("__c") + 1) * COPIES, "__m") - 1))).drop("__c")
+        copy = F.col("__k")
+    return placed.withColumn(name, F.col("__base") + F.col("__in") + copy * F.col("__v")).select(*df.columns, name)
 
 
 def matrix(vectors: pa.Array, dims: int) -> np.ndarray:

@@ -77,7 +77,7 @@ def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
     classes = groups.groupBy("group_bytes").count()
     ends = (classes.repartition(1).sortWithinPartitions(F.desc("group_bytes"))
             .mapInArrow(_schedule(shards), "group_bytes long, ends array<long>"))
-    numbered = with_offsets(groups, ["group_bytes"], ["digest"], F.lit(1), buckets, "ordinal")
+    numbered = with_offsets(groups, ["group_bytes"], ["digest"], F.lit(1), buckets, "ordinal", repeats=False)
     placed = numbered.join(ends, "group_bytes").select(
         "digest", F.size(F.filter("ends", lambda end: end <= F.col("ordinal"))).alias("shard"))
     rows = slim.join(placed, "digest").select("doc_id", "size", "text_crc32", "shard", "digest")
