@@ -50,16 +50,18 @@ def same(columns: Sequence[str], suffix: str = "_w") -> Column:
 
 
 def value_counts(
-    df: DataFrame, keys: Sequence[str], value: str, sums: Mapping[str, Column] | None = None
+    df: DataFrame, keys: Sequence[str], value: str, sums: Mapping[str, Column] | None = None, weight: str | None = None
 ) -> DataFrame:
     """keys, `_value`, `_rows`, `_cell`, `_part`: how often each value occurs in each group, and where it lies.
 
-    `sums` are further counts of the same rows, kept per value so that they add up again.
+    `sums` are further counts of the same rows, kept per value so that they add up again. A row stands for as many rows
+    as its column `weight` says.
     """
+    rows = "count(1)" if weight is None else f"sum({quoted(weight)})"
     return (
         df.withColumn("_value", F.expr(f"CAST({quoted(value)} AS DOUBLE)"))
         .groupBy(*keys, "_value")
-        .agg(F.expr("count(1) AS _rows"), *[c.alias(name) for name, c in (sums or {}).items()])
+        .agg(F.expr(f"{rows} AS _rows"), *[c.alias(name) for name, c in (sums or {}).items()])
         .withColumn("_key", F.expr(f"CASE WHEN _value IS NOT NULL THEN {_KEY} END"))
         .withColumns({"_cell": F.expr(_CELL), "_part": F.expr(_PART)})
         .drop("_key")
@@ -110,14 +112,16 @@ def value_profile(
     value: str,
     q: float = 0.5,
     sums: Mapping[str, Column] | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """keys, n, n_value, mean, median: rows, rows with a value, their mean and interpolated quantile.
 
-    `sums` adds named counts (nothing negative) over all rows of the group to the same pass.
+    `sums` adds named counts (nothing negative) over all rows of the group to the same pass. Rows that were counted
+    before have their number in `weight`.
     """
     keys, extra = list(keys), list(sums or {})
     within = [*keys, "_cell"]
-    counted = value_counts(df, keys, value, sums)
+    counted = value_counts(df, keys, value, sums, weight)
     wanted = (
         cells(counted, keys, extra)
         .selectExpr("*", f"(n_value - 1) * {float(q)!r}D AS _position")

@@ -47,13 +47,17 @@ def multi_response(
     counts = [
         F.expr(f"{fn}(`{c}`) AS `{c}__{fn}`") for c in options for fn in ("count", "sum")
     ]
+    return option_rows(df.groupBy(*by).agg(*counts), options, name, by)
+
+
+def option_rows(counted: DataFrame, options: Mapping[str, str], name: str, by: Sequence[str]) -> DataFrame:
+    """Group rows with `c__count` and `c__sum` of each yes/no column, as one row per option with its adoption."""
     per_option = ", ".join(
         f"named_struct('{name}', {_text(label)}, 'usuarios', `{c}__sum`, 'base_valida', `{c}__count`)"
         for c, label in options.items()
     )
     return (
-        df.groupBy(*by)
-        .agg(*counts)
+        counted
         .selectExpr(*map(quoted, by), f"inline(array({per_option}))")
         .filter("base_valida > 0")
         .withColumn("pct", percent("usuarios", "base_valida"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from surveyloom.operators import quality
 from surveyloom.operators.bootstrap import median_interval
 from surveyloom.operators.quality import require_volumes, volume_gate
 from surveyloom.operators.shares import count_by
-from surveyloom.plans import silver, versions
+from surveyloom.plans import cube, silver, versions
 from surveyloom.plans import vocabulary as v
 from surveyloom.plans.marts import marts
 from surveyloom.sources import store
@@ -57,12 +57,18 @@ def build_silver(
     return core, long_series
 
 
-def publish_marts(core: DataFrame, long_series: DataFrame, folder: str) -> dict[str, int]:
-    """Write every mart as Parquet and CSV; rows per mart."""
-    return {
-        name: publish_mart(mart.build(core, long_series), folder, name, mart.order)
-        for name, mart in marts().items()
-    }
+def publish_marts(
+    core: DataFrame, long_series: DataFrame, folder: str, before: str | None = None, editions: Sequence[int] = (),
+) -> dict[str, int]:
+    """Write the counts that all marts are made of (`cubo`), and every mart as Parquet and CSV; rows per mart.
+
+    Two scans of the core layer and one of the long series, whatever the number of marts. With the counts of an earlier
+    release (`before`) only the directories of the changed `editions` are read.
+    """
+    now = (cube.refreshed(cube.read(core.sparkSession, before), core, long_series, editions) if before
+           else cube.build(core, long_series))
+    kept, builders = cube.write(now, f"{folder}/cubo"), cube.rollups()
+    return {name: publish_mart(builders[name](kept), folder, name, mart.order) for name, mart in marts().items()}
 
 
 #: Answers that are given a label, and the label's column.
@@ -124,7 +130,8 @@ def register_release(spark: SparkSession, base: str, database: str | None = None
     """Layers and marts of the current release as views, for questions in SQL; in a database, the layers as external
     tables too."""
     found = versions.current(base)
-    paths = {name.split("/")[1]: store.joined(base, path) for name, path in found.tables.items() if name[0] in "sg"}
+    paths = {name.split("/")[1]: store.joined(base, path) for name, path in found.tables.items()
+             if name.startswith(("silver/", "gold/")) and name != "gold/cubo"}
     register_views({name: read_table(spark, path) for name, path in paths.items()})
     for name in ("silver_core", "silver_serie_longa") if database else ():
         df = read_table(spark, paths[name])

@@ -1,14 +1,14 @@
 """The whole release over a folder: BASE/bronze/ano=YYYY -> BASE/releases/VERSION/{silver,gold,qualidade}.
 
 python -m surveyloom.run BASE [--mapping JSON] [--step silver|gold|all] [--delivery FOLDER] [--no-line-breaks]
-                              [--expected JSON | --no-volume-gate] [--database NAME] [--keep N]
+                              [--expected JSON | --no-volume-gate] [--database NAME] [--keep N] [--editions E ...]
 """
 
 from __future__ import annotations
 
 import argparse
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +24,7 @@ LAYERS = ("silver_core", "silver_serie_longa")
 def run(
     spark: SparkSession, base: str, step: str = "all", mapping: str | None = None, gate: bool = True,
     line_breaks: bool = True, expected: Mapping[int, int] | None = None, database: str | None = None, keep: int = 2,
+    editions: Sequence[int] = (),
 ) -> dict[str, int]:
     """Rows per mart written; empty if only silver was asked for.
 
@@ -33,6 +34,7 @@ def run(
     the mapping. Layers and marts are views of the session afterwards, and external tables of `database`.
     `line_breaks`: answers may hold line breaks; files are split all the same. Row counts are held to `expected`, by
     default to those of the published survey, which a mapping of its own has to replace; `gate` switches that off.
+    `editions`: only these changed since the current release, so marts count them alone and keep its other counts.
     """
     bronze, version = f"{base}/bronze", versions.new_version()
     folder, tables, rows = versions.version_folder(base, version), {}, {}
@@ -52,8 +54,9 @@ def run(
         layers = [versions.read_released(spark, base, f"silver/{name}") for name in LAYERS]
     written: dict[str, int] = {}
     if step in ("gold", "all"):
-        written = release.publish_marts(*layers, f"{folder}/gold")
-        tables |= {f"gold/{name}": f"gold/{name}" for name in written}
+        before = versions.table_path(base, "gold/cubo") if editions else None
+        written = release.publish_marts(*layers, f"{folder}/gold", before, editions)
+        tables |= {f"gold/{name}": f"gold/{name}" for name in (*written, "cubo")}
         rows |= {f"gold/{name}": n for name, n in written.items()}
     if step == "all":
         paths = {e: edition_path(bronze, e) for e in sorted(headers)}
@@ -88,13 +91,14 @@ def main() -> None:
     parser.add_argument("--no-volume-gate", action="store_true")
     parser.add_argument("--database", help="register the layers as external tables")
     parser.add_argument("--keep", type=int, default=2, help="releases that stay readable")
+    parser.add_argument("--editions", type=int, nargs="*", default=(), help="the only editions that changed")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("survey release").getOrCreate()
     if args.delivery:
         land(spark, args.delivery, args.base)
     expected = json.loads(store.read_text(args.expected)) if args.expected else {}
     for name, rows in run(spark, args.base, args.step, args.mapping, not args.no_volume_gate, not args.no_line_breaks,
-                          {int(e): n for e, n in expected.items()}, args.database, args.keep).items():
+                          {int(e): n for e, n in expected.items()}, args.database, args.keep, args.editions).items():
         print(f"{name}: {rows}")
     spark.stop()
 
