@@ -8,8 +8,8 @@ from checks import survey
 from checks.marts import land_raw
 from checks.registry import query
 from surveyloom.functions import scalars
-from surveyloom.operators import bootstrap, quality, ranks, shares
-from surveyloom.plans import silver
+from surveyloom.operators import bootstrap, difference, quality, ranks, shares
+from surveyloom.plans import contract, silver
 from surveyloom.plans import vocabulary as v
 from surveyloom.plans.marts import marts
 from surveyloom.sources import editions, headers
@@ -193,3 +193,40 @@ def d10(spark, sf):
 def d11(spark, sf):
     keys = ["ano", "cargo_grupo", "nivel"]
     return quality.small_groups(survey.every(spark, sf, *keys), keys, v.DISPLAY_MINIMUM)
+
+
+CHANGED = "k % 1009 = 5"
+GONE = "k % 2003 = 7"
+
+
+@query("d12_release_difference", f"""SELECT 'antes' AS lado, k, genero, nivel FROM every WHERE {CHANGED} OR {GONE}
+ UNION ALL SELECT 'depois', k, coalesce(genero, '') || '?', nivel FROM every WHERE {CHANGED} AND NOT {GONE}""", "every")
+def d12(spark, sf):
+    """Rows that differ between two written releases: some answers changed, some rows are gone."""
+    before = survey.every(spark, sf, "k", "genero", "nivel")
+    after = before.filter(f"NOT {GONE}").withColumn(
+        "genero", F.expr(f"CASE WHEN {CHANGED} THEN concat(coalesce(genero, ''), '?') ELSE genero END"))
+    folders = [new_path(spark, "release") for _ in range(2)]
+    for df, folder in zip((before, after), folders):
+        difference.write_digested(df, folder, ["k"], bits=5)
+    return difference.differing_rows(spark, *folders, bits=5)
+
+
+#: The rules that answers of the order tables can break, in the comparison engine's words.
+BROKEN = {"idade_improvavel": "NOT (idade BETWEEN 14 AND 100)",
+          "faixa_ilegivel": "faixa_salarial IS NOT NULL AND salario_pm IS NULL"}
+
+
+@query("d13_quarantine", f"""SELECT situacao, ano, count(*) AS n, count(*) FILTER (faixa) AS faixa_ilegivel FROM (
+ SELECT ano, coalesce({BROKEN["faixa_ilegivel"]}, false) AS faixa, CASE WHEN {" OR ".join(
+    f"coalesce({c}, false)" for c in BROKEN.values())} THEN 'quarentena' ELSE 'boa' END AS situacao FROM silver)
+ GROUP BY situacao, ano""", "silver")
+def d13(spark, sf):
+    """Harmonised rows that keep the contract and those that break it, from one write."""
+    folder = new_path(spark, "checked")
+    contract.write_checked(survey.banded(spark, sf, core_only=True), folder, contract.core_rules())
+    good = contract.read_good(spark, folder).groupBy("ano").agg(
+        F.count(F.lit(1)).alias("n"), F.lit(0).cast("long").alias("faixa_ilegivel"))
+    bad = contract.read_quarantine(spark, folder).groupBy("ano").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.array_contains("violacoes", "faixa_ilegivel")).alias("faixa_ilegivel"))
+    return good.withColumn("situacao", F.lit(contract.GOOD)).unionByName(bad.withColumn("situacao", F.lit(contract.BAD)))

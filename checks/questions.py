@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from checks import survey
 from checks.marts import dist_sql
-from checks.registry import query
-from surveyloom.plans import questions
+from checks.registry import ORACLES, query
+from surveyloom.plans import questions, sql_questions
 
 LAST = survey.LAST
 
@@ -79,3 +79,30 @@ def q06(spark, sf):
  {share_sql("satisfeito", "pct_satisfeitos")}, {share_sql("layoff_sim", "pct_layoff_sim")} FROM core GROUP BY ano""")
 def q07(spark, sf):
     return questions.market_pulse(survey.core(spark, sf, "ano", "satisfeito", "layoff_sim"))
+
+
+def asked(spark, sf, text):
+    """The same questions in SQL, through table functions over the registered layers."""
+    return sql_questions.ask(survey.banded(spark, sf, core_only=True), survey.long_series(spark, sf), text)
+
+
+#: Question, its name here, and its text; pay is banded, as in the harmonised layer.
+IN_SQL = {
+    "q01_top_roles": "SELECT * FROM cargos_mais_frequentes(5)",
+    "q02_salary_ladder": "SELECT * FROM escada_salarial()",
+    "q03_gender_gap": f"SELECT * FROM diferenca_entre_generos({LAST})",
+    "q04_tech_evolution": "SELECT * FROM evolucao_das_tecnologias()",
+    "q05_ai_priority": "SELECT * FROM prioridade_da_ia()",
+    "q06_model_gap": f"SELECT * FROM modelo_atual_e_desejado({LAST})",
+    "q07_market_pulse": "SELECT * FROM pulso_do_mercado()",
+}
+
+
+def _in_sql(name: str, text: str) -> None:
+    kept = f"{name[:3]}_sql{name[3:]}"
+    query(kept)(lambda spark, sf: asked(spark, sf, text))
+    ORACLES[kept] = ORACLES[name]
+
+
+for _name, _text in IN_SQL.items():
+    _in_sql(_name, _text)

@@ -121,7 +121,13 @@ def run_metrics(
 
 
 def content_checksum(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Row count and a sum of row digests: the same rows in any order give the same pair.
+    """Row count and a sum of row digests: the same rows in any order give the same pair."""
+    digest = F.sum(row_digest(df, columns or df.columns))
+    return df.agg(F.count(F.lit(1)).alias("n"), digest.cast("string").alias("checksum"))
+
+
+def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
+    """60 bits of a row as a decimal, so that they add up.
 
     A row is digested as its fields, each with its length before it (NULL: N), so no two rows of different fields
     read alike. Doubles are digested to four decimals.
@@ -131,6 +137,5 @@ def content_checksum(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
         text = (value.cast("decimal(38,4)") if dict(df.dtypes)[c] == "double" else value).cast("string")
         return F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("N"))
 
-    row = F.concat(*[field(c) for c in columns or df.columns])
-    digest = F.conv(F.substring(F.md5(row), 1, 15), 16, 10).cast("decimal(38,0)")
-    return df.agg(F.count(F.lit(1)).alias("n"), F.sum(digest).cast("string").alias("checksum"))
+    row = F.concat(*[field(c) for c in columns])
+    return F.conv(F.substring(F.md5(row), 1, 15), 16, 10).cast("decimal(38,0)")
