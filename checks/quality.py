@@ -6,12 +6,11 @@ from pyspark.sql import functions as F
 
 from checks import survey
 from checks.marts import land_raw
-from checks.registry import query
+from checks.registry import ORACLES, query
 from surveyloom.functions import scalars
 from surveyloom.operators import bootstrap, difference, quality, ranks, shares
-from surveyloom.plans import contract, silver
+from surveyloom.plans import contract, release, silver
 from surveyloom.plans import vocabulary as v
-from surveyloom.plans.marts import marts
 from surveyloom.sources import editions, headers
 from surveyloom.sources.folders import new_path
 
@@ -129,11 +128,13 @@ def d07(spark, sf):
  UNION ALL SELECT 'descartados', (SELECT count(*) FROM serie WHERE ano >= {FIRST}) - (SELECT count(*) FROM core)
  UNION ALL SELECT 'tokens_repetidos', CAST(sum(d) AS BIGINT) FROM
   (SELECT count(*) - count(DISTINCT id) AS d FROM core GROUP BY ano)
- UNION ALL SELECT 'colunas_nucleo', 76 UNION ALL SELECT 'tabelas_gold', 21""", "core serie")
+ UNION ALL SELECT 'colunas_nucleo', 76 UNION ALL SELECT 'tabelas_gold', {" + ".join(
+    f"CAST(EXISTS (SELECT 1 FROM ({sql})) AS BIGINT)" for key, sql in ORACLES.items() if key[0] == "g")}""", "core serie")
 def d08(spark, sf):
-    core = survey.core(spark, sf, *survey.SILVER)
-    series = survey.long_series(spark, sf, "ano")
-    return quality.run_metrics(core, series, "id", survey.CORE_YEARS, len(marts()))
+    """The run in numbers; marts are counted as they are written, if they have rows."""
+    core, series = survey.core(spark, sf, *survey.SILVER), survey.long_series(spark, sf)
+    written = release.publish_marts(core, series, new_path(spark, "gold"))
+    return quality.run_metrics(core, series, "id", survey.CORE_YEARS, sum(n > 0 for n in written.values()))
 
 
 DIGESTED = tuple(survey.ANSWERS)

@@ -9,7 +9,7 @@ from checks.marts import dist_sql, pay_sql
 from checks.operators import filled_sql
 from checks.registry import ORACLES, QUERIES, query
 from surveyloom.operators.quality import filled_counts
-from surveyloom.plans import silver
+from surveyloom.plans import release, silver
 from surveyloom.plans import vocabulary as v
 from surveyloom.sources import editions, headers, tables
 from surveyloom.sources.folders import new_path
@@ -162,6 +162,5 @@ ROWCOUNTED = {f"gold_{key.partition('_')[2]}": key for key in QUERIES if key[0]
     f"SELECT '{name}' AS tabela, count(*) AS linhas FROM ({ORACLES[key]})" for name, key in ROWCOUNTED.items()))
 def s11(spark, sf):
     """Rows of every mart as reported by its own write."""
-    folder = new_path(spark, "gold")
-    counted = [(name, tables.publish_mart(QUERIES[key](spark, sf), folder, name)) for name, key in ROWCOUNTED.items()]
-    return spark.createDataFrame(counted, "tabela string, linhas bigint")
+    written = release.publish_marts(survey.core(spark, sf), survey.long_series(spark, sf), new_path(spark, "gold"))
+    return spark.createDataFrame(list(written.items()), "tabela string, linhas bigint")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from surveyloom.operators.quality import require_volumes, volume_gate
 from surveyloom.operators.shares import count_by
 from surveyloom.plans import cube, silver, versions
 from surveyloom.plans import vocabulary as v
-from surveyloom.plans.marts import marts
+from surveyloom.plans.marts import Mart, marts
 from surveyloom.sources import store
 from surveyloom.sources.editions import count_records
 from surveyloom.sources.tables import publish_mart, read_table, register_external, register_views, write_layer
@@ -68,9 +69,18 @@ def publish_marts(
     now = (cube.refreshed(cube.read(core.sparkSession, before), core, long_series, editions) if before
            else cube.build(core, long_series))
     kept, builders = cube.write(now, f"{folder}/cubo"), cube.rollups()
-    return {name: publish_mart(builders[name](kept), folder, name, mart.order) for name, mart in marts().items()}
 
+    def publish(item: tuple[str, Mart]) -> int:
+        name, mart = item
+        return publish_mart(builders[name](kept), folder, name, mart.order)
 
+    found = marts()
+    with ThreadPoolExecutor(AT_ONCE) as pool:  # marts are small jobs; Spark runs several side by side
+        return dict(zip(found, pool.map(publish, found.items())))
+
+
+#: Marts that are written at a time.
+AT_ONCE = 4
 #: Answers that are given a label, and the label's column.
 LABELLED = {"cargo": "cargo_grupo", "modelo_atual": "modelo_atual_h", "modelo_ideal": "modelo_ideal_h",
             "prioridade_ia": "prioridade_ia_h", "faixa_salarial": "salario_pm"}
