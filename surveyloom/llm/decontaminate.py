@@ -363,9 +363,17 @@ def reworded(wanted: list[bytes], answer: list[bytes], words: list[bytes], low:
     whose words stand there in common order, followed by an answer that is not the item as a whole.
     """
     size, region = len(wanted), words[low:high]
+    held_here = set(region)  # what is not there at all bounds every stretch
+    total = sum(weights[w] for w in wanted)
+    in_bag = size >= REWORDED_WORDS and sum(weights[w] for w in wanted if w in held_here) >= REWORDED * total - 1e-9
+    loose = False
+    if len(answer) < size and sum(w in held_here for w in wanted) >= LOOSE * size:
+        held_here.update(words[high:high + len(answer)])
+        loose = bool(answer) and sum(w in held_here for w in answer) >= ANSWERED * len(answer)
+    if not in_bag and not loose:
+        return None
     need = Counter(wanted)
-    if size >= REWORDED_WORDS:
-        total = sum(weights[w] for w in wanted)
+    if in_bag:
         there: Counter = Counter()
         weight, best, at = 0.0, 0.0, 0
         for i, w in enumerate(region):
@@ -382,7 +390,7 @@ def reworded(wanted: list[bytes], answer: list[bytes], words: list[bytes], low:
             first += next(i for i, w in enumerate(region[first:]) if w in need)
             n, _, _ = common(wanted, region[first:at])
             return n, low + first, low + at, in_order(answer, words[low + first:low + at + len(answer)])
-    if len(answer) < size and sum(w in need for w in region) >= LOOSE * size:
+    if loose:
         n, a, b = common(wanted, region)
         if n >= LOOSE * size and b - a <= 2 * size and in_order(answer, words[low + a:low + b + len(answer)]):
             return n, low + a, low + b, True
