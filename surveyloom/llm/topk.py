@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -9,10 +11,12 @@ from pyspark.sql import functions as F
 
 from surveyloom.llm.frames import stored
 
-#: Rows of a block of queries and of candidates; a task meets one of each. Scores are kept for TILE candidates at a time.
-QUERY_BLOCK = 2048
+#: Queries of a block, and candidates that are scored together; scores are kept for TILE candidates at a time.
+QUERY_BLOCK = 4096
 ROW_BLOCK = 2048
 TILE = 512
+#: A group of candidates streams past a block of queries, block by block: a GROUPS-th of all, but ROW_BLOCK to ROW_GROUP.
+GROUPS, ROW_GROUP = 8, 1 << 16
 
 
 def whole_components(vector: Column, scale: int = 64) -> Column:
@@ -96,6 +100,57 @@ def past(excess: int) -> list[int] | None:
     return [excess >> 90, excess >> 45 & low, excess & low] if excess else None
 
 
+class Search:
+    """A block of queries and the `k` best candidates of each among the rows seen so far."""
+
+    def __init__(self, k: int):
+        self.k = k
+        self.asked: list[pa.RecordBatch] = []
+        self.rows: list[pa.RecordBatch] = []
+        self.waiting = 0
+        self.queries: tuple | None = None
+        self.found: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None  # ids, scores, whether there is one
+
+    def see(self, rows: pa.RecordBatch) -> None:
+        for at in range(0, rows.num_rows, ROW_BLOCK):
+            self.rows.append(rows.slice(at, ROW_BLOCK))
+            self.waiting += self.rows[-1].num_rows
+            if self.waiting >= ROW_BLOCK:
+                self.score()
+
+    def score(self) -> None:
+        if self.queries is None:
+            asked = pa.Table.from_batches(self.asked)
+            self.asked = []
+            self.queries = asked["vec_id"].to_numpy(), asked["variant"].to_numpy(), postings(asked["parts"])
+        rows = pa.Table.from_batches(self.rows).sort_by("vec_id")
+        self.rows, self.waiting = [], 0
+        ids = rows["vec_id"].to_numpy()
+        places, scores = best(self.queries[0], self.queries[2], ids, postings(rows["parts"]), self.k)
+        fresh = ids[places], scores, places >= 0
+        if self.found is not None:
+            fresh = tuple(np.concatenate(both) for both in zip(self.found, fresh))
+        order = np.argsort(fresh[0], axis=0, kind="stable")
+        for key in -fresh[1], ~fresh[2]:
+            order = np.take_along_axis(order, np.argsort(np.take_along_axis(key, order, 0), axis=0, kind="stable"), 0)
+        self.found = tuple(np.take_along_axis(x, order[:self.k], 0) for x in fresh)
+
+    def result(self) -> pa.RecordBatch | None:
+        if self.rows and (self.asked or self.queries):
+            self.score()
+        if self.found is None:
+            return None
+        ids, scores, there = self.found
+        query_ids, variants, _ = self.queries
+        exact, ends = scores[there], np.iinfo(np.int64)
+        shown = np.clip(exact, ends.min, ends.max)
+        beyond = [past(x - s) for x, s in zip(exact, shown)] if exact.dtype == object else [None] * len(exact)
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.broadcast_to(query_ids, ids.shape)[there]), pa.array(np.broadcast_to(variants, ids.shape)[there]),
+            pa.array(ids[there]), pa.array(shown.astype(np.int64)), pa.array(beyond, pa.list_(pa.int64())),
+        ], names=["query_id", "variant", "vec_id", "score", "past"])
+
+
 def top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: int = 64) -> DataFrame:
     """For each query row the `k` highest inner products with all other rows: query_id, rank, vec_id, score.
 
@@ -105,9 +160,10 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: int = 64) ->
     an equal query row asks once. Ranks go by the exact integer score, ties to the smaller vec_id; a score beyond a long
     is ranked as it is and shown as the long's end. No rows, no result.
 
-    Rows are numbered by place into blocks of fixed size, and each task meets a block of queries and one of
-    candidates, so its memory is bounded whatever repeats. All pairs are scored, none are emitted but the best of each
-    block; a query's last merge reads `k` rows per block of candidates.
+    Queries are numbered by place into blocks of fixed size, candidates into groups that stream past a block of queries,
+    so a task's memory is that of two blocks whatever repeats. All pairs are scored, none are emitted but the best of
+    each group; a query's last merge reads `k` rows per group. A row is copied to each block of queries, a query to each
+    group of rows.
     """
     rows = stored(vectors.where(usable(F.col("embedding")) & F.col("vec_id").isNotNull()).select(
         F.col("vec_id").cast("long").alias("vec_id"), F.coalesce(queries, F.lit(False)).alias("asks"),
@@ -115,7 +171,8 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: int = 64) ->
     ), "vectors")
     asked = stored(rows.where("asks").select("vec_id", "parts").distinct().withColumn(
         "place", F.monotonically_increasing_id()), "query-vectors")
-    row_blocks = -(-rows.count() // ROW_BLOCK) or 1
+    n = rows.count()
+    row_groups = -(-n // min(ROW_GROUP, max(ROW_BLOCK, n // GROUPS))) or 1
     query_blocks = -(-asked.count() // QUERY_BLOCK) or 1
     # a place holds the partition and the row in it; both together spread evenly over the blocks
     def dealt(blocks: int) -> Column:
@@ -124,32 +181,34 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: int = 64) ->
     def each(blocks: int) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
 
-    left = asked.select("vec_id", "parts", F.xxhash64("parts").alias("variant"),
-                        dealt(query_blocks).alias("q"), each(row_blocks).alias("c"))
-    right = rows.select("vec_id", "parts", dealt(row_blocks).alias("c"), each(query_blocks).alias("q"))
-
-    def score(queries: pa.Table, candidates: pa.Table) -> pa.Table:
-        candidates = candidates.sort_by("vec_id")
-        query_ids, ids = queries["vec_id"].to_numpy(), candidates["vec_id"].to_numpy()
-        if not len(query_ids) or not len(ids):
-            return schema.empty_table()
-        places, scores = best(query_ids, postings(queries["parts"]), ids, postings(candidates["parts"]), k)
-        there = places >= 0
-        ends = np.iinfo(np.int64)
-        exact = scores[there]
-        shown = np.clip(exact, ends.min, ends.max)
-        return pa.table([
-            pa.array(np.broadcast_to(query_ids, places.shape)[there]),
-            pa.array(np.broadcast_to(queries["variant"].to_numpy(), places.shape)[there]),
-            pa.array(ids[places[there]]),
-            pa.array(shown.astype(np.int64)),
-            pa.array([past(x - s) for x, s in zip(exact, shown)] if exact.dtype == object else [None] * len(exact), longs),
-        ], schema=schema)
-
-    longs = pa.list_(pa.int64())
-    schema = pa.schema([(c, pa.int64()) for c in ("query_id", "variant", "vec_id", "score")] + [("past", longs)])
-    found = left.groupBy("q", "c").cogroup(right.groupBy("q", "c")).applyInArrow(
-        score, "query_id long, variant long, vec_id long, score long, past array<long>")
+    left = asked.select(dealt(query_blocks).alias("q"), each(row_groups).alias("c"), F.lit(1).cast("long").alias("asks"),
+                        "vec_id", F.xxhash64("parts").alias("variant"), "parts")
+    right = rows.select(each(query_blocks).alias("q"), dealt(row_groups).alias("c"), F.lit(0).cast("long").alias("asks"),
+                        "vec_id", F.lit(0).cast("long").alias("variant"), "parts")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, search = None, Search(k)
+        for batch in batches:
+            keys = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)  # q, c, asks
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1), len(keys)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if here != tuple(keys[a, :2]):
+                    if (out := search.result()) is not None:
+                        yield out
+                    here, search = tuple(keys[a, :2]), Search(k)
+                part = batch.slice(a, b - a)
+                if keys[a, 2]:
+                    search.asked.append(part)
+                elif search.asked or search.queries:
+                    search.see(part)
+        if (out := search.result()) is not None:
+            yield out
+
+    # a group's queries come before its rows
+    found = left.unionByName(right).repartition("q", "c").sortWithinPartitions("q", "c", F.desc("asks")).mapInArrow(
+        run, "query_id long, variant long, vec_id long, score long, past array<long>")
     none = F.array(*[F.lit(0).cast("long")] * 3)
     order = Window.partitionBy("query_id", "variant").orderBy(
         F.desc("score"), F.desc(F.coalesce("past", none)), "vec_id")

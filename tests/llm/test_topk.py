@@ -24,7 +24,9 @@ def rows(n=150):
 
 
 @pytest.mark.parametrize("k", [3, 20, 1000])
-def test_against_all_pairs(spark, monkeypatch, k):
+@pytest.mark.parametrize("groups", [1, 3])
+def test_against_all_pairs(spark, monkeypatch, k, groups):
+    monkeypatch.setattr(topk, "GROUPS", groups)  # with one, all blocks stream past each block of queries
     monkeypatch.setattr(topk, "ROW_BLOCK", 64)
     monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
     monkeypatch.setattr(topk, "TILE", 16)
@@ -41,6 +43,16 @@ def test_components_too_large_for_machine_words(spark):
     assert got[0]["score"] == min(2**63 - 1, 64 * 64 * (10**17 + 10**8 + 2))
 
 
+def test_small_and_large_scores_meet_in_one_stream(spark, monkeypatch):
+    monkeypatch.setattr(topk, "ROW_BLOCK", 2)
+    monkeypatch.setattr(topk, "GROUPS", 1)
+    data = [(0, [1e9, 1.0])] + [(i, [float(i % 7), 0.5]) for i in range(1, 30)] + [
+        (40, [1e8, 1e8]), (41, [1e8, 1e8 + 2]), (42, [1e8, 1e8])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = [r["vec_id"] for r in topk.top_k(df, F.col("vec_id") == 0, 6).orderBy("rank").collect()]
+    assert got == [41, 40, 42, 6, 13, 20]
+
+
 def test_no_rows(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(df, F.col("vec_id") % 20 == 0).count() == 0
