@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from surveyloom.llm.frames import stored
 
-#: Queries of a block, and candidates that are scored together; scores are kept for TILE candidates at a time.
+#: Queries of a block, and candidates that are scored together; scores are kept for TILE candidates and QUERY_TILE
+#: queries at a time, which a core's cache holds.
 QUERY_BLOCK = 4096
 ROW_BLOCK = 2048
-TILE = 512
+TILE, QUERY_TILE = 512, 256
 #: A group of candidates streams past a block of queries, block by block: a GROUPS-th of all, but ROW_BLOCK to ROW_GROUP.
 GROUPS, ROW_GROUP = 8, 1 << 16
 
@@ -42,56 +43,63 @@ def postings(vectors: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return rows[there], terms[there], weights[there]
 
 
+def highest(terms: np.ndarray, weights: np.ndarray, n_terms: int) -> np.ndarray:
+    """The largest absolute weight of each term, as exact numbers; postings are sorted by term."""
+    top = np.zeros(n_terms, object)
+    if len(terms):
+        there, starts = np.unique(terms, return_index=True)
+        low = np.minimum.reduceat(weights, starts).astype(object)
+        top[there] = np.maximum(np.maximum.reduceat(weights, starts).astype(object), -low)
+    return top
+
+
 def best(query_ids: np.ndarray, queries: tuple, ids: np.ndarray, rows: tuple, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(places, scores), k by queries: the highest scores of candidates with ascending `ids`; place -1 is none.
 
     Each term's postings are added, weighted by the queries' components, to a dense array of scores for a tile of
-    candidates; k of each tile are selected by partition and merged with those so far. Ties go to the earlier place.
+    candidates and of queries; k of each tile are selected by partition and merged with those so far. Ties go to the
+    earlier place.
     """
     q_row, q_term, q_weight = queries
     c_row, c_term, c_weight = rows
-    n_terms = 1 + max(q_term.max(initial=-1), c_term.max(initial=-1))
-    if n_terms == 0:  # all components are zero
-        n_terms, peak = 1, 0
-    else:
-        high = [np.zeros(n_terms, object), np.zeros(n_terms, object)]
-        for top, term, weight in ((high[0], q_term, q_weight), (high[1], c_term, c_weight)):
-            np.maximum.at(top, term, np.abs(weight.astype(object)))
-        peak = int((high[0] * high[1]).sum())
+    n_terms = max(1, 1 + max(q_term.max(initial=-1), c_term.max(initial=-1)))
+    peak = int((highest(q_term, q_weight, n_terms) * highest(c_term, c_weight, n_terms)).sum())
     kind = np.int32 if peak < 1 << 31 else np.int64 if peak < 1 << 62 else object
     key_kind = np.int64 if peak * TILE < 1 << 61 else object
     dense = np.zeros((n_terms, len(query_ids)), kind)
     dense[q_term, q_row] = q_weight.astype(kind)
     weight = c_weight.astype(kind)
-    found = np.full((0, len(query_ids)), -1, np.int64), np.zeros((0, len(query_ids)), kind)
+    columns = [slice(at, at + QUERY_TILE) for at in range(0, len(query_ids), QUERY_TILE)]
+    found = [(np.full((0, len(query_ids[c])), -1, np.int64), np.zeros((0, len(query_ids[c])), kind)) for c in columns]
     tile_of = c_row // TILE
     for tile in range(-(-len(ids) // TILE)):
         low, high_row = tile * TILE, min(len(ids), (tile + 1) * TILE)
-        scores = np.zeros((high_row - low, len(query_ids)), kind)
+        place = np.arange(high_row - low)[:, None]
         mine = np.flatnonzero(tile_of == tile)
         terms, starts = np.unique(c_term[mine], return_index=True)
-        for term, posting in zip(terms, np.split(mine, starts[1:])):
-            at = c_row[posting] - low
-            gain = weight[posting][:, None] * dense[term][None, :]
-            if len(at) == len(scores):
-                scores += gain  # rows ascend within a term
+        postings_of = [(t, c_row[p] - low, weight[p][:, None]) for t, p in zip(terms, np.split(mine, starts[1:]))]
+        for i, column in enumerate(columns):
+            scores = np.zeros((high_row - low, len(query_ids[column])), kind)
+            for term, at, gain in postings_of:
+                if len(at) == len(scores):
+                    scores += gain * dense[term, column]  # rows ascend within a term
+                else:
+                    scores[at] += gain * dense[term, column]
+            own = ids[low:high_row, None] == query_ids[None, column]
+            keys = scores.astype(key_kind) * TILE + (TILE - 1 - place)
+            keys[own] = np.iinfo(np.int64).min if key_kind is np.int64 else -(1 << 200)
+            if len(scores) > k:
+                chosen = np.sort(np.argpartition(keys, len(scores) - k, axis=0)[len(scores) - k:], axis=0)
             else:
-                scores[at] += gain
-        place = np.arange(high_row - low)[:, None]
-        own = ids[low:high_row, None] == query_ids[None, :]
-        keys = scores.astype(key_kind) * TILE + (TILE - 1 - place)
-        keys[own] = np.iinfo(np.int64).min if key_kind is np.int64 else -(1 << 200)
-        if len(scores) > k:
-            chosen = np.sort(np.argpartition(keys, len(scores) - k, axis=0)[len(scores) - k:], axis=0)
-        else:
-            chosen = np.broadcast_to(place, scores.shape)
-        places = np.where(np.take_along_axis(own, chosen, 0), -1, chosen + low)
-        both = np.concatenate([found[0], places]), np.concatenate([found[1], np.take_along_axis(scores, chosen, 0)])
-        order = np.argsort(-both[1], axis=0, kind="stable")
-        none = np.take_along_axis(both[0] < 0, order, 0)
-        order = np.take_along_axis(order, np.argsort(none, axis=0, kind="stable"), 0)[:k]
-        found = np.take_along_axis(both[0], order, 0), np.take_along_axis(both[1], order, 0)
-    return found
+                chosen = np.broadcast_to(place, scores.shape)
+            places = np.where(np.take_along_axis(own, chosen, 0), -1, chosen + low)
+            both = (np.concatenate([found[i][0], places]),
+                    np.concatenate([found[i][1], np.take_along_axis(scores, chosen, 0)]))
+            order = np.argsort(-both[1], axis=0, kind="stable")
+            none = np.take_along_axis(both[0] < 0, order, 0)
+            order = np.take_along_axis(order, np.argsort(none, axis=0, kind="stable"), 0)[:k]
+            found[i] = np.take_along_axis(both[0], order, 0), np.take_along_axis(both[1], order, 0)
+    return np.concatenate([f[0] for f in found], axis=1), np.concatenate([f[1] for f in found], axis=1)
 
 
 def past(excess: int) -> list[int] | None:

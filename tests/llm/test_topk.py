@@ -30,6 +30,7 @@ def test_against_all_pairs(spark, monkeypatch, k, groups):
     monkeypatch.setattr(topk, "ROW_BLOCK", 64)
     monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
     monkeypatch.setattr(topk, "TILE", 16)
+    monkeypatch.setattr(topk, "QUERY_TILE", 3)
     df = spark.createDataFrame(rows(), "vec_id long, embedding array<double>").withColumn("score", F.lit("x"))
     got = {tuple(r) for r in topk.top_k(df, F.col("vec_id") % 20 == 0, k).collect()}
     assert got == brute(rows(), k)
