@@ -34,6 +34,9 @@ from surveyloom.llm.frames import stored
 
 RECORD_END = "\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Records of a file, by size class, and what headers take at most beside the URL.
+CLASSES = (16_384, 1024, 64, 4, 1)
+HEADER_BYTES = 1024
 SCHEMA = ("warc_type string, record_id string, target_uri string, page_id long, refers_to long, "
           "payload_length long, payload_digest string, payload binary")
 ARROW = pa.schema([("warc_type", pa.string()), ("record_id", pa.string()), ("target_uri", pa.string()),
@@ -47,9 +50,12 @@ def _line(name: str, value: Column) -> Column:
 
 
 def write_archives(pages: DataFrame, path: str, least: int = 1000, date: str = "1970-01-01T00:00:00Z",
-                   records_per_file: int = 20_000) -> None:
+                   records_per_file: int = 20_000, file_bytes: int = 256 << 20) -> None:
     """Write one record per page; of equal payloads of `least` bytes or more all but one become revisits.
 
+    Records of like size share files, in a folder for each size class, so that a file stays below `file_bytes` or holds one
+    record, whatever the pages: the class of the smallest records has 16,384 to a file, each further one a sixteenth of that.
+
     The payload is the html in UTF-8 (null: empty). The response is the page with the largest page_id (rows that
     share that id are all responses; a null id counts as smallest). Only keys and counts are aggregated, and the kept
     ids are written first: with their size known, Spark sends them to the pages where they fit its broadcast limit and
@@ -60,6 +66,10 @@ def write_archives(pages: DataFrame, path: str, least: int = 1000, date: str = "
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         html.alias("html"), F.sha1(html).alias("digest"), F.unhex(F.sha1(html)).alias("key"),
                         F.octet_length(html).cast("long").alias("n"))
+    # a page's record without its headers of fixed names; URLs are part of what is unbounded
+    size = F.col("n") + 3 * F.coalesce(F.octet_length("url"), F.lit(0)) + HEADER_BYTES
+    rows = rows.withColumn("class", sum((size > file_bytes // records).cast("int") for records in CLASSES[:-1]))
+    classes = sorted(r["class"] for r in rows.groupBy("class").count().collect()) or [0]  # one row per class
     kept = stored(rows.where(F.col("n") >= least).groupBy("key").agg(
         F.max("page_id").alias("keep"), F.count("*").alias("copies")).where("copies > 1").select("key", "keep"),
         "kept-payloads")
@@ -85,8 +95,9 @@ def write_archives(pages: DataFrame, path: str, least: int = 1000, date: str = "
         F.lit("\r\n\r\n"),
     )
     block = F.concat(http, F.when(revisit, "").otherwise(F.col("html")))
-    (rows.select(F.concat(head, block).alias("value")).write.option("lineSep", RECORD_END)
-     .option("maxRecordsPerFile", records_per_file).text(path))
+    for k in classes:
+        (rows.where(F.col("class") == k).select(F.concat(head, block).alias("value")).write.option("lineSep", RECORD_END)
+         .option("maxRecordsPerFile", min(records_per_file, CLASSES[k])).text(f"{path}/size-{k}"))
 
 
 COMPARE = {
@@ -229,6 +240,10 @@ class WarcSource(DataSource):
 
 
 def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
+    """Records of the archives below `path`, as `WarcSource` describes; turns on Python filter pushdown in the session.
+
+    Spark reads that setting when a plan runs, and without it refuses a source that takes conditions.
+    """
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
     return spark.read.format("warc").option("payload", str(payload).lower()).load(path)

@@ -88,3 +88,28 @@ def test_no_pages(spark):
     path = new_path(spark, "warc-test")
     warc.write_archives(spark.createDataFrame([], "page_id long, url string, html string"), path)
     assert warc.archived_pages(spark, path).count() == 0
+
+
+def test_files_are_bounded_by_bytes(spark):
+    import pathlib
+    import urllib.parse
+
+    path = new_path(spark, "warc-bytes")
+    sizes = [10, 900, 5_000, 40_000, 70_000, 300_000] * 40 + [3_000_000, 9_000_000] * 3
+    df = spark.createDataFrame([(i, "u" * (i % 50), chr(97 + i % 26) * n) for i, n in enumerate(sizes)],
+                               "page_id long, url string, html string").coalesce(1)
+    limit = 4 << 20
+    warc.write_archives(df, path, least=1 << 40, file_bytes=limit)
+    root = pathlib.Path(urllib.parse.urlparse(path).path)
+    files = [f for f in root.rglob("part-*") if f.stat().st_size]
+    for file in files:
+        assert file.stat().st_size <= limit or file.read_bytes().count(b"WARC/1.1") == 1
+    assert len(files) < 100
+    got = {r["page_id"]: r["payload_bytes"] for r in warc.archived_pages(spark, path).collect()}
+    assert got == dict(enumerate(sizes))
+
+
+def test_no_pages(spark):
+    path = new_path(spark, "warc-none")
+    warc.write_archives(spark.createDataFrame([], "page_id long, url string, html string"), path)
+    assert warc.archived_pages(spark, path).count() == 0
