@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 GOOD, BAD = "boa", "quarentena"
 _LIST, _STATE = "violacoes", "situacao"
+#: Where the good rows lie below the folder of a checked layer.
+GOOD_FOLDER = f"{_STATE}={GOOD}"
 
 
 def core_rules() -> dict[str, Column]:

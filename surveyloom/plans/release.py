@@ -5,15 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyloom.functions.scalars import quoted
 from surveyloom.operators import quality
 from surveyloom.operators.bootstrap import median_interval
-from surveyloom.operators.quality import require_volumes, volume_gate
+from surveyloom.operators.quality import QualityError, require_volumes, volume_gate
 from surveyloom.operators.shares import count_by
-from surveyloom.plans import cube, silver, versions
+from surveyloom.plans import contract, cube, silver, versions
 from surveyloom.plans import vocabulary as v
 from surveyloom.plans.marts import Mart, marts
 from surveyloom.sources import store
@@ -31,6 +31,7 @@ def build_silver(
     history_headers: Headers,
     folder: str,
     expected: Mapping[int, int] | None = None,
+    rules: Mapping[str, Column] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Write both layers and return them as read back.
 
@@ -38,6 +39,9 @@ def build_silver(
     parsed once. The core layer is written under its declared names and types. The row-volume gate counts the raw rows
     before anything is written, and the written layers once more, where a count reads no columns. A run that writes
     into a folder of its own (see `plans.versions`) leaves earlier layers as they are, wherever it fails.
+
+    With `rules` (see `plans.contract`) rows that break some go aside in the write of the core layer, and neither layer
+    returned holds them; the gate counts them among the rows that arrived. No row that keeps all rules is an error.
     """
     if expected is not None:
         arrived = silver.union_editions([
@@ -45,16 +49,25 @@ def build_silver(
             for e, df in {**history_raw, **core_raw}.items()])
         require_volumes(volume_gate(arrived, spark.createDataFrame(list(expected.items()), "edition int, expected long")))
     harmonised = silver.silver_core(core_raw, core_headers)
-    write_layer(harmonised.to(silver.core_contract(harmonised.columns)), f"{folder}/silver_core")
-    core = read_table(spark, f"{folder}/silver_core")
+    declared, target = harmonised.to(silver.core_contract(harmonised.columns)), f"{folder}/silver_core"
+    if rules is None:
+        write_layer(declared, target)
+        core = every = read_table(spark, target)
+    else:
+        if not contract.write_checked(declared, target, rules)[contract.GOOD]:
+            raise QualityError("no row of the core layer keeps all rules")
+        core, every = contract.read_good(spark, target), read_table(spark, target)
     write_layer(silver.silver_long(history_raw, history_headers, core), f"{folder}/silver_serie_longa")
     long_series = read_table(spark, f"{folder}/silver_serie_longa")
     if expected is not None:
-        counts = count_by(long_series, "ano").withColumnRenamed("ano", "edition")
         wanted = spark.createDataFrame(list(expected.items()), "edition int, expected long")
-        require_volumes(volume_gate(counts, wanted))
         in_core = wanted.filter(F.col("edition").isin(*core_raw))
-        require_volumes(volume_gate(count_by(core, "ano").withColumnRenamed("ano", "edition"), in_core))
+        require_volumes(volume_gate(count_by(every, "ano").withColumnRenamed("ano", "edition"), in_core))
+        counts = count_by(long_series, "ano")
+        if rules is not None:
+            aside = count_by(contract.read_quarantine(spark, target), "ano")
+            counts = counts.unionByName(aside).groupBy("ano").agg(F.sum("n").alias("n"))
+        require_volumes(volume_gate(counts.withColumnRenamed("ano", "edition"), wanted))
     return core, long_series
 
 
@@ -101,6 +114,11 @@ def shape_table(spark: SparkSession, paths: Mapping[int, str], raw: Mapping[int,
             F.lit(e).alias("ano"), "registros", F.lit(len(raw[e].columns)).alias("colunas")) for e, path in paths.items()])
 
 
+def violation_table(aside: DataFrame) -> DataFrame:
+    """ano, regra and n: rows in quarantine by the rules they break; a row counts for each of them."""
+    return count_by(aside.select("ano", F.explode("violacoes").alias("regra")), "ano", "regra")
+
+
 def checksum_table(layers: Mapping[str, DataFrame]) -> DataFrame:
     """tabela, n and checksum of each layer: the same rows in any order give the same pair."""
     return silver.union_editions([
@@ -109,13 +127,14 @@ def checksum_table(layers: Mapping[str, DataFrame]) -> DataFrame:
 
 def publish_quality(
     raw: Mapping[int, DataFrame], core: DataFrame, long_series: DataFrame, folder: str, mart_rows: Mapping[str, int],
-    paths: Mapping[int, str] | None = None,
+    paths: Mapping[int, str] | None = None, aside: DataFrame | None = None,
 ) -> dict[str, int]:
     """Write what a reader needs to trust the release, as Parquet and CSV; rows per table.
 
     Raw rows against the long series, repeated ids, filled shares with the reason for gaps, groups under the display
     cut, every label given to an answer, resampled intervals of the median pay, checksums of the layers, the run in
-    numbers (with the marts that were written), and, with the raw files' `paths`, their records and columns.
+    numbers (with the marts that were written), with the raw files' `paths` their records and columns, and with the rows
+    in quarantine (`aside`) how many break each rule.
     """
     arrived = silver.union_editions([df.select(F.lit(e).alias("ano")) for e, df in raw.items()])
     editions = [row["ano"] for row in core.select("ano").distinct().collect()]
@@ -133,6 +152,8 @@ def publish_quality(
     }
     if paths:
         tables["formato_csv"] = shape_table(core.sparkSession, paths, raw), ["ano"]
+    if aside is not None:
+        tables["violacoes"] = violation_table(aside), ["ano", "regra"]
     return {name: publish_mart(df, folder, name, order) for name, (df, order) in tables.items()}
 
 
@@ -141,7 +162,7 @@ def register_release(spark: SparkSession, base: str, database: str | None = None
     tables too."""
     found = versions.current(base)
     paths = {name.split("/")[1]: store.joined(base, path) for name, path in found.tables.items()
-             if name.startswith(("silver/", "gold/")) and name != "gold/cubo"}
+             if name.startswith(("silver/", "gold/")) and name not in ("gold/cubo", versions.CHECKED)}
     register_views({name: read_table(spark, path) for name, path in paths.items()})
     for name in ("silver_core", "silver_serie_longa") if database else ():
         df = read_table(spark, paths[name])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from datetime import UTC, datetime
 from typing import NamedTuple
 
@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from surveyloom.sources import store
 
+#: Good rows and rows in quarantine of the core layer, where a run sets such rows aside.
+CHECKED = "silver/core_verificada"
 _FOLDER, _POINTER, _MANIFEST = "releases", "CURRENT", "manifest.json"
 
 
@@ -44,16 +46,20 @@ def current(base: str) -> Release | None:
     return None if name is None else read_release(base, name.strip())
 
 
-def publish(base: str, version: str, tables: Mapping[str, str], rows: Mapping[str, int]) -> Release:
+def publish(
+    base: str, version: str, tables: Mapping[str, str], rows: Mapping[str, int], dropped: Collection[str] = (),
+) -> Release:
     """Make a version current: `tables` are its own folders by name, relative to its folder.
 
-    Tables that it did not write are those of the release before. The manifest is written first, then the pointer is
+    Tables that it did not write are those of the release before, but for the `dropped` ones. The manifest is written first, then the pointer is
     replaced by one rename: a reader sees the earlier release or this one, never a part of either.
     """
     before = current(base)
     kept = before or Release("", {}, {})
-    found = {**kept.tables, **{name: f"{_FOLDER}/{version}/{path}" for name, path in tables.items()}}
-    counted = {name: n for name, n in {**kept.rows, **rows}.items() if name in rows or name not in tables}
+    earlier = {name: path for name, path in kept.tables.items() if name not in dropped}
+    found = {**earlier, **{name: f"{_FOLDER}/{version}/{path}" for name, path in tables.items()}}
+    counted = {name: n for name, n in {**kept.rows, **rows}.items()
+               if name in found and (name in rows or name not in tables)}
     release = Release(version, found, counted)
     store.write_text(store.joined(version_folder(base, version), _MANIFEST),
                      json.dumps(release._asdict(), ensure_ascii=False, indent=1))

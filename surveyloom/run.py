@@ -2,6 +2,7 @@
 
 python -m surveyloom.run BASE [--mapping JSON] [--step silver|gold|all] [--delivery FOLDER] [--no-line-breaks]
                               [--expected JSON | --no-volume-gate] [--database NAME] [--keep N] [--editions E ...]
+                              [--quarantine]
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import SparkSession
 
-from surveyloom.plans import release, versions
+from surveyloom.plans import contract, release, versions
 from surveyloom.plans import vocabulary as v
 from surveyloom.sources import store
 from surveyloom.sources.editions import edition_path, land_delivery, landed_editions, read_edition
@@ -24,7 +25,7 @@ LAYERS = ("silver_core", "silver_serie_longa")
 def run(
     spark: SparkSession, base: str, step: str = "all", mapping: str | None = None, gate: bool = True,
     line_breaks: bool = True, expected: Mapping[int, int] | None = None, database: str | None = None, keep: int = 2,
-    editions: Sequence[int] = (),
+    editions: Sequence[int] = (), quarantine: bool = False,
 ) -> dict[str, int]:
     """Rows per mart written; empty if only silver was asked for.
 
@@ -35,9 +36,15 @@ def run(
     `line_breaks`: answers may hold line breaks; files are split all the same. Row counts are held to `expected`, by
     default to those of the published survey, which a mapping of its own has to replace; `gate` switches that off.
     `editions`: only these changed since the current release, so marts count them alone and keep its other counts.
+    `quarantine`: rows that break a rule of `contract.core_rules` go aside in the write of the core layer, whose table then
+    has one more column (`violacoes`, empty); layers and marts are without them, `contract.read_quarantine` reads them from
+    table `versions.CHECKED`, and a whole run counts them by rule (`qualidade/violacoes`). A later run of the silver
+    step without it ends both tables.
     """
     bronze, version = f"{base}/bronze", versions.new_version()
     folder, tables, rows = versions.version_folder(base, version), {}, {}
+    dropped: tuple[str, ...] = ()
+    aside = None
     if step in ("silver", "all"):
         headers = as_headers(read_mapping(spark, mapping)) if mapping else v.CORE_HEADERS | v.HISTORY_HEADERS
         history = older_editions(spark, mapping) if mapping else set(v.HISTORY_EDITIONS)
@@ -48,8 +55,12 @@ def run(
         raw = {e: read_edition(spark, bronze, e, line_breaks) for e in headers}
         layers = release.build_silver(
             spark, {e: raw[e] for e in core}, {e: raw[e] for e in older}, core, older, f"{folder}/silver",
-            (expected or v.EXPECTED_ROWS) if gate else None)
+            (expected or v.EXPECTED_ROWS) if gate else None, contract.core_rules() if quarantine else None)
         tables |= {f"silver/{name}": f"silver/{name}" for name in LAYERS}
+        dropped = versions.CHECKED, "qualidade/violacoes"
+        if quarantine:
+            tables |= {"silver/silver_core": f"silver/silver_core/{contract.GOOD_FOLDER}", versions.CHECKED: "silver/silver_core"}
+            aside = contract.read_quarantine(spark, f"{folder}/silver/silver_core")
     else:
         layers = [versions.read_released(spark, base, f"silver/{name}") for name in LAYERS]
     written: dict[str, int] = {}
@@ -60,11 +71,11 @@ def run(
         rows |= {f"gold/{name}": n for name, n in written.items()}
     if step == "all":
         paths = {e: edition_path(bronze, e) for e in sorted(headers)}
-        checked = release.publish_quality(raw, *layers, f"{folder}/qualidade", written, paths)
+        checked = release.publish_quality(raw, *layers, f"{folder}/qualidade", written, paths, aside)
         write_mapping(spark, core, older, f"{folder}/qualidade/mapeamento")
         tables |= {f"qualidade/{name}": f"qualidade/{name}" for name in (*checked, "mapeamento")}
         rows |= {f"qualidade/{name}": n for name, n in checked.items()}
-    versions.publish(base, version, tables, rows)
+    versions.publish(base, version, tables, rows, dropped)
     versions.collect_old(base, keep)
     release.register_release(spark, base, database)
     return written
@@ -91,6 +102,7 @@ def main() -> None:
     parser.add_argument("--no-volume-gate", action="store_true")
     parser.add_argument("--database", help="register the layers as external tables")
     parser.add_argument("--keep", type=int, default=2, help="releases that stay readable")
+    parser.add_argument("--quarantine", action="store_true", help="set rows aside that break a rule of the core layer")
     parser.add_argument("--editions", type=int, nargs="*", default=(), help="the only editions that changed")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("survey release").getOrCreate()
@@ -98,7 +110,8 @@ def main() -> None:
         land(spark, args.delivery, args.base)
     expected = json.loads(store.read_text(args.expected)) if args.expected else {}
     for name, rows in run(spark, args.base, args.step, args.mapping, not args.no_volume_gate, not args.no_line_breaks,
-                          {int(e): n for e, n in expected.items()}, args.database, args.keep, args.editions).items():
+                          {int(e): n for e, n in expected.items()}, args.database, args.keep, args.editions,
+                          args.quarantine).items():
         print(f"{name}: {rows}")
     spark.stop()
 

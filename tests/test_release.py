@@ -7,7 +7,7 @@ import pytest
 from checks import marts as mart_checks
 from checks import survey
 from surveyloom.operators.quality import QualityError
-from surveyloom.plans import indicators, marts, release, silver, versions
+from surveyloom.plans import contract, indicators, marts, release, silver, versions
 from surveyloom.plans import vocabulary as v
 from surveyloom.run import land, run
 from surveyloom.sources.editions import edition_path, read_edition, write_raw
@@ -224,3 +224,36 @@ def test_a_delivery_lands_and_layers_become_tables(spark, sf_dir, small_base):
     assert spark.table("entrega.silver_core").count() == spark.table("silver_core").count() > 0
     for name in ("silver_core", "silver_serie_longa"):
         spark.sql(f"DROP TABLE entrega.{name}")
+
+
+def test_broken_rows_go_aside_in_a_run(spark, small_base):
+    base, mapping = small_base
+    rows = {2022: 0, 2025: 0}
+    run(spark, base, "silver", mapping, gate=False)
+    for e in rows:
+        rows[e] = versions.read_released(spark, base, "silver/silver_serie_longa").filter(f"ano = {e}").count()
+    whole = versions.read_released(spark, base, "silver/silver_core")
+    listed = contract.with_violations(whole, contract.core_rules())
+    broken = sorted(str(r) for r in listed.filter("size(violacoes) > 0").select("id", "violacoes").collect())
+    assert 0 < len(broken) < rows[2025]
+
+    written = run(spark, base, mapping=mapping, expected=rows, quarantine=True)
+    core = versions.read_released(spark, base, "silver/silver_core")
+    aside = contract.read_quarantine(spark, versions.table_path(base, versions.CHECKED))
+    assert sorted(str(r) for r in aside.select("id", "violacoes").collect()) == broken
+    assert core.count() == rows[2025] - len(broken) == spark.table("silver_core").count()
+    assert core.filter("size(violacoes) > 0").isEmpty() and set(core.columns) == {*whole.columns, "violacoes"}
+    asked = {r["ano"]: r["n"] for r in versions.read_released(spark, base, "gold/gold_respondents").collect()}
+    assert asked == {2022: rows[2022], 2025: core.count()} and written["gold_respondents"] == 2
+    found = {(r["ano"], r["regra"]): r["n"] for r in versions.read_released(spark, base, "qualidade/violacoes").collect()}
+    listed = [x for r in aside.collect() for x in r["violacoes"]]
+    assert found == {(2025, x): listed.count(x) for x in set(listed)}
+    away = {r["ano"]: r["delta"] for r in versions.read_released(spark, base, "qualidade/reconciliacao").collect()}
+    assert away == {2022: 0, 2025: -len(broken)}
+
+    assert run(spark, base, "gold") == written  # a gold step reads the layer without them as well
+    with pytest.raises(QualityError, match="2025"):
+        run(spark, base, "silver", mapping, expected=rows | {2025: rows[2025] - len(broken)}, quarantine=True)
+    run(spark, base, "silver", mapping, expected=rows)
+    assert not {versions.CHECKED, "qualidade/violacoes"} & set(versions.current(base).tables)
+    assert versions.read_released(spark, base, "silver/silver_core").count() == rows[2025]
