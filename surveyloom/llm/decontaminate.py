@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import pickle
 import string
-import sys
-import types
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -19,7 +17,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.llm.frames import new_path, stored
+from surveyloom.llm.frames import kept_by_worker, new_path, stored
 
 #: Words of a passage that is looked up; passages start at every half.
 PASSAGE = 32
@@ -477,12 +475,11 @@ def models(docs: DataFrame, benchmark: DataFrame) -> list[str]:
 
 def loaded(path: str) -> Model:
     """A written model; a worker keeps the one it used last."""
-    kept = sys.modules.setdefault("_benchmark_models", types.ModuleType("_benchmark_models")).__dict__
-    if kept.get("path") != path:
+    def read() -> Model:
         store, name = fs.FileSystem.from_uri(path if "://" in path else f"file://{path.removeprefix('file:')}")
-        kept["model"] = pickle.loads(pq.read_table(name, filesystem=store)["model"][0].as_py())
-        kept["path"] = path
-    return kept["model"]
+        return pickle.loads(pq.read_table(name, filesystem=store)["model"][0].as_py())
+
+    return kept_by_worker(f"benchmark {path}", read)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

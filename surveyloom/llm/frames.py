@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import math
+import sys
+import types
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +69,19 @@ def with_offsets(df: DataFrame, by: list[str], order: list[str], value: Column,
     return placed.withColumn(name, F.col("__base") + F.col("__in") + copy * F.col("__v")).select(*df.columns, name)
 
 
+def kept_by_worker(key: str, make: Callable[[], Any]) -> Any:
+    """What a reused Python worker keeps from task to task: the object of the last key, whichever operator asked.
+
+    The one before goes first, so a worker never holds the memories of two operators that run one after the other.
+    """
+    kept = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")).__dict__
+    if kept.get("key") != key:
+        kept.update(key=None, value=None)
+        pa.default_memory_pool().release_unused()
+        kept.update(value=make(), key=key)
+    return kept["value"]
+
+
 def matrix(vectors: pa.Array, dims: int) -> np.ndarray:
     """Vectors without nulls as rows of doubles; missing trailing components are 0."""
     values = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)

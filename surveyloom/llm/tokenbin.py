@@ -6,8 +6,6 @@ import hashlib
 import io
 import json
 import struct
-import sys
-import types
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -18,6 +16,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from surveyloom.llm.frames import kept_by_worker
+
 #: Magic, bits of an id, documents, ids. Then int64 doc ids, int64 null flags as bytes, uint64 ends, packed ids.
 HEADER = "<4sIQQ"
 MAGIC = b"TKB1"
@@ -144,11 +144,7 @@ class Encoder:
 
 def encoder(spec: str) -> Encoder:
     """The worker's encoder for a tokenizer; a reused worker keeps it from task to task."""
-    kept = sys.modules.setdefault("_token_encoders", types.ModuleType("_token_encoders")).__dict__
-    key = hashlib.sha1(spec.encode()).hexdigest()
-    if key not in kept:
-        kept[key] = Encoder(spec)
-    return kept[key]
+    return kept_by_worker(f"tokens {hashlib.sha1(spec.encode()).hexdigest()}", lambda: Encoder(spec))
 
 
 def block(doc_ids: list[int | None], ids: list[bytes], bits: int) -> bytes:

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import re
-import sys
-import types
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -14,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.llm.frames import stored
+from surveyloom.llm.frames import kept_by_worker, stored
 
 #: The kernel: subsequences of ORDER characters that span at most ORDER + GAPS, each gap weighed by DECAY.
 ORDER, GAPS, DECAY = 4, 2, 0.6
@@ -181,10 +179,7 @@ class Scorer:
 
 def scorer(model: Model, name: str) -> Scorer:
     """The worker's scorer of this fit; a reused worker keeps the last one from task to task."""
-    kept = sys.modules.setdefault("_toxicity_scorers", types.ModuleType("_toxicity_scorers")).__dict__
-    if kept.get("name") != name:
-        kept.update(name=name, scorer=Scorer(model))
-    return kept["scorer"]
+    return kept_by_worker(f"toxicity {name}", lambda: Scorer(model))
 
 
 def squared_hinge(x: np.ndarray, y: np.ndarray, cost: np.ndarray, steps: int = 30) -> np.ndarray:

@@ -28,3 +28,14 @@ def test_matrix_of_ragged_vectors():
     assert frames.matrix(vectors, 3).tolist() == [[1, 2, 0], [0, 0, 0], [3, 0, 0]]
     assert frames.matrix(vectors.slice(2), 2).tolist() == [[3, 0]]
     assert frames.matrix(pa.array([[1, 2], [3, 4]], pa.list_(pa.int32())), 2).tolist() == [[1, 2], [3, 4]]
+
+
+def test_a_worker_keeps_one_object():
+    made = []
+
+    def ask(key):
+        return frames.kept_by_worker(key, lambda: made.append(key) or [key])
+
+    first = ask("a")
+    assert ask("a") is first and made == ["a"]
+    assert ask("b") == ["b"] and ask("a") == ["a"] and made == ["a", "b", "a"]
