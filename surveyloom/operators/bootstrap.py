@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from surveyloom.functions.scalars import quoted
-from surveyloom.operators.ranks import cells, parts, renamed, same, value_counts
+from surveyloom.operators.ranks import cells, narrowed, parts, renamed, same, value_counts
 
 
 def _draw_ranks(sizes: DataFrame, keys: Sequence[str], resamples: int, seed: int) -> DataFrame:
@@ -85,7 +85,7 @@ def values_at(counted: DataFrame, cell: DataFrame, asked: DataFrame, keys: Seque
     placed = _next_known(marks.unionByName(asked), keys, ["_cell", "_before"])
 
     used = placed.groupBy(*within).agg(F.max("_before").alias("_before"))
-    in_cells = counted.join(used.selectExpr(*renamed(within), "_before"), same(within))
+    in_cells = narrowed(counted, used.selectExpr(*renamed(within), "_before"), within)
     finer = [*within, "_part"]
     cell_key = [*key, "_cell"]
     marks = parts(in_cells, within).selectExpr(*cell_key, "_end AS _at", "_part", "_start", "1 AS _kind")
@@ -97,8 +97,8 @@ def values_at(counted: DataFrame, cell: DataFrame, asked: DataFrame, keys: Seque
     used = placed.groupBy(*finer).agg(F.max("_start").alias("_start"))
     part_key = [*cell_key, "_part"]
     in_part = f"OVER (PARTITION BY {', '.join(part_key)} ORDER BY _value ROWS UNBOUNDED PRECEDING)"
-    in_parts = in_cells.selectExpr(*part_key, "_value", "_rows").join(
-        used.selectExpr(*renamed(finer), "_start"), same(finer))
+    in_parts = narrowed(
+        in_cells.selectExpr(*part_key, "_value", "_rows"), used.selectExpr(*renamed(finer), "_start"), finer)
     values = in_parts.selectExpr(*part_key, f"_start + sum(_rows) {in_part} AS _at", "_value", "1 AS _kind")
     wanted = placed.selectExpr(*part_key, "_at", "CAST(NULL AS DOUBLE) AS _value", "_kind")
     return _next_known(values.unionByName(wanted), finer, ["_value"]).select(*keys, "_at", "_value")

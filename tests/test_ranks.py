@@ -6,8 +6,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from surveyloom.operators.bootstrap import median_interval
-from surveyloom.operators.ranks import value_counts, value_profile
+from surveyloom.operators.bootstrap import median_interval, values_at
+from surveyloom.operators.ranks import cells, value_counts, value_profile
 
 numbers = st.one_of(
     st.none(),
@@ -123,3 +123,15 @@ def test_interval_does_not_depend_on_partitioning(spark, groups):
         for part in (df.repartition(1), df.repartition(7), df.repartition(3, "v"))
     ]
     assert runs[0] == runs[1] == runs[2]
+
+
+def test_counted_values_are_never_gathered_on_the_driver(spark, tmp_path):
+    """Values that lie in a small file, however many they are, meet the wanted cells by key."""
+    path = str(tmp_path / "packed")
+    spark.range(20000).selectExpr("id % 3 AS g", "CAST(id AS DOUBLE) AS v").write.parquet(path)
+    for found in (value_profile(spark.read.parquet(path), ["g"], "v"),
+                  values_at(c := value_counts(spark.read.parquet(path), ["g"], "v"), cells(c, ["g"]),
+                            spark.createDataFrame([(0, 7), (1, 1)], "g long, _at long"), ["g"])):
+        found.collect()
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in found.collect()) == [(0, 7, 18.0), (1, 1, 1.0)]
