@@ -182,8 +182,8 @@ def g16(spark, sf):
 def land_raw(spark, sf, years) -> str:
     """Raw CSV files of the given editions, written by Spark from the order tables."""
     bronze = new_path(spark, "bronze")
-    for year in years:
-        write_raw(survey.raw_edition(spark, sf, year), edition_path(bronze, year))
+    for year, df in survey.raw_editions(spark, sf, years).items():
+        write_raw(df, edition_path(bronze, year))
     return bronze
 
 

@@ -24,11 +24,16 @@ EVERY = " UNION ALL ".join(
     + f" FROM texts WHERE ano = {y}" for y in survey.ALL_YEARS)
 
 
-def delivered(spark, sf) -> str:
-    """Raw CSV files of all editions, each row over two lines."""
+def offered(spark, sf):
+    """All editions as they would arrive, each row over two lines."""
+    return survey.raw_editions(spark, sf, survey.ALL_YEARS, {"comentario": COMMENT})
+
+
+def delivered(spark, raw) -> str:
+    """Raw CSV files of the given editions."""
     inbox = new_path(spark, "entrega")
-    for y in survey.ALL_YEARS:
-        editions.write_raw(survey.raw_edition(spark, sf, y, {"comentario": COMMENT}), editions.edition_path(inbox, y))
+    for y, df in raw.items():
+        editions.write_raw(df, editions.edition_path(inbox, y))
     return inbox
 
 
@@ -45,24 +50,25 @@ def mapped_files(spark, bronze):
 @query("s01_csv_scan", EVERY, "texts")
 def s01(spark, sf):
     """Every mapped answer of files whose records go over several lines."""
-    return mapped_files(spark, delivered(spark, sf))
+    return mapped_files(spark, delivered(spark, offered(spark, sf)))
 
 
 @query("s02_land_if_absent", EVERY, "texts")
 def s02(spark, sf):
     """Delivered files land as they are; landing a second time changes nothing, even if the delivery differs."""
-    inbox, other, bronze = delivered(spark, sf), new_path(spark, "entrega"), new_path(spark, "bronze")
+    raw = offered(spark, sf)
+    inbox, other, bronze = delivered(spark, raw), new_path(spark, "entrega"), new_path(spark, "bronze")
+    editions.write_raw(raw[LAST].drop("comentario"), other)  # what comes second is the same for all editions
     for y in survey.ALL_YEARS:
-        editions.write_raw(survey.raw_edition(spark, sf, LAST), editions.edition_path(other, y))
-        for source in (inbox, other):
-            editions.land_delivery(spark, editions.edition_path(source, y), bronze, y)
+        for source in (editions.edition_path(inbox, y), other):
+            editions.land_delivery(spark, source, bronze, y)
     return mapped_files(spark, bronze)
 
 
 @query("s02b_land_new_files", EVERY, "texts")
 def s02b(spark, sf):
     """The incremental form: the same inbox is offered twice and taken once."""
-    inbox, bronze = delivered(spark, sf), new_path(spark, "bronze_stream")
+    inbox, bronze = delivered(spark, offered(spark, sf)), new_path(spark, "bronze_stream")
     for y in survey.ALL_YEARS:
         source, memory = editions.edition_path(inbox, y), new_path(spark, f"landed_{y}")
         for _ in range(2):
@@ -121,8 +127,8 @@ def s07(spark, sf):
     path = new_path(spark, "mapping")
     headers.write_mapping(spark, survey.CORE_HEADERS, survey.HISTORY_HEADERS, path)
     filled = silver.union_editions([
-        filled_counts(survey.raw_edition(spark, sf, y), "source", "preenchidos").withColumn("edition", F.lit(y))
-        for y in survey.ALL_YEARS])
+        filled_counts(df, "source", "preenchidos").withColumn("edition", F.lit(y))
+        for y, df in survey.raw_editions(spark, sf, survey.ALL_YEARS).items()])
     return headers.read_mapping(spark, path).join(filled, ["edition", "source"]).select(
         "edition", "target", "source", "preenchidos")
 

@@ -5,6 +5,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
+from checks import survey
 from surveyloom.plans import vocabulary as v
 from surveyloom.sources import editions, headers, tables
 from surveyloom.sources.folders import new_path, shared_folder
@@ -178,3 +180,22 @@ def test_external_table_follows_its_layer(spark):
     assert [tuple(r) for r in got.collect()] == [(2, "b", 2025)]
     assert spark.read.parquet(old).count() == 2
     spark.sql("DROP TABLE pesquisa.follows")
+
+
+def test_editions_are_joined_once(spark, sf_dir):
+    """All editions come from base rows that were joined and written before; none reads the order tables again."""
+    years = (1998, 2001)
+    found = survey.raw_editions(spark, sf_dir, years, {"chave": "k"})
+    assert list(found) == list(years)
+    for y, df in found.items():
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in text and "Exchange" not in text and "lineitem" not in text
+        alone = survey.raw_edition(spark, sf_dir, y, {"chave": "k"})
+        assert df.columns == alone.columns and df.count() > 0
+        assert df.exceptAll(alone).count() == alone.exceptAll(df).count() == 0
+
+
+def test_landing_twice_joins_the_items_once(spark, sf_dir, monkeypatch):
+    read = []
+    monkeypatch.setattr(survey, "_orders", lambda *a, f=survey._orders: read.append(a) or f(*a))
+    assert queries()["s02_land_if_absent"](spark, sf_dir).count() > 0 and len(read) == 1
