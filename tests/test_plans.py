@@ -1,5 +1,7 @@
 """What the physical plans must look like before the data gets large."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,3 +100,18 @@ def test_texts_are_folded_and_searched_once(spark, sf_dir):
     plan = core._jdf.queryExecution().optimizedPlan().toString()
     branches = plan.count("Relation [")
     assert plan.count("lower(") <= 3 * branches and plan.count("regexp_extract(") <= 3 * branches
+
+
+def test_customers_are_never_gathered_on_the_driver(spark, tmp_path):
+    """A well packed file of many customers looks smaller than the few places that they are joined to."""
+    def put(name, rows):
+        rows.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    put("nation", spark.range(25).selectExpr("CAST(id AS INT) AS n_nationkey", "CAST(id % 5 AS INT) AS n_regionkey"))
+    put("region", spark.range(5).selectExpr("CAST(id AS INT) AS r_regionkey", "concat('R', id) AS r_name"))
+    put("customer", spark.range(20000).selectExpr("id AS c_custkey", "CAST(id % 25 AS INT) AS c_nationkey"))
+    orders = spark.range(40).selectExpr("id * 500 AS c")
+    found = survey._with_places(spark, str(tmp_path), orders, ["rname"])
+    text = found._jdf.queryExecution().sparkPlan().toString()
+    assert re.search(r"HashJoin \[[^]]*c_nationkey[^]]*\], \[[^]]*n_nationkey[^]]*\], Inner, BuildRight", text), text
+    assert sorted(map(tuple, found.collect())) == [(c, f"R{c % 25 % 5}") for c in range(0, 20000, 500)]
