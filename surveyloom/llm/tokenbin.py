@@ -5,13 +5,15 @@ from __future__ import annotations
 import hashlib
 import io
 import json
+import re
 import struct
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,6 +30,13 @@ BLOCKS_PER_FILE = 512
 #: Words whose ids a worker remembers; twice as many while it forgets the older ones.
 REMEMBERED = 500_000
 MARK = "\x01"
+#: Bytes of texts that are encoded together, but for the text that goes beyond.
+GROUP = 1 << 18
+#: Letters that no normal form changes and that are lowered one by one in every Unicode version, then ASCII marks but
+#: the apostrophe, which may begin a contraction.
+LETTERS_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+#: Those letters as byte-level models spell them: a character for each byte, bytes that are none shown from 256 on.
+SPELLED = {c: "".join({0x9F: "\u0141", 0xA0: "\u0142", 0xAD: "\u0143"}.get(b, chr(b)) for b in chr(c).encode()) for c in range(0xDF, 0x100)}
 #: Tasks that read files at most.
 MOST_TASKS = 50_000
 
@@ -53,18 +62,18 @@ def unpack(data: bytes, bits: int, first: int, count: int) -> np.ndarray:
     return out.view("<u4").ravel()
 
 
+def _steps(part: dict | None, inner: str) -> list[dict]:
+    return [] if not part else part[inner] if part["type"] == "Sequence" else [part]
+
+
 def drops_blanks(spec: str) -> bool:
     """Whether a tokenizer lowers texts and then keeps only pieces without white space, as its own settings say.
 
     Then a text's ids are those of its words in turn. A tokenizer of another build gets whole texts.
     """
     settings = json.loads(spec)
-
-    def steps(part: dict | None, inner: str) -> list[dict]:
-        return [] if not part else part[inner] if part["type"] == "Sequence" else [part]
-
-    normal = steps(settings.get("normalizer"), "normalizers")
-    cuts = steps(settings.get("pre_tokenizer"), "pretokenizers")
+    normal = _steps(settings.get("normalizer"), "normalizers")
+    cuts = _steps(settings.get("pre_tokenizer"), "pretokenizers")
     if not cuts or cuts[0]["type"] != "Split" or "Lowercase" not in [n["type"] for n in normal] or not {
             n["type"] for n in normal} <= {"Lowercase", "NFC", "Replace"}:
         return False
@@ -73,6 +82,20 @@ def drops_blanks(spec: str) -> bool:
         set(" .") & set(pattern)) and "\\s" not in pattern.removesuffix("[^\\s\\p{L}\\p{N}]+")
 
 
+def keeps_letters(spec: str) -> bool:
+    """Whether a run of plain letters (see `LETTERS_AND_MARKS`), lowered, reaches the tokenizer's byte-level model as it is
+    and as a whole, and the marks after it as a piece of their own."""
+    settings = json.loads(spec)
+    if not drops_blanks(spec) or settings.get("truncation") or settings.get("padding"):
+        return False
+    first, *others = _steps(settings["pre_tokenizer"], "pretokenizers")
+    runs = [p for p in first["pattern"]["Regex"].split("|") if not re.fullmatch("'[a-z]+", p)]
+    replaced = [n for n in _steps(settings["normalizer"], "normalizers") if n["type"] == "Replace"]
+    return sorted(runs) == sorted(("[\\p{L}]+", "[\\p{N}]", "[^\\s\\p{L}\\p{N}]+")) and all(
+        (n["pattern"], n["content"]) == ({"Regex": "\\s+"}, " ") for n in replaced) and [
+        (c["type"], c.get("add_prefix_space"), c.get("use_regex")) for c in others] == [("ByteLevel", False, False)]
+
+
 def ends_in_letter(word: str) -> bool:
     """Whether a word, composed and lowered, ends in a letter of every Unicode version, so that a closing mark after it
     is a piece of its own. Lowering or composing can leave a combining mark at the end, which joins what follows."""
@@ -83,7 +106,8 @@ class Encoder:
     """Ids of whole texts by one tokenizer file, remembering the ids of words between blanks.
 
     That holds for tokenizers that drop white space before they split (see `drops_blanks`). Only line feeds and blanks
-    are cut at; whatever else a word holds is left to the tokenizer.
+    are cut at; whatever else a word holds is left to the tokenizer, but plain letters go to its model directly where
+    the steps before would leave them as they are (see `keeps_letters`).
     """
 
     def __init__(self, spec: str):
@@ -95,6 +119,9 @@ class Encoder:
         self.old: dict[str, bytes] = {}
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
+        self.model = self.tokenizer.model if keeps_letters(spec) else None
+        size = 1 + max(self.tokenizer.get_vocab().values())
+        self.packed = [bytes(x) for x in np.arange(size, dtype="<u4")[:, None].view(np.uint8)]
 
     def _encode(self, words: list[str]) -> list[bytes]:
         """Ids of words, by one call for all that a lone mark can keep apart."""
@@ -109,37 +136,69 @@ class Encoder:
         return [found[w] if w in found else np.array(
             self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
 
-    def _learn(self, words: list[str]) -> None:
-        new, old = self.new, self.old
+    def _learn(self, words: Iterable[str]) -> None:
+        new, old, packed = self.new, self.old, self.packed
+        known, before = new.get, old.get
+        tokenize, plain = (self.model.tokenize, LETTERS_AND_MARKS.fullmatch) if self.model else (None, lambda word: None)
+        left = []
+        for word in words:
+            if (ids := before(word)) is None:
+                if (found := plain(word)) is None:
+                    left.append(word)
+                    continue
+                stem, tail = found.groups()
+                stem = stem.lower()
+                if (ids := known(stem)) is None:
+                    if (ids := before(stem)) is None:
+                        piece = stem if stem.isascii() else stem.translate(SPELLED)
+                        ids = b"".join([packed[token.id] for token in tokenize(piece)])
+                    new[stem] = ids
+                if tail:
+                    if (end := known(tail)) is None:
+                        new[tail] = end = self._encode([tail])[0]
+                    ids += end
+            new[word] = ids
+        if left:
+            self._learn_others(left)
+
+    def _learn_others(self, words: list[str]) -> None:
         stems, ask = {}, {}
         for word in words:
-            if (ids := old.get(word)) is not None:
-                new[word] = ids
-                continue
             # one closing mark after letters is a piece of its own, and ASCII letters are lowered by the tokenizer
             tail = word[-1] if word[-1] in ".,;:!?" and word[:-1].isalpha() and ends_in_letter(word[:-1]) else ""
             stem = word[:-1] if tail else word
             stem = stem.lower() if stem.isascii() and stem.isalpha() else stem
             stems[word] = stem, tail
             for piece in (stem, tail):
-                if piece not in new and piece not in ask:
-                    ask[piece] = old.get(piece)
+                if piece not in self.new and piece not in ask:
+                    ask[piece] = self.old.get(piece)
         missing = [piece for piece, ids in ask.items() if ids is None]
         ask.update(zip(missing, self._encode(missing)))
-        new.update(ask)
+        self.new.update(ask)
         for word, (stem, tail) in stems.items():
-            new[word] = new[stem] + new[tail]
+            self.new[word] = self.new[stem] + self.new[tail]
 
-    def __call__(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids of a text."""
+    def together(self, texts: Sequence[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text. Words that are new in any of them are learned at once."""
         if not self.by_word:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
         if len(self.new) > REMEMBERED:
             self.old, self.new = self.new, {"": b""}
-        words = text.replace("\n", " ").split(" ")
-        if missing := set(words).difference(self.new):
-            self._learn(list(missing))
-        return b"".join(map(self.new.__getitem__, words))
+        rows, missing = [], set()
+        for text in texts:
+            words = text.replace("\n", " ").split(" ")
+            ids = list(map(self.new.get, words))
+            gaps = [i for i, x in enumerate(ids) if x is None] if None in ids else []
+            missing.update([words[i] for i in gaps])
+            rows.append((ids, [(i, words[i]) for i in gaps]))
+        self._learn(missing)
+        for ids, gaps in rows:
+            for i, word in gaps:
+                ids[i] = self.new[word]
+        return [b"".join(ids) for ids, _ in rows]
+
+    def __call__(self, text: str) -> bytes:
+        return self.together([text])[0]
 
 
 def encoder(spec: str) -> Encoder:
@@ -147,6 +206,17 @@ def encoder(spec: str) -> Encoder:
     return kept_by_worker(f"tokens {hashlib.sha1(spec.encode()).hexdigest()}", lambda: Encoder(spec))
 
 
+def groups(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts that are encoded together: a run ends with the text that brings it to GROUP bytes."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    first = held = 0
+    for i, size in enumerate(sizes.tolist(), 1):
+        held += size
+        if held >= GROUP or i == len(sizes):
+            yield first, i
+            first, held = i, 0
+
+
 def block(doc_ids: list[int | None], ids: list[bytes], bits: int) -> bytes:
     ends = np.cumsum([len(x) // 4 for x in ids], dtype="<u8")
     return b"".join((
@@ -186,13 +256,16 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
             return pa.RecordBatch.from_arrays([pa.array([block(doc_ids, ids, bits)], pa.binary())], names=["block"])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                doc_ids.append(doc_id.as_py())
-                ids.append(encode(text.as_py() or "") + end)
-                held += len(ids[-1]) // 4
-                if held >= BLOCK_IDS:
-                    yield out()
-                    doc_ids, ids, held = [], [], 0
+            names, texts = batch.column(0).to_pylist(), batch.column(1)
+            for a, b in groups(texts):
+                own = [x or "" for x in texts[a:b].to_pylist()]
+                for doc_id, found in zip(names[a:b], encode.together(own)):
+                    doc_ids.append(doc_id)
+                    ids.append(found + end)
+                    held += len(ids[-1]) // 4
+                    if held >= BLOCK_IDS:
+                        yield out()
+                        doc_ids, ids, held = [], [], 0
         if ids:
             yield out()
 

@@ -1,7 +1,9 @@
+import json
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -112,3 +114,49 @@ def test_files_are_read_by_many_tasks(spark, documents, monkeypatch):
     rows = tokenbin.read_tokens(spark, path).selectExpr("spark_partition_id() AS task", "path").distinct().collect()
     assert len({r["path"] for r in rows}) >= 280 and len({r["task"] for r in rows}) > 100
     assert tokenbin.token_table(spark, path).count() == 300
+
+
+def test_plain_letters_skip_the_steps_that_leave_them(monkeypatch):
+    """Only what is not a run of plain letters goes through the whole tokenizer, and of marks each run once."""
+    with open(PATH, encoding="utf-8") as file:
+        encode = tokenbin.Encoder(file.read())
+    asked, whole = [], encode._encode
+    monkeypatch.setattr(encode, "_encode", lambda words: asked.extend(words) or whole(words))
+    encode.together(["Straße, Été! naïf### plain", "été! WORD### word, Ærø"])
+    assert sorted(asked) == ["!", "###", ","]
+    letters = [c for c in map(chr, range(0x250)) if c.isalpha()]
+    marks = [c for c in map(chr, range(33, 127)) if not c.isalnum()]
+    same_ids(PATH, [f"{c} x{c} {c}y {c * 3}, x{c}{c}#%" for c in letters])
+    same_ids(PATH, [f"a{m} é{m}{m} a,{m} a{m}. a{m}s {m}a a{m}é" for m in marks])
+
+
+def test_only_known_steps_are_skipped():
+    with open(PATH, encoding="utf-8") as file:
+        spec = file.read()
+    assert tokenbin.keeps_letters(spec)
+    for old, new in (("[\\\\p{L}]+", "[\\\\p{L}]"), ('"use_regex":false', '"use_regex":true'), ('"content":" "', '"content":"e"')):
+        changed = json.dumps(json.loads(spec), ensure_ascii=False, separators=(",", ":")).replace(old, new)
+        assert changed.count(new) and not tokenbin.keeps_letters(changed)
+        Tokenizer.from_str(changed)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(max_size=9)), max_size=12))
+def test_texts_are_grouped_by_bytes(texts):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(tokenbin, "GROUP", 8)
+        found = list(tokenbin.groups(pa.array(texts, pa.string())))
+    assert [i for a, b in found for i in range(a, b)] == list(range(len(texts)))
+    sizes = [len((t or "").encode()) for t in texts]
+    assert all(a < b and sum(sizes[a:b - 1]) < 8 for a, b in found)
+    assert all(sum(sizes[a:b]) >= 8 for a, b in found[:-1])
+
+
+def test_words_are_forgotten_between_groups_only(monkeypatch):
+    monkeypatch.setattr(tokenbin, "REMEMBERED", 3)
+    with open(PATH, encoding="utf-8") as file:
+        encode = tokenbin.Encoder(file.read())
+    plain = Tokenizer.from_file(PATH)
+    texts = ["one two, three", "two, four #5 don't", "", "one two, Three###", "three### #5 six. Ω. ω."] * 3
+    found = [x for a in range(0, 15, 2) for x in encode.together(texts[a:a + 2])]
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
